@@ -1 +1 @@
-
+"""Larger plans composed from the operators."""

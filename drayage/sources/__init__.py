@@ -1 +1 @@
-
+"""Reading and writing of trees, logs, pages and archives."""
