@@ -9,6 +9,7 @@ CHUNK_SIZE = 50_000
 SEGMENT_BYTES = 64 << 20
 # A Spark row holds less than 2 GiB; larger payloads stay in segments.
 MAX_BLOB_BYTES = 1 << 30
+MAX_BLOB_CHUNKS = 1 << 24
 
 
 def manifest(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
@@ -80,22 +81,26 @@ def assemble_chunks(
     """Put the chunks of each payload together in index order, one row per payload.
 
     Status is ``ok``, ``missing``, ``duplicate``, ``size_mismatch`` or
-    ``oversize``; content is null unless ok. Payloads beyond ``max_blob_bytes``
-    fit no row: take them whole from :func:`assemble_segments`.
+    ``oversize``; content is null unless ok. Payloads whose chunks fit no row are
+    oversize: take them whole from :func:`assemble_segments`.
     """
-    big = F.col("size") > max_blob_bytes
-    # At most (all bytes / max_blob_bytes) ids: about 100,000 in 100 TB.
-    oversize = F.broadcast(manifest.filter(big).select("blob_id"))
+    heavy = chunks.groupBy("blob_id").agg(
+        F.sum(F.octet_length("chunk").cast("long")).alias("bytes"), F.count(F.lit(1)).alias("rows")
+    ).filter((F.col("bytes") > max_blob_bytes) | (F.col("rows") > MAX_BLOB_CHUNKS))
+    # At most (all bytes / max_blob_bytes) + (all chunks / MAX_BLOB_CHUNKS) ids,
+    # about 100,000 in 100 TB.
+    oversize = F.broadcast(heavy.select("blob_id"))
     joined = chunks.join(oversize, "blob_id", "left_anti").groupBy("blob_id").agg(
         F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("joined"),
         F.count(F.lit(1)).alias("n"),
         F.size(F.collect_set("i")).alias("distinct"),
         F.max("i").alias("hi"),
     )
+    marked = manifest.join(oversize.withColumn("oversize", F.lit(True)), "blob_id", "left")
     content = F.coalesce("joined", F.lit(b""))
     n, distinct = F.coalesce("n", F.lit(0)), F.coalesce("distinct", F.lit(0))
     status = (
-        F.when(big, "oversize")
+        F.when(F.col("oversize"), "oversize")
         .when(
             (distinct != F.col("num_chunks"))
             | (F.coalesce("hi", F.lit(-1)) != F.col("num_chunks") - 1),
@@ -105,7 +110,7 @@ def assemble_chunks(
         .when(F.octet_length(content) != F.col("size"), "size_mismatch")
         .otherwise("ok")
     )
-    return manifest.join(joined, "blob_id", "left").select(
+    return marked.join(joined, "blob_id", "left").select(
         "blob_id", "num_chunks", status.alias("status"),
         F.when(status == "ok", content).alias("content"),
     )
@@ -117,11 +122,13 @@ def assemble_segments(
     """Put chunks together into numbered segments of bounded size.
 
     Works for payloads of any length: the segments of one payload, in order, are
-    its bytes, and they are built by as many tasks as there are segments.
+    its bytes, and they are built by as many tasks as there are segments. Of a
+    chunk delivered twice one copy counts.
     """
     per_segment = max(1, segment_bytes // chunk_size)
     return (
-        chunks.groupBy("blob_id", F.floor(F.col("i") / per_segment).alias("segment"))
+        chunks.dropDuplicates(["blob_id", "i"])
+        .groupBy("blob_id", F.floor(F.col("i") / per_segment).alias("segment"))
         .agg(F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("content"))
     )
 
