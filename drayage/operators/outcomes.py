@@ -102,5 +102,5 @@ def expire_sessions(
         )
     return lives.select(
         key, "born_at", "last_beat", "beats",
-        F.timestampadd("SECOND", F.lit(ttl_seconds), F.col("last_beat")).alias("dead_at"),
+        (F.col("last_beat") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("dead_at"),
     )

@@ -37,6 +37,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("drayage")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "16g")

@@ -60,7 +60,7 @@ def scan_paged(
         def schema(self) -> str:
             return schema
 
-        def reader(self, _schema) -> DataSourceReader:
+        def reader(self, schema) -> DataSourceReader:
             return Reader()
 
     spark.dataSource.register(Source)

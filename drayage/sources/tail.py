@@ -150,7 +150,7 @@ class TailSource(DataSource):
     def schema(self) -> str:
         return "path string, offset long, line string"
 
-    def streamReader(self, _schema) -> DataSourceStreamReader:
+    def streamReader(self, schema) -> DataSourceStreamReader:
         limit = self.options.get("maxBytesPerTrigger")
         return TailReader(
             self.options["path"],

@@ -19,7 +19,8 @@ class ExitLast(StatefulProcessor):
         self.held = handle.getValueState("held", "returncode int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get()[0] if self.last.exists() else None
+        stored = self.last.get()
+        before = last = None if stored is None else stored[0]
         for batch in rows:
             top = batch["pos"].max()
             if pd.notna(top) and (last is None or top > last):
@@ -28,17 +29,18 @@ class ExitLast(StatefulProcessor):
             if len(exits):
                 self.held.update((int(exits["returncode"].iloc[0]),))
                 self.handle.registerTimer(exits["ts"].iloc[0].value // 1_000_000)
-        if last is not None:
+        if last != before:
             self.last.update((last,))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
-            last = self.last.get()[0] if self.last.exists() else None
+        held, stored = self.held.get(), self.last.get()
+        if held is not None:
+            last = None if stored is None else stored[0]
             yield pd.DataFrame({
                 "pid": [key[0]],
                 "last_pos": pd.Series([last], dtype="Int64"),
-                "returncode": pd.Series([self.held.get()[0]], dtype="Int32"),
+                "returncode": pd.Series([held[0]], dtype="Int32"),
             })
             self.held.clear()
             self.last.clear()
@@ -58,7 +60,9 @@ def drain_stream(
     takes the poll after the last line. Only the last position per process and
     partition reaches the state, however many lines a process writes.
     """
-    pid = output.schema["pid"].dataType.simpleString()
+    pid_type = output.schema["pid"].dataType
+    # Text keys: one null among numbers would make pandas read them all as floats.
+    pid = F.col("pid").cast("string").alias("pid")
     lines = output.select(
         "pid",
         F.floor(F.col("pos") / batch_size).alias("poll"),
@@ -66,11 +70,11 @@ def drain_stream(
         "line",
         F.lit(None).cast("int").alias("returncode"),
     )
-    marks = output.select("pid", "pos", "ts").mapInPandas(
-        _last_positions, f"pid {pid}, pos long, ts timestamp, returncode int"
+    marks = output.select(pid, "pos", "ts").mapInPandas(
+        _last_positions, "pid string, pos long, ts timestamp, returncode int"
     )
     ends = exits.select(
-        "pid", F.lit(None).cast("long").alias("pos"), "ts", F.col("returncode").cast("int")
+        pid, F.lit(None).cast("long").alias("pos"), "ts", F.col("returncode").cast("int")
     )
     released = (
         marks.unionByName(ends)
@@ -78,12 +82,12 @@ def drain_stream(
         .groupBy("pid")
         .transformWithStateInPandas(
             statefulProcessor=ExitLast(),
-            outputStructType=f"pid {pid}, last_pos long, returncode int",
+            outputStructType="pid string, last_pos long, returncode int",
             outputMode="append",
             timeMode="EventTime",
         )
         .select(
-            "pid",
+            F.col("pid").cast(pid_type).alias("pid"),
             F.coalesce(F.floor(F.col("last_pos") / batch_size) + 1, F.lit(0)).alias("poll"),
             F.lit(None).cast("long").alias("pos"),
             F.lit(None).cast("string").alias("line"),
@@ -96,5 +100,5 @@ def drain_stream(
 def _last_positions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The last position and time per process within one Arrow batch."""
     for batch in batches:
-        tops = batch.groupby("pid", as_index=False).agg({"pos": "max", "ts": "max"})
+        tops = batch.groupby("pid", as_index=False, dropna=False).agg({"pos": "max", "ts": "max"})
         yield tops.assign(returncode=pd.Series([None] * len(tops), dtype="Int32"))

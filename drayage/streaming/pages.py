@@ -9,17 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-_DAY_MS = 86_400_000
-
 
 class PageDelta(StatefulProcessor):
     """State of (source, poll): the lines of the page before, until the page itself comes."""
 
-    def __init__(self, keep_ms: int):
+    def __init__(self, keep_ms: int | None):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.before = handle.getListState("before", "line string", self.keep_ms)
+        self.before = handle.getValueState("before", "lines array<string>", self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         seen, page = set(), []
@@ -28,11 +26,13 @@ class PageDelta(StatefulProcessor):
             seen.update(batch.loc[earlier, "line"])
             page.append(batch.loc[~earlier, ["pos", "line"]])
         page = pd.concat(page)
+        stored = self.before.get()
+        if stored is not None:
+            seen.update(stored[0])
         if page.empty:
-            self.before.appendList([(line,) for line in seen])
+            self.before.update((list(seen),))
             return
-        if self.before.exists():
-            seen.update(line for (line,) in self.before.get())
+        if stored is not None:
             self.before.clear()
         fresh = page.loc[~page["line"].isin(list(seen)), "pos"]
         if len(fresh):
@@ -45,29 +45,33 @@ class PageDelta(StatefulProcessor):
         pass
 
 
-def poll_delta_stream(snapshots: DataFrame, keep_ms: int = 7 * _DAY_MS) -> DataFrame:
+def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataFrame:
     """Streaming :func:`drayage.operators.logs.poll_delta`.
 
     A page must arrive whole in one micro-batch, and not before the page that
     precedes it. Each page is sent to its own poll and, as what was seen before,
     to the next one. State and work are therefore keyed by page and not by
     source, so a busy source is spread over all tasks, and a group is never
-    longer than two pages. Pages whose successor never comes are forgotten
-    after ``keep_ms``.
+    longer than two pages. The last page of a source stays in the state, unless
+    ``keep_ms`` lets it go after that time; Spark then runs batches all the time
+    to look for expired state, so a query that is to end by itself must not ask
+    for it.
     """
-    source = snapshots.schema["source"].dataType.simpleString()
-    poll = snapshots.schema["poll"].dataType.simpleString()
+    source = snapshots.schema["source"].dataType
+    poll = snapshots.schema["poll"].dataType
     none = F.lit(None).cast("long")
+    # Text keys: one null among numbers would make pandas read them all as floats.
     shown = snapshots.select(
-        "source", "line",
+        F.col("source").cast("string").alias("source"),
+        "line",
         F.explode(F.array(
-            F.struct("poll", F.col("pos").cast("long").alias("pos")),
-            F.struct((F.col("poll") + 1).cast(poll).alias("poll"), none.alias("pos")),
+            F.struct(F.col("poll").cast("string").alias("poll"), F.col("pos").cast("long").alias("pos")),
+            F.struct((F.col("poll") + 1).cast("string").alias("poll"), none.alias("pos")),
         )).alias("at"),
     ).select("source", F.col("at.poll").alias("poll"), F.col("at.pos").alias("pos"), "line")
     return shown.groupBy("source", "poll").transformWithStateInPandas(
         statefulProcessor=PageDelta(keep_ms),
-        outputStructType=f"source {source}, poll {poll}, pos long, line string",
+        outputStructType="source string, poll string, pos long, line string",
         outputMode="append",
-        timeMode="ProcessingTime",
-    )
+        timeMode="None" if keep_ms is None else "ProcessingTime",
+    ).withColumns({"source": F.col("source").cast(source), "poll": F.col("poll").cast(poll)})
