@@ -200,7 +200,7 @@ def scan_paged(spark: SparkSession, folder: str) -> DataFrame:
                 skip = offset - at if skip is None else skip
                 groups.append(g)
             at += rows
-        return file.read_row_groups(groups, columns).slice(skip or 0, size)
+        return file.read_row_groups(groups, columns, use_threads=False).slice(skip or 0, size)
 
     return paged.scan_paged(
         spark, "customer_pages", provider, "c_custkey long, c_name string, c_nationkey int"

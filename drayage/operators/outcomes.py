@@ -85,21 +85,16 @@ def expire_sessions(
     """
     moments = beats.groupBy(key, "ts").agg(F.count(F.lit(1)).alias("n"))
     cuts = ranking.plan_cuts(moments, [key], ["ts"], rows_per_task)
+    whole = [F.min("ts").alias("born_at"), F.max("ts").alias("last_beat"), F.sum("n").alias("beats")]
     if cuts is None:
-        lives = beats.groupBy(
-            key, F.session_window("ts", f"{ttl_seconds} seconds")
-        ).agg(F.min("ts").alias("born_at"), F.max("ts").alias("last_beat"),
-              F.count(F.lit(1)).alias("beats"))
+        lives = moments.groupBy(key, F.session_window("ts", f"{ttl_seconds} seconds")).agg(*whole)
     else:
-        seen = ranking.previous_value(moments, [key], ["ts"], "ts", "previous", cuts)
+        ranged = ranking.with_range(moments, cuts)
+        seen = ranking.previous_value(ranged, [key], ["ts"], "ts", "previous", cuts)
         gap = F.unix_micros("ts") - F.unix_micros("previous")
         fresh = F.when(F.col("previous").isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0)
-        numbered = ranking.running_sum(
-            seen.withColumn("fresh", fresh), [key], ["ts"], F.col("fresh"), "life", cuts
-        )
-        lives = numbered.groupBy(key, "life").agg(
-            F.min("ts").alias("born_at"), F.max("ts").alias("last_beat"), F.sum("n").alias("beats")
-        )
+        numbered = ranking.running_sum(seen, [key], ["ts"], fresh, "life", cuts)
+        lives = numbered.groupBy(key, "life").agg(*whole)
     return lives.select(
         key, "born_at", "last_beat", "beats",
         (F.col("last_beat") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("dead_at"),

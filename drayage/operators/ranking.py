@@ -129,17 +129,19 @@ def running_sum(
     name: str,
     cuts: Cuts | None,
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the same key up to and including this one."""
+    """Sum of ``value`` over the rows of the same key up to and including this one.
+
+    Where there are cuts, ``df`` comes from :func:`with_range`.
+    """
     upto = _window(keys, order, cuts is not None).rowsBetween(Window.unboundedPreceding, 0)
     if cuts is None:
         return df.withColumn(name, F.sum(value).over(upto))
-    ranged = with_range(df, cuts).withColumn("__v", value)
-    before = _before(ranged, cuts, F.sum("__v"), "__before")
-    local = ranged.withColumn("__local", F.sum("__v").over(upto))
+    before = _before(df.withColumn("__v", value), cuts, F.sum("__v"), "__before")
+    local = df.withColumn("__local", F.sum(value).over(upto))
     return (
         _lookup_range(local, before, cuts)
         .withColumn(name, F.col("__local") + F.coalesce("__before", F.lit(0)))
-        .drop("__v", "__local", "__before", _RANGE, "__cut")
+        .drop("__local", "__before")
     )
 
 
@@ -177,23 +179,25 @@ def previous_value(
     name: str,
     cuts: Cuts | None,
 ) -> DataFrame:
-    """The value of ``column``, never null itself, in the row before; null on the first row."""
+    """The value of ``column``, never null itself, in the row before; null on the first row.
+
+    Where there are cuts, ``df`` comes from :func:`with_range`.
+    """
     at = _window(keys, order, cuts is not None)
     if cuts is None:
         return df.withColumn(name, F.lag(column).over(at))
-    ranged = with_range(df, cuts)
-    last = ranged.filter("__cut").groupBy(*cuts.keys, _RANGE).agg(
+    last = df.filter("__cut").groupBy(*cuts.keys, _RANGE).agg(
         F.max_by(column, F.struct(*order)).alias("__last")
     )
     before = last.select(
         *cuts.keys, _RANGE,
         F.lag("__last").over(Window.partitionBy(*cuts.keys).orderBy(_RANGE)).alias("__before"),
     )
-    local = ranged.withColumn("__local", F.lag(column).over(at))
+    local = df.withColumn("__local", F.lag(column).over(at))
     return (
         _lookup_range(local, before, cuts)
         .withColumn(name, F.coalesce("__local", "__before"))
-        .drop("__local", "__before", _RANGE, "__cut")
+        .drop("__local", "__before")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +26,16 @@ def upload_audit(blobs: DataFrame, chunk_size: int = payloads.CHUNK_SIZE) -> Dat
 
 
 def upload_tree(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy a directory tree into a table of files at ``target`` by way of archives.
+    """Copy a directory tree over ``target`` by way of archives.
 
-    Returns the comparison of what was there with what arrived.
+    The old target stays until all files are there. Returns the comparison of
+    the source with what arrived.
     """
+    staged = f"{target.rstrip('/')}.staged-{uuid.uuid4().hex}"
     tree = files.scan_tree(spark, source).withColumn("root", F.lit(0))
-    arrived = archives.unpack_archives(archives.pack_archives(tree))
-    files.replace_tree(arrived.select("rel_path", "content"), target)
+    arrived = archives.unpack_archives(archives.pack_archives(tree)).filter("status = 'ok'")
+    files.write_files(arrived.select("rel_path", "mode", "content"), staged)
+    files.swap_in(staged, target)
     return trees.reconcile(
-        trees.fingerprint(tree), trees.fingerprint(spark.read.parquet(target))
+        trees.fingerprint(tree), trees.fingerprint(files.scan_tree(spark, target))
     )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import uuid
+from collections.abc import Iterator, Sequence
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,3 +55,36 @@ def replace_tree(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     if keys:
         out = out.partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
     out.parquet(path)
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """Write each row's ``content`` to a file at ``rel_path`` below a shared folder.
+
+    A file appears whole, under its final name, so repeated tasks do no harm. On
+    a local or mounted file system it gets the permission bits in ``mode``.
+    """
+    with_mode = "mode" in files.columns
+
+    def write(rows: Iterator[Row]) -> None:
+        target, base = fs.FileSystem.from_uri(folder)
+        for row in rows:
+            path = f"{base}/{row.rel_path}"
+            draft = f"{path}.{uuid.uuid4().hex}.tmp"
+            target.create_dir(os.path.dirname(path), recursive=True)
+            with target.open_output_stream(draft) as out:
+                out.write(row.content)
+            if with_mode and isinstance(target, fs.LocalFileSystem):
+                os.chmod(draft, row.mode)
+            target.move(draft, path)
+
+    files.foreachPartition(write)
+
+
+def swap_in(staged: str, target: str) -> None:
+    """Put a finished folder in the place of ``target``, which is removed first."""
+    system, new = fs.FileSystem.from_uri(staged)
+    _, old = fs.FileSystem.from_uri(target)
+    if system.get_file_info(old).type != fs.FileType.NotFound:
+        system.delete_dir(old)
+    system.create_dir(os.path.dirname(old), recursive=True)
+    system.move(new, old)
