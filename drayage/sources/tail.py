@@ -52,23 +52,24 @@ class TailReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         files, base = fs.FileSystem.from_uri(self.folder)
         found = files.get_file_info(fs.FileSelector(base, allow_not_found=True))
-        room = self.max_bytes
+        known = self.served or {}
+        starts = {}
+        for info in found:
+            if info.is_file and fnmatch.fnmatch(info.base_name, self.glob):
+                start = known.get(info.path, 0)
+                starts[info.path] = (start if start <= info.size else 0, info.size)
+        grown = sum(start < size for start, size in starts.values())
+        # An equal share each, so that no file waits for a faster one. Right after
+        # a restart the starts are unknown and nothing is held back.
+        share = None
+        if self.max_bytes is not None and self.served is not None:
+            share = max(1, self.max_bytes // max(1, grown))
         ends = {}
-        for info in sorted(found, key=lambda i: i.path):
-            if not info.is_file or not fnmatch.fnmatch(info.base_name, self.glob):
-                continue
-            start = (self.served or {}).get(info.path, 0)
-            if start > info.size:
-                start = 0
-            limit = info.size
-            # Right after a restart the start is unknown and nothing is held back.
-            if room is not None and self.served is not None:
-                limit = min(limit, start + max(room, 0))
-            end = _complete_end(files, info.path, start, limit, info.size)
-            if room is not None:
-                room -= end - start
+        for path, (start, size) in starts.items():
+            limit = size if share is None else min(size, start + share)
+            end = _complete_end(files, path, start, limit, size)
             if end:
-                ends[info.path] = end
+                ends[path] = end
         self.served = ends
         return ends
 
@@ -164,7 +165,9 @@ def tail_logs(spark: SparkSession, folder: str, **options: object) -> DataFrame:
     """Follow the log files of a folder: path, byte offset and text of each complete line.
 
     Options: ``glob``, ``partitionBytes`` (a longer range is read by several
-    tasks) and ``maxBytesPerTrigger``.
+    tasks) and ``maxBytesPerTrigger``, which each growing file may exceed by a
+    line. The offset names every file of the folder; for folders of very many
+    finished files use ``scan_logs``.
     """
     spark.dataSource.register(TailSource)
     return spark.readStream.format("tail_logs").options(**options).load(folder)
