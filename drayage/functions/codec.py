@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from drayage.functions.binding import let
+
 
 def base64_line(data: Column) -> Column:
     """Base64 on one line; Spark's own function may break it every 76 characters."""
@@ -24,26 +26,27 @@ def decode_frame(line: Column, prefix: str) -> Column:
     ``bad_size``, ``len_mismatch``, ``bad_prefix`` or ``bad_b64``. A line that
     does not start with the prefix gives a null struct.
     """
-    parts = F.split(F.trim(line, F.lit(" \t\r\n")), r"\s+")
-    size = F.get(parts, F.lit(1)).try_cast("int")
-    body = F.get(parts, F.lit(2))
-    data = F.try_to_binary(body, F.lit("base64"))
-    status = (
-        F.when(F.size(parts) != 3, "bad_parts")
-        .when(size.isNull(), "bad_size")
-        .when(size != F.length(body), "len_mismatch")
-        .when(F.get(parts, F.lit(0)) != prefix, "bad_prefix")
-        .when(data.isNull(), "bad_b64")
-        .otherwise("ok")
-    )
-    return F.when(
-        F.startswith(line, F.lit(prefix)),
-        F.struct(
-            F.when(F.size(parts) == 3, size).alias("size"),
-            F.when(status == "ok", data).alias("data"),
-            status.alias("status"),
-        ),
-    )
+    def check(parts: Column) -> Column:
+        size = F.get(parts, F.lit(1)).try_cast("int")
+        body = F.get(parts, F.lit(2))
+        fault = (
+            F.when(F.size(parts) != 3, "bad_parts")
+            .when(size.isNull(), "bad_size")
+            .when(size != F.length(body), "len_mismatch")
+            .when(F.get(parts, F.lit(0)) != prefix, "bad_prefix")
+        )
+        data = F.when(fault.isNull(), F.try_to_binary(body, F.lit("base64")))
+        return let(
+            F.struct(fault.alias("fault"), data.alias("data")),
+            lambda r: F.struct(
+                F.when(F.size(parts) == 3, size).alias("size"),
+                r["data"].alias("data"),
+                F.coalesce(r["fault"], F.when(r["data"].isNull(), "bad_b64"), F.lit("ok")).alias("status"),
+            ),
+        )
+
+    parts = F.split(F.trim(line, F.lit(" \t\r\n")), r"\s+", 4)
+    return F.when(F.startswith(line, F.lit(prefix)), let(parts, check))
 
 
 def decode_body(body: Column) -> Column:
@@ -51,11 +54,10 @@ def decode_body(body: Column) -> Column:
 
     Gives a struct of kind (``json``, ``text`` or ``bytes``) and text.
     """
-    text = F.make_valid_utf8(body.cast("string"))
-    valid = F.is_valid_utf8(body.cast("string"))
+    raw = body.cast("string")
     kind = (
-        F.when(~valid, "bytes")
-        .when(F.try_parse_json(text).isNotNull(), "json")
+        F.when(~F.is_valid_utf8(raw), "bytes")
+        .when(F.try_parse_json(raw).isNotNull(), "json")
         .otherwise("text")
     )
-    return F.struct(kind.alias("kind"), text.alias("text"))
+    return F.struct(kind.alias("kind"), F.make_valid_utf8(raw).alias("text"))

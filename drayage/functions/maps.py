@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from drayage.functions.binding import let
+
 
 def merge_headers(base: Column, over: Column) -> Column:
     """Union of two maps under lower-cased keys; the last value of a key wins.
@@ -15,14 +17,13 @@ def merge_headers(base: Column, over: Column) -> Column:
         F.concat(_entries(base), _entries(over)),
         lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(
-            keys,
-            lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"],
-        ),
-    )
+    def last_wins(all: Column) -> Column:
+        keys = F.array_distinct(F.transform(all, lambda e: e["key"]))
+        return F.map_from_arrays(keys, F.transform(
+            keys, lambda k: F.element_at(F.filter(all, lambda e: e["key"] == k), -1)["value"]
+        ))
+
+    return let(entries, last_wins)
 
 
 def overlay_env(base: Column, over: Column) -> Column:

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from drayage.functions.binding import let
+
 EOL = "\r\n"
 
 
 def split_lines(text: Column) -> Column:
     """The lines of a text without their ends; a final line end adds no empty line."""
-    lines = F.split(text, "\r?\n")
-    return F.when(
-        F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)
-    ).otherwise(lines)
+    def trimmed(lines: Column) -> Column:
+        return F.when(
+            F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)
+        ).otherwise(lines)
+
+    return let(F.split(text, "\r?\n"), trimmed)
 
 
 def strip_eol(line: Column) -> Column:
@@ -27,22 +31,19 @@ def parse_log_line(line: Column) -> Column:
     Gives a struct of level, stamped_at and message. A line in neither shape is
     all message.
     """
-    head = F.substring_index(line, ": ", 1)
-    has_head = F.contains(line, F.lit(": "))
-    message = F.substr(line, F.length(head) + 3)
-
-    level = F.nullif(F.regexp_extract(head, r"^([A-Z]+) \S+$", 1), F.lit(""))
-    iso = F.try_to_timestamp(F.nullif(F.regexp_extract(head, r"^[A-Z]+ (\S+)$", 1), F.lit("")))
-    epoch = F.nullif(F.regexp_extract(head, r"^(\d+(?:\.\d+)?)$", 1), F.lit(""))
-    micros = (epoch.cast("decimal(20,6)") * 1_000_000).cast("long")
-    stamped_at = F.coalesce(iso, F.timestamp_micros(micros))
-
-    parsed = has_head & stamped_at.isNotNull()
-    return F.struct(
-        F.when(parsed, level).alias("level"),
-        F.when(parsed, stamped_at).alias("stamped_at"),
-        F.when(parsed, message).otherwise(line).alias("message"),
-    )
+    def read(head: Column) -> Column:
+        iso = F.try_to_timestamp(F.nullif(F.regexp_extract(head, r"^[A-Z]+ (\S+)$", 1), F.lit("")))
+        epoch = F.nullif(F.regexp_extract(head, r"^(\d+(?:\.\d+)?)$", 1), F.lit(""))
+        micros = (epoch.cast("decimal(20,6)") * 1_000_000).cast("long")
+        stamp = F.when(F.length(head) < F.length(line), F.coalesce(iso, F.timestamp_micros(micros)))
+        level = F.nullif(F.regexp_extract(head, r"^([A-Z]+) \S+$", 1), F.lit(""))
+        return let(stamp, lambda at: F.struct(
+            F.when(at.isNotNull(), level).alias("level"),
+            at.alias("stamped_at"),
+            F.when(at.isNotNull(), F.substr(line, F.length(head) + 3)).otherwise(line).alias("message"),
+        ))
+
+    return let(F.substring_index(line, ": ", 1), read)
 
 
 def render_template(text: Column, env: Column) -> Column:
@@ -52,8 +53,6 @@ def render_template(text: Column, env: Column) -> Column:
     of text and status: ``ok``, ``missing_key`` or ``unsupported`` for any other
     use of the percent sign; the text is null unless ok.
     """
-    tokens = F.regexp_extract_all(text, F.lit(r"(?s)(%\([^)]*\)s|%%|[^%]+|%)"), F.lit(1))
-
     def name(token: Column) -> Column:
         return F.substr(token, F.lit(3), F.length(token) - 4)
 
@@ -67,16 +66,20 @@ def render_template(text: Column, env: Column) -> Column:
             .otherwise(token)
         )
 
-    missing = F.exists(tokens, lambda t: is_name(t) & ~F.map_contains_key(env, name(t)))
-    status = (
-        F.when(F.array_contains(tokens, "%"), "unsupported")
-        .when(missing, "missing_key")
-        .otherwise("ok")
-    )
-    return F.struct(
-        F.when(status == "ok", F.array_join(F.transform(tokens, fill), "")).alias("text"),
-        status.alias("status"),
-    )
+    def render(tokens: Column) -> Column:
+        missing = F.exists(tokens, lambda t: is_name(t) & ~F.map_contains_key(env, name(t)))
+        status = (
+            F.when(F.array_contains(tokens, "%"), "unsupported")
+            .when(missing, "missing_key")
+            .otherwise("ok")
+        )
+        return let(status, lambda s: F.struct(
+            F.when(s == "ok", F.array_join(F.transform(tokens, fill), "")).alias("text"),
+            s.alias("status"),
+        ))
+
+    tokens = F.regexp_extract_all(text, F.lit(r"(?s)(%\([^)]*\)s|%%|[^%]+|%)"), F.lit(1))
+    return let(tokens, render)
 
 
 def error_text(ename: Column, evalue: Column, traceback: Column) -> Column:

@@ -9,37 +9,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# Consecutive polls of a source that share a state key, and so a task.
+BLOCK = 16
+
 
 class PageDelta(StatefulProcessor):
-    """State of (source, poll): the lines of the page before, until the page itself comes."""
+    """State of (source, block of polls): the lines of the latest page."""
 
     def __init__(self, keep_ms: int | None):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.before = handle.getValueState("before", "lines array<string>", self.keep_ms)
+        self.latest = handle.getValueState("latest", "poll long, lines array<string>", self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen, page = set(), []
+        block = int(key[1])
+        pages: dict[int, list[tuple[int, str]]] = {}
         for batch in rows:
-            earlier = batch["pos"].isna()
-            seen.update(batch.loc[earlier, "line"])
-            page.append(batch.loc[~earlier, ["pos", "line"]])
-        page = pd.concat(page)
-        stored = self.before.get()
-        if stored is not None:
-            seen.update(stored[0])
-        if page.empty:
-            self.before.update((list(seen),))
-            return
+            for poll, pos, line in zip(batch["poll"], batch["pos"], batch["line"]):
+                pages.setdefault(poll, []).append((pos, line))
+        lines = {poll: {line for _, line in page} for poll, page in pages.items()}
+        stored = self.latest.get()
         if stored is not None:
-            self.before.clear()
-        fresh = page.loc[~page["line"].isin(list(seen)), "pos"]
-        if len(fresh):
-            kept = page[page["pos"] >= fresh.min()]
-            yield kept.assign(source=key[0], poll=key[1])[["source", "poll", "pos", "line"]].astype(
-                {"pos": "int64"}
-            )
+            lines.setdefault(stored[0], set()).update(stored[1])
+
+        fresh = []
+        for poll, page in pages.items():
+            if poll // BLOCK == block:  # else the last page of the block before
+                seen = lines.get(poll - 1, ())
+                cut = min((pos for pos, line in page if line not in seen), default=None)
+                if cut is not None:
+                    fresh += [(key[0], poll, pos, line) for pos, line in page if pos >= cut]
+
+        last = max(lines)
+        if last % BLOCK == BLOCK - 1 and last // BLOCK == block:
+            self.latest.clear()  # the next page belongs to the next block
+        elif stored is None or last != stored[0]:
+            self.latest.update((last, list(lines[last])))
+        if fresh:
+            yield pd.DataFrame(fresh, columns=["source", "poll", "pos", "line"])
 
     def close(self) -> None:
         pass
@@ -49,29 +57,35 @@ def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataF
     """Streaming :func:`drayage.operators.logs.poll_delta`.
 
     A page must arrive whole in one micro-batch, and not before the page that
-    precedes it. Each page is sent to its own poll and, as what was seen before,
-    to the next one. State and work are therefore keyed by page and not by
-    source, so a busy source is spread over all tasks, and a group is never
-    longer than two pages. The last page of a source stays in the state, unless
-    ``keep_ms`` lets it go after that time; Spark then runs batches all the time
-    to look for expired state, so a query that is to end by itself must not ask
-    for it.
+    precedes it. State and work are keyed by short blocks of polls and not by
+    source, so a busy source, which has many pages, is spread over all tasks and
+    a group never exceeds ``BLOCK`` + 1 pages. The last page of a block is sent
+    to the next block too, as what was seen before.
+
+    The latest page of a source stays in the state, unless ``keep_ms`` lets it
+    go after that time; Spark then runs batches all the time to look for expired
+    state, so a query that is to end by itself must not ask for it.
     """
     source = snapshots.schema["source"].dataType
-    poll = snapshots.schema["poll"].dataType
-    none = F.lit(None).cast("long")
+    poll = F.col("poll").cast("long")
+    block = F.floor(poll / BLOCK)
+    closes = F.pmod(poll, F.lit(BLOCK)) == BLOCK - 1
     # Text keys: one null among numbers would make pandas read them all as floats.
     shown = snapshots.select(
         F.col("source").cast("string").alias("source"),
+        F.explode(
+            F.when(closes, F.array(block, block + 1)).otherwise(F.array(block)).cast("array<string>")
+        ).alias("block"),
+        poll.alias("poll"),
+        F.col("pos").cast("long").alias("pos"),
         "line",
-        F.explode(F.array(
-            F.struct(F.col("poll").cast("string").alias("poll"), F.col("pos").cast("long").alias("pos")),
-            F.struct((F.col("poll") + 1).cast("string").alias("poll"), none.alias("pos")),
-        )).alias("at"),
-    ).select("source", F.col("at.poll").alias("poll"), F.col("at.pos").alias("pos"), "line")
-    return shown.groupBy("source", "poll").transformWithStateInPandas(
+    )
+    return shown.groupBy("source", "block").transformWithStateInPandas(
         statefulProcessor=PageDelta(keep_ms),
-        outputStructType="source string, poll string, pos long, line string",
+        outputStructType="source string, poll long, pos long, line string",
         outputMode="append",
         timeMode="None" if keep_ms is None else "ProcessingTime",
-    ).withColumns({"source": F.col("source").cast(source), "poll": F.col("poll").cast(poll)})
+    ).withColumns({
+        "source": F.col("source").cast(source),
+        "poll": F.col("poll").cast(snapshots.schema["poll"].dataType),
+    })
