@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from drayage.functions.classify import classify_response, classify_state
 from drayage.operators import ranking
+from drayage.session import materialized
 
 
 def latest_state(states: DataFrame, key: str = "session_id") -> DataFrame:
@@ -84,7 +85,10 @@ def expire_sessions(
     keys; smaller ones go through Spark's session window. Both give the same rows.
     """
     moments = beats.groupBy(key, "ts").agg(F.count(F.lit(1)).alias("n"))
-    cuts = ranking.plan_cuts(moments, [key], ["ts"], rows_per_task)
+    cuts = None
+    if moments.count() > rows_per_task:
+        moments = materialized(moments, "moments")  # read five times below
+        cuts = ranking.plan_cuts(moments, [key], ["ts"], rows_per_task)
     whole = [F.min("ts").alias("born_at"), F.max("ts").alias("last_beat"), F.sum("n").alias("beats")]
     if cuts is None:
         lives = moments.groupBy(key, F.session_window("ts", f"{ttl_seconds} seconds")).agg(*whole)

@@ -70,33 +70,43 @@ def plan_cuts(
 
 def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
     """Add ``__range``, the number of cut points of its key at or before a row,
-    and ``__cut``, whether its key has any."""
-    point = F.struct(*cuts.order)
-    point_type = T.StructType([df.schema[c] for c in cuts.order])
+    and ``__cut``, whether its key has any.
+
+    The binary search is one projection per step, which Spark compiles into the
+    stage that reads the rows.
+    """
+    arrays = [f"{_CUTS}{n}" for n in range(len(cuts.order))]
     if cuts.keys:
         fields = [df.schema[c] for c in cuts.keys]
+        lists = [
+            T.StructField(name, T.ArrayType(df.schema[c].dataType))
+            for name, c in zip(arrays, cuts.order)
+        ]
         table = df.sparkSession.createDataFrame(
-            [(*key, points) for key, points in cuts.points.items()],
-            T.StructType([*fields, T.StructField(_CUTS, T.ArrayType(point_type))]),
+            [(*key, *map(list, zip(*points))) for key, points in cuts.points.items()],
+            T.StructType([*fields, *lists]),
         )
         found = _lookup(df, table, cuts.keys)
     else:
-        literals = [
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(p, point_type)])
-            for p in cuts.points[()]
-        ]
-        found = df.withColumn(_CUTS, F.array(*literals))
-
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_RANGES.bit_length()))])
-
-    def search(at: Column, step: Column) -> Column:
-        return F.when(F.get(F.col(_CUTS), at + step - 1) <= point, at + step).otherwise(at)
-
-    hot = F.col(_CUTS).isNotNull()
-    return found.withColumns({
-        _RANGE: F.when(hot, F.aggregate(steps, F.lit(0), search)).otherwise(0),
-        "__cut": hot,
-    }).drop(_CUTS)
+        found = df.withColumns({
+            name: F.array(*[F.lit(p[n]).cast(df.schema[c].dataType) for p in cuts.points[()]])
+            for n, (name, c) in enumerate(zip(arrays, cuts.order))
+        })
+
+    found = found.withColumns({_RANGE: F.lit(0), "__cut": F.col(arrays[0]).isNotNull()})
+    longest = max(len(points) for points in cuts.points.values())
+    for step in (1 << b for b in reversed(range(longest.bit_length()))):
+        at = F.col(_RANGE) + (step - 1)
+        passed = F.lit(True)
+        for name, column in reversed(list(zip(arrays, cuts.order))):
+            cut, value = F.get(F.col(name), at), F.col(column)
+            less = F.when(cut.isNull(), value.isNotNull()).otherwise(F.coalesce(cut < value, F.lit(False)))
+            passed = less | (cut.eqNullSafe(value) & passed)
+        found = found.withColumn(
+            _RANGE,
+            F.when((at < F.size(arrays[0])) & passed, F.col(_RANGE) + step).otherwise(F.col(_RANGE)),
+        )
+    return found.drop(*arrays)
 
 
 def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that a cluster may keep as they are or override at submit time.
 SETTINGS = {
@@ -62,3 +62,14 @@ def workspace(spark: SparkSession, name: str) -> str:
     )
     root = shared or tempfile.mkdtemp(prefix="drayage-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it from there.
+
+    For results used several times: lost executors cost no recomputation of what
+    came before.
+    """
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

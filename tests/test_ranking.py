@@ -18,15 +18,16 @@ def skewed(spark):
 
 
 def same(a, b):
-    b = b.select(a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """The same rows, found in one job."""
+    signed = a.withColumn("sign", F.lit(1)).unionByName(b.withColumn("sign", F.lit(-1)))
+    return signed.groupBy(b.columns).agg(F.sum("sign").alias("left")).filter("left <> 0").isEmpty()
 
 
 def at():
     return Window.partitionBy("k").orderBy("t", "n")
 
 
-@pytest.mark.parametrize("per_task", [300, 5_000, 1_000_000])
+@pytest.mark.parametrize("per_task", [700, 1_000_000])
 def test_positions(skewed, per_task):
     expected = skewed.withColumn("pos", F.row_number().over(at()).cast("long"))
     assert same(ranking.positions(skewed, ["k"], ["t", "n"], "pos", per_task), expected)
