@@ -238,7 +238,7 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_logs(lines: DataFrame, folder: str) -> None:
-    """Write lines as ``.log`` files, which Spark's text writer cannot name so."""
-    lines.select("line").write.options(
+    """Add lines to a folder as ``.log`` files, a name Spark's text writer cannot give."""
+    lines.select("line").write.mode("append").options(
         extension="log", sep="\u0001", quote="", compression="none"
     ).csv(folder)

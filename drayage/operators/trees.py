@@ -82,5 +82,5 @@ def single_root(entries: DataFrame, archive: str = "archive") -> DataFrame:
     )
     return items.groupBy(archive).agg(
         F.count(F.lit(1)).alias("items"),
-        (F.count(F.lit(1)) == 1).__and__(F.bool_and("is_dir")).alias("valid"),
+        ((F.count(F.lit(1)) == 1) & F.bool_and("is_dir")).alias("valid"),
     )
