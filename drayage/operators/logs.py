@@ -46,10 +46,12 @@ def poll_delta(snapshots: DataFrame) -> DataFrame:
         .groupBy("source", "poll")
         .agg(F.min("first_pos").alias("cut"))
     )
+    s, c = snapshots.alias("s"), cuts.alias("c")
+    same_page = F.col("s.source").eqNullSafe(F.col("c.source")) & (F.col("s.poll") == F.col("c.poll"))
     return (
-        snapshots.join(cuts, ["source", "poll"])
-        .filter(F.col("pos") >= F.col("cut"))
-        .select("source", "poll", "pos", "line")
+        s.join(c, same_page)
+        .filter(F.col("s.pos") >= F.col("c.cut"))
+        .select("s.source", "s.poll", "s.pos", "s.line")
     )
 
 

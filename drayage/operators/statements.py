@@ -52,8 +52,13 @@ def printed_lines(lines: DataFrame, prefix: str) -> DataFrame:
     """
     is_frame = F.startswith("line", F.lit(prefix))
     cuts = lines.filter(is_frame).groupBy("stmt_id").agg(F.min("pos").alias("frame_pos"))
-    before = F.col("frame_pos").isNull() | (F.col("pos") < F.col("frame_pos"))
-    return lines.join(cuts, "stmt_id", "left").filter(before).select("stmt_id", "pos", "line")
+    s, c = lines.alias("s"), cuts.alias("c")
+    before = F.col("c.frame_pos").isNull() | (F.col("s.pos") < F.col("c.frame_pos"))
+    return (
+        s.join(c, F.col("s.stmt_id").eqNullSafe(F.col("c.stmt_id")), "left")
+        .filter(before)
+        .select("s.stmt_id", "s.pos", "s.line")
+    )
 
 
 def builtin_errors(spark: SparkSession) -> DataFrame:

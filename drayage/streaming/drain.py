@@ -15,35 +15,32 @@ class ExitLast(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "pos long")
-        self.held = handle.getValueState("held", "returncode int")
+        self.process = handle.getValueState("process", "last_pos long, returncode int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.last.get()
-        before = last = None if stored is None else stored[0]
+        before = self.process.get() or (None, None)
+        last, code = before
         for batch in rows:
             top = batch["pos"].max()
             if pd.notna(top) and (last is None or top > last):
                 last = int(top)
             exits = batch[batch["returncode"].notna()]
             if len(exits):
-                self.held.update((int(exits["returncode"].iloc[0]),))
+                code = int(exits["returncode"].iloc[0])
                 self.handle.registerTimer(exits["ts"].iloc[0].value // 1_000_000)
-        if last != before:
-            self.last.update((last,))
+        if (last, code) != tuple(before):
+            self.process.update((last, code))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held, stored = self.held.get(), self.last.get()
-        if held is not None:
-            last = None if stored is None else stored[0]
+        stored = self.process.get()
+        if stored is not None and stored[1] is not None:
             yield pd.DataFrame({
                 "pid": [key[0]],
-                "last_pos": pd.Series([last], dtype="Int64"),
-                "returncode": pd.Series([held[0]], dtype="Int32"),
+                "last_pos": pd.Series([stored[0]], dtype="Int64"),
+                "returncode": pd.Series([stored[1]], dtype="Int32"),
             })
-            self.held.clear()
-            self.last.clear()
+            self.process.clear()
 
     def close(self) -> None:
         pass

@@ -13,7 +13,7 @@ from drayage.operators import objects, outcomes, paging, statements
 def output(spark):
     data = [
         ("one", 0, "hello"), ("one", 1, "P 4 YWJj"), ("one", 2, "after"), ("one", 3, "P 4 ZGVm"),
-        ("none", 0, "only"), ("none", 1, "print"), ("bad", 5, "P 9 YWJj"), (None, 0, "x"),
+        ("none", 0, "only"), ("none", 1, "print"), ("bad", 5, "P 9 YWJj"), (None, 0, "x"), (None, 1, "P 4 YWJj"), (None, 2, "y"),
     ]
     return spark.createDataFrame(data, "stmt_id string, pos int, line string")
 
@@ -22,7 +22,7 @@ def test_first_frame(output):
     got = {r.stmt_id: (r.frame_pos, r.data, r.status) for r in statements.first_frame(output, "P ").collect()}
     assert got == {
         "one": (1, None, "bad_prefix"), "none": (None, None, "no_frame"),
-        "bad": (5, None, "len_mismatch"), None: (None, None, "no_frame"),
+        "bad": (5, None, "len_mismatch"), None: (1, None, "bad_prefix"),
     }
     ok = statements.first_frame(output, "P").filter("stmt_id = 'one'").first()
     assert (ok.frame_pos, ok.data, ok.status) == (1, b"abc", "ok")
