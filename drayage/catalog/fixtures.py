@@ -14,6 +14,8 @@ from drayage.sources.tables import table
 
 CHUNK = 4096
 PREFIX = "Frame:b64"
+# Rows per task of the queries that show the handling of large keys.
+CUT_ROWS = 400
 
 BLOBS_SQL = """
 blobs AS (SELECT doc_id AS blob_id, hex(encode(text)) AS h, octet_length(encode(text)) AS size,

@@ -114,6 +114,13 @@ def drain_batches(spark: SparkSession, folder: str) -> DataFrame:
     return logs.drain_batches(output, fx.exits(spark, folder), 20)
 
 
+@query(_DRAIN_SQL.format(pos="pos"))
+def drain_batches_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As above, with processes cut into ranges."""
+    output = fx.lines(spark, folder).select(F.col("source").alias("pid"), "pos", "line")
+    return logs.drain_batches(output, fx.exits(spark, folder), 20, fx.CUT_ROWS)
+
+
 @query(_DRAIN_SQL.format(pos="row_number() OVER (PARTITION BY source ORDER BY pos) - 1"))
 def drain_streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Exits are stamped with the time of the last line, or of the first event without one."""

@@ -334,6 +334,13 @@ def expire_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return lives_in_micros(outcomes.expire_sessions(beats, 6 * 3600))
 
 
+@query(f"WITH {EXPIRE_SQL} SELECT * FROM lives")
+def expire_sessions_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As above, with keys cut into ranges as in a table too large for one task per key."""
+    beats = fx.states(spark, folder).select("session_id", "ts")
+    return lives_in_micros(outcomes.expire_sessions(beats, 6 * 3600, rows_per_task=fx.CUT_ROWS))
+
+
 @query("""SELECT o_custkey, o_orderkey FROM orders
 WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < DATE '1995-03-01')""")
 def new_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -356,6 +363,15 @@ def assign_pages(spark: SparkSession, folder: str) -> DataFrame:
     return paging.assign_pages(orders, ["o_orderdate", "o_orderkey"], 20).select("o_orderkey", "page")
 
 
+@query("""SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 20 AS page
+FROM orders""")
+def assign_pages_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """As above, with the table cut into ranges."""
+    orders = table(spark, folder, "orders").select("o_orderdate", "o_orderkey")
+    paged = paging.assign_pages(orders, ["o_orderdate", "o_orderkey"], 20, fx.CUT_ROWS)
+    return paged.select("o_orderkey", "page")
+
+
 @query("""SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN 'killed' WHEN c_nationkey = 12 THEN 'ok' ELSE 'failed' END AS outcome,
        CASE c_nationkey - 12 WHEN -1 THEN 'SIGHUP' WHEN -2 THEN 'SIGINT' WHEN -3 THEN 'SIGQUIT' WHEN -4 THEN 'SIGILL'
             WHEN -5 THEN 'SIGTRAP' WHEN -6 THEN 'SIGABRT' WHEN -7 THEN 'SIGBUS' WHEN -8 THEN 'SIGFPE'
