@@ -76,23 +76,15 @@ def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
     stage that reads the rows.
     """
     arrays = [f"{_CUTS}{n}" for n in range(len(cuts.order))]
-    if cuts.keys:
-        fields = [df.schema[c] for c in cuts.keys]
-        lists = [
-            T.StructField(name, T.ArrayType(df.schema[c].dataType))
-            for name, c in zip(arrays, cuts.order)
-        ]
-        table = df.sparkSession.createDataFrame(
-            [(*key, *map(list, zip(*points))) for key, points in cuts.points.items()],
-            T.StructType([*fields, *lists]),
-        )
-        found = _lookup(df, table, cuts.keys)
-    else:
-        found = df.withColumns({
-            name: F.array(*[F.lit(p[n]).cast(df.schema[c].dataType) for p in cuts.points[()]])
-            for n, (name, c) in enumerate(zip(arrays, cuts.order))
-        })
-
+    fields = [df.schema[c] for c in cuts.keys]
+    lists = [
+        T.StructField(name, T.ArrayType(df.schema[c].dataType)) for name, c in zip(arrays, cuts.order)
+    ]
+    table = df.sparkSession.createDataFrame(
+        [(*key, *map(list, zip(*points))) for key, points in cuts.points.items()],
+        T.StructType([*fields, *lists]),
+    )
+    found = _lookup(df, table, cuts.keys)
     found = found.withColumns({_RANGE: F.lit(0), "__cut": F.col(arrays[0]).isNotNull()})
     longest = max(len(points) for points in cuts.points.values())
     for step in (1 << b for b in reversed(range(longest.bit_length()))):
@@ -168,6 +160,11 @@ def positions(
     case; no task holds more than about ``rows_per_task`` rows of one key until
     a key exceeds ``MAX_RANGES`` times that.
     """
+    if not keys:
+        # One key for all rows, always 0 but not a literal, so that the lookups
+        # below stay hash joins.
+        whole = df.withColumn("__all", F.pmod(F.xxhash64(*order), F.lit(1)))
+        return positions(whole, ["__all"], order, name, rows_per_task).drop("__all")
     cuts = plan_cuts(df, keys, order, rows_per_task)
     if cuts is None:
         return df.withColumn(name, F.row_number().over(_window(keys, order, False)).cast("long"))
