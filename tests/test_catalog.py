@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import DATA, differences, oracle
+from drayage.catalog import QUERIES, SQL
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+
+
+def test_entry_holds_the_catalog():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -20,7 +26,7 @@ def test_entry(spark):
     assert df.filter("intact").count() == df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, DATA)
-    assert differences(df.collect(), df.columns, con.execute(entry.oracle_sql()[name])) is None
+    df = QUERIES[name](spark, DATA)
+    assert differences(df.collect(), df.columns, con.execute(SQL[name])) is None
