@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from drayage.llm import exact
+from drayage.llm import bpe, exact
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,3 +41,15 @@ FROM n WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 """)
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.duplicate_groups(documents(spark, folder))
+
+
+@query()
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.round_trip(documents(spark, folder), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
