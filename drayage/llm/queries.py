@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact
+from drayage.llm import bpe, exact, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +53,53 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def _secrets_sql() -> str:
+    """Each rule's matches and what lies between them, as the operator places its spans."""
+    either = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    assign = (
+        "((" + "|".join(map(either, ("password", "passwd", "secret", "token")))
+        + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+))"
+    )
+    parts = []
+    for rank, rule in enumerate((*secret_scan.BASE, *secret_scan.KNOWN)):
+        pattern, group = (assign, 3) if rule.kind == "assign" else (f"({rule.pattern})", 1)
+        parts.append(f"""
+    SELECT r, {rank} AS rank, '{rule.kind}' AS kind, pos,
+           list_sum(list_transform(between[1:pos], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(found[1:pos - 1], lambda x: length(x))), 0) AS s,
+           length(found[pos]) AS n, length(part[pos]) AS p, {rule.at_least} AS least
+    FROM (SELECT r, unnest(range(1, len(found) + 1)) AS pos, found, between, part
+          FROM (SELECT r, regexp_extract_all(t, '{pattern}', 1) AS found,
+                       regexp_extract_all(t, '{pattern}', {group}) AS part,
+                       string_split_regex(t, '{pattern.replace("(", "(?:").replace("(?:?:", "(?:")}') AS between
+                FROM d WHERE regexp_matches(t, '{pattern}')))""")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+spans AS (
+    SELECT r, rank, kind, s::BIGINT AS s, (kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT) AS said
+    FROM ({" UNION ALL ".join(parts)}) WHERE p >= least),
+found AS (
+    SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(said, ',' ORDER BY s, rank) FILTER (rank < {len(secret_scan.BASE)}) AS base,
+           string_agg(said, ',' ORDER BY s, rank) AS spans
+    FROM spans GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found USING (r)
+"""
+
+
+@query(_secrets_sql())
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, folder))
+    base = secret_scan.of_kinds(F.col("found"), [r.kind for r in secret_scan.BASE])
+    count = lambda kind: F.size(secret_scan.of_kinds(F.col("found"), [kind])).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("found")).alias("spans"),
+    )
