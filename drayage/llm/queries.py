@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact, secret_scan
+from drayage.llm import bpe, exact, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,3 +103,10 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
         secret_scan.listed(F.col("found")).alias("spans"),
     )
+
+
+@query()
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(documents(spark, folder)).select(
+        "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
+    )
