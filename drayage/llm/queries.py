@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact, secret_scan, simhash
+from drayage.llm import bpe, exact, mixing, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -110,3 +110,80 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_components(documents(spark, folder)).select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _mixing_sql() -> str:
+    m = mixing
+    weights = f"[{', '.join(map(str, m.WEIGHTS))}]"
+    rounds = "perm0 AS (SELECT *, slot // blocks AS pass, slot % blocks AS x FROM slots)"
+    for i in range(m.ROUNDS):
+        rounds += f""",
+keyed{i} AS (SELECT *, ((({m.SEED} + (n + 1) * 7919 + (pass + 1) * 104729) % {m.PRIME} * 48271 % {m.PRIME}
+             + {i + 1} * 69621) % {m.PRIME} * 16807 % {m.PRIME}) % blocks AS key FROM perm{i}),
+perm{i + 1} AS (SELECT * EXCLUDE (key, x), CASE WHEN ((greatest(x, (key - x + blocks) % blocks) % {m.PRIME} * 1103515245
+             + key * 12345 + {i * 777}) % {m.PRIME} // 65536) % 2 = 1 THEN (key - x + blocks) % blocks ELSE x END AS x
+             FROM keyed{i})"""
+    return f"""
+WITH d AS (
+    SELECT doc_id, source, substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 3) AS chunk,
+           coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+ranked AS (
+    SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS n, ({m.MOST_PASSES} * source_size)::DOUBLE AS cap FROM sizes),
+weighed AS (SELECT *, {weights}[1 + n % {len(m.WEIGHTS)}]::DOUBLE AS weight FROM ranked),
+leveled AS (
+    SELECT *, cap / weight AS ratio,
+           ((sum(source_size) OVER ())::DOUBLE
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY cap / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed),
+sources AS (
+    SELECT source, n, source_size, (source_size + {m.BLOCK_WORDS - 1}) // {m.BLOCK_WORDS} AS blocks,
+           least(cap, weight * (SELECT arg_min(level, (ratio, n)) FROM leveled WHERE level <= ratio)) AS target
+    FROM leveled),
+shares AS (
+    SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0.0 END AS share FROM sources),
+totals AS (SELECT sum(share) AS whole, round(sum(share))::BIGINT AS total FROM shares),
+expected AS (
+    SELECT *, slots * share / whole AS mean, floor(slots * share / whole + 1e-9)::BIGINT AS sure FROM (
+        SELECT n, blocks, share, whole, shard, least({m.SHARD_BLOCKS}, total - shard * {m.SHARD_BLOCKS}) AS slots
+        FROM shares, totals, range(0, (total + {m.SHARD_BLOCKS - 1}) // {m.SHARD_BLOCKS}) AS s(shard))),
+parted AS (SELECT *, greatest(mean - sure, 0.0) AS part FROM expected),
+places AS (
+    SELECT *, slots - sum(sure) OVER (PARTITION BY shard) AS rest, sum(part) OVER (PARTITION BY shard) AS parts,
+           sum(part) OVER (PARTITION BY shard ORDER BY n ROWS UNBOUNDED PRECEDING) - part AS place FROM parted),
+draws AS (
+    SELECT shard, ('0x' || substr(md5('{m.SEED}:' || shard || ':' || j), 1, 8))::BIGINT::DOUBLE / 4294967296.0 * parts AS place
+    FROM (SELECT shard, parts, unnest(range(1, rest::BIGINT + 1)) AS j FROM places WHERE n = 0)),
+more AS (
+    SELECT shard, n, count(*) AS more FROM (
+        SELECT shard, draw, last_value(n IGNORE NULLS) OVER (
+            PARTITION BY shard ORDER BY place, draw, n ROWS UNBOUNDED PRECEDING) AS n
+        FROM (SELECT shard, place, 0 AS draw, n FROM places UNION ALL SELECT shard, place, 1, NULL FROM draws))
+    WHERE draw = 1 GROUP BY ALL),
+counts AS (
+    SELECT n, shard, blocks, sure + coalesce(more, 0) AS c,
+           coalesce(sum(sure + coalesce(more, 0)) OVER (
+               PARTITION BY n ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first
+    FROM places LEFT JOIN more USING (shard, n)),
+slots AS (
+    SELECT n, blocks, unnest(range(first, least(first + c, blocks * {m.MOST_PASSES})::BIGINT)) AS slot FROM counts),
+{rounds},
+uses AS (SELECT n, x AS block, count(*) AS uses FROM perm{m.ROUNDS} GROUP BY ALL),
+placed AS (
+    SELECT doc_id, size, source_size, target, n, row_number() OVER () AS r, coalesce(sum(size) OVER (
+        PARTITION BY n ORDER BY chunk, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM d JOIN sources ON d.source IS NOT DISTINCT FROM sources.source),
+parts AS (
+    SELECT r, n, start, size, unnest(range(start // {m.BLOCK_WORDS}, (start + size - 1) // {m.BLOCK_WORDS} + 1)) AS block
+    FROM placed WHERE size > 0),
+taken AS (
+    SELECT r, sum(uses * (least((block + 1) * {m.BLOCK_WORDS}, start + size) - greatest(block * {m.BLOCK_WORDS}, start))) AS w
+    FROM parts JOIN uses USING (n, block) GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(w, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (r)
+"""
+
+
+@query(_mixing_sql())
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken_words(documents(spark, folder))
