@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact, mixing, secret_scan, simhash
+from drayage.llm import bpe, exact, mixing, quality, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -187,3 +187,8 @@ SELECT doc_id, size, source_size, target, coalesce(w, 0)::BIGINT AS taken FROM p
 @query(_mixing_sql())
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken_words(documents(spark, folder))
+
+
+@query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
