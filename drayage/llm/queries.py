@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact, mixing, quality, secret_scan, simhash
+from drayage.llm import bpe, exact, mixing, quality, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -192,3 +192,8 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
