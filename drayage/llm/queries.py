@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, exact, mixing, quality, secret_scan, simhash, toxicity
+from drayage.llm import bpe, chat, exact, mixing, quality, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -197,3 +197,40 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def _chat_sql() -> str:
+    def escaped(column: str) -> str:
+        out = f"replace({column}, '\\', '\\\\')"
+        for control in chat.CONTROLS:
+            out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+        return out
+
+    role = f"replace({escaped('role')}, chr(10), '\\' || chr(10))"
+    frame = len(chat.BEGIN) + len(chat.END) + 1
+    return f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, n, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(n, role)),
+sized AS (SELECT *, length({role}) + length({escaped('text')}) + {frame} AS chars FROM c),
+ends AS (
+    SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+    FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars,
+       count(*) FILTER (role = 'assistant' OR back = 1) AS n_examples,
+       sum(upto) FILTER (role = 'assistant' OR back = 1)::BIGINT AS example_chars
+FROM ends GROUP BY conv_id
+"""
+
+
+@query(_chat_sql())
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.read_back(chat.examples(turns.union(more)))
