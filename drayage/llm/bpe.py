@@ -38,9 +38,10 @@ from pyspark.sql import types as T
 
 from drayage.llm.frames import numbered, pieces
 
-#: The words and transitions that a task remembers; beyond that it starts anew.
-REMEMBERED_WORDS = 300_000
-REMEMBERED_STEPS = 300_000
+#: The words that a task remembers in each of two generations, of which the older one goes
+#: when the younger one is full, and its transitions, after which it starts anew.
+REMEMBERED_WORDS = 450_000
+REMEMBERED_STEPS = 400_000
 
 
 def read_ranks(lines: Iterator[bytes]) -> dict[bytes, int]:
@@ -136,6 +137,7 @@ class Transducer:
     def _forget(self) -> None:
         self.configurations: list[tuple[int, int | None]] = [(0, None)]
         self.configuration_of: dict[tuple[int, int | None], int] = {(0, None): 0}
+        self.starts: dict[int, int] = {}
         self.moves: dict[int, tuple[int, int]] = {}
         self.states: list[tuple[tuple[int, ...], tuple[tuple[int, ...], ...]]] = [((0,), ((),))]
         self.numbers = {self.states[0]: 0}
@@ -157,34 +159,39 @@ class Transducer:
         return out
 
     def _step(self, state: tuple, byte: int) -> tuple[tuple[int, ...], int]:
-        moves, alive, rests, ended = self.moves, [], [], None
+        moves, alive, rests, token = self.moves, [], [], -1
         for configuration, rest in zip(*state):
             move = moves.get(configuration << 8 | byte)
             if move is None:
                 move = moves[configuration << 8 | byte] = self._move(configuration, byte)
             goes_on, ends = move
-            if ends >= 0 and ended is None:
+            if ends >= 0 and token < 0:
                 ended, token = (*rest, ends), ends
             if goes_on >= 0:
                 alive.append(goes_on)
                 rests.append(rest)
-        if ended is None:
+        if token < 0:
             raise ValueError("the ranks lack a single byte")
-        alive.append(self._number(0, token))
+        start = self.starts.get(token)
+        if start is None:
+            start = self.starts[token] = self._number(0, token)
+        alive.append(start)
         rests.append(ended)
-        shared = 0
-        while shared < len(rests[0]) and all(
-            len(rest) > shared and rest[shared] == ended[shared] for rest in rests
-        ):
-            shared += 1
-        if shared:
-            rests = [rest[shared:] for rest in rests]
+        # The residue of the oldest start is the shortest.
+        emitted = rests[0]
+        for rest in rests:
+            if not emitted:
+                break
+            while rest[: len(emitted)] != emitted:
+                emitted = emitted[:-1]
+        if emitted:
+            rests = [rest[len(emitted) :] for rest in rests]
         reached = (tuple(alive), tuple(rests))
         number = self.numbers.get(reached)
         if number is None:
             number = self.numbers[reached] = len(self.states)
             self.states.append(reached)
-        return ended[:shared], number
+        return emitted, number
 
     def _move(self, configuration: int, byte: int) -> tuple[int, int]:
         """The configuration after ``byte`` and the token that ends there, -1 for none."""
@@ -213,19 +220,16 @@ class Encoder:
         self.transducer = Transducer(Vocabulary(ranks))
         self.matches = regex.compile(pattern).findall
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
         words, out = self.words, []
         for piece in self._pieces(text):
             ids = words.get(piece)
             if ids is None:
                 ids = self._encode(piece)
-                if len(piece) <= 64:
-                    words[piece] = ids
+                words = self.words
             out.append(ids)
         return b"".join(out)
 
@@ -239,18 +243,27 @@ class Encoder:
         return [text]
 
     def _encode(self, piece: str) -> bytes:
-        if len(self.parts) > REMEMBERED_WORDS:
-            self.parts.clear()
-        out = []
-        for match in self.matches(piece):
-            ids = self.parts.get(match)
-            if ids is None:
-                found = self.transducer.encode(match.encode())
+        ids = self.older.get(piece)
+        if ids is None:
+            # Of letters only, or with one more character at the end that is neither a letter
+            # nor a digit, it is clear how the pattern matches.
+            body = piece[1:] if piece[:1] == " " else piece
+            if body.isalpha():
+                found = self.transducer.encode(piece.encode())
                 ids = struct.pack(f"<{len(found)}I", *found)
-                if len(match) <= 64:
-                    self.parts[match] = ids
-            out.append(ids)
-        return b"".join(out)
+            elif body[:-1].isalpha() and body[-1:] in ".,;:!?":
+                return self._known(piece[:-1]) + self._known(piece[-1])
+            else:
+                found = [i for match in self.matches(piece) for i in self.transducer.encode(match.encode())]
+                ids = struct.pack(f"<{len(found)}I", *found)
+        if len(piece) <= 64:
+            if len(self.words) >= REMEMBERED_WORDS:
+                self.older, self.words = self.words, {}
+            self.words[piece] = ids
+        return ids
+
+    def _known(self, piece: str) -> bytes:
+        return self.words.get(piece) or self._encode(piece)
 
 
 class Decoder:
@@ -318,6 +331,28 @@ def decode(encoded: DataFrame, ranks_file: str) -> DataFrame:
     return ids.mapInArrow(run, T.StructType([ids.schema["doc_id"]]).add("text", "string"))
 
 
+def with_ids(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``intact``, whether decoding the ids gives the text,
+    in place of the text. Columns of these names must not be there before."""
+    others = [c for c in docs.columns if c != text_col]
+    texts = docs.select(*others, F.col(text_col).cast("string").alias(text_col))
+
+    def run(batches):
+        encoder = _worker_encoder(ranks_file, pattern)
+        decoder = Decoder(encoder.transducer.vocabulary.bytes_of)
+        for piece in pieces(batches, 128):
+            plain = [t or "" for t in piece.column(piece.num_columns - 1).to_pylist()]
+            ids = [encoder.ids(t) for t in plain]
+            intact = ["".join(decoder.stream(i)) == t for i, t in zip(ids, plain)]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns[:-1], pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(intact)],
+                [*others, "n_tokens", "ids", "intact"],
+            )
+
+    schema = T.StructType([texts.schema[c] for c in others])
+    return texts.mapInArrow(run, schema.add("n_tokens", "long").add("ids", "binary").add("intact", "boolean"))
+
+
 def round_trip(docs: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``n_tokens``, ``ids`` and ``decoded``, the UTF-8 bytes
     of the text decoded from the ids, in one pass over the text."""
