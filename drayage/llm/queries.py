@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, chat, exact, mixing, quality, secret_scan, simhash, toxicity
+from drayage.llm import bpe, chat, exact, mixing, quality, secret_scan, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -234,3 +234,23 @@ def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     return chat.read_back(chat.examples(turns.union(more)))
+
+
+@query("""
+WITH w AS (
+    SELECT row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+spots AS (SELECT r, unnest(range(1, len(words) - 18)) AS p, words FROM w),
+windows AS (
+    SELECT r, p, row_number() OVER (PARTITION BY md5(array_to_string(words[p:p + 19], ' ')) ORDER BY r, p) AS n FROM spots),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 20)) AS i FROM windows WHERE n > 1),
+kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text
+    FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN (SELECT r, count(*) AS n FROM gone GROUP BY r) USING (r) LEFT JOIN kept USING (r)
+""")
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_words(documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
