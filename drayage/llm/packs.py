@@ -105,21 +105,22 @@ class Words:
 
 class Asked:
     """The different hashes of a slice in the order in which they are sent: by part, then by the
-    32 bits that tell them apart there. ``of`` is the place in that order of each hash given."""
+    ``bits`` that tell them apart there, 32 or 48. ``of`` is the place in that order of each hash
+    given, ``at`` the place where a hash was given first."""
 
-    def __init__(self, hashes: np.ndarray, parts: int):
-        n = np.uint64(parts)
-        keys = (hashes % n) << np.uint64(32) | (hashes // n) & np.uint64(0xFFFF_FFFF)
+    def __init__(self, hashes: np.ndarray, parts: int, bits: int = 32):
+        n, self.low = np.uint64(parts), np.uint64((1 << bits) - 1)
+        keys = (hashes % n) << np.uint64(bits) | (hashes // n) & self.low
         self.keys, self.at, self.of, self.counts = np.unique(
             keys, return_index=True, return_inverse=True, return_counts=True
         )
-        self.parts, self.edges = np.unique(self.keys >> np.uint64(32), return_index=True)
+        self.parts, self.edges = np.unique(self.keys >> np.uint64(bits), return_index=True)
         self.edges = np.r_[self.edges, len(self.keys)].astype(np.int64)
 
     def sent(self):
         """For each part that is asked: its number, the range in the order, and the packed hashes."""
         for part, s, e in zip(self.parts.tolist(), self.edges[:-1].tolist(), self.edges[1:].tolist()):
-            yield part, s, e, packed((self.keys[s:e] & np.uint64(0xFFFF_FFFF)).astype(np.uint32))
+            yield part, s, e, packed(self.keys[s:e] & self.low)
 
 
 def planes(numbers: np.ndarray) -> bytes:
@@ -138,13 +139,14 @@ def packed(ascending: np.ndarray) -> bytes:
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(data, np.uint32), dtype=np.uint32)
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
 
 
 def sliced(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """``docs`` as a table ``slice, id, text`` in the shared folder, bucketed by slice, and how many
     parts the hash space should have. Reading it by slice moves nothing; rows with the same id
-    share a slice. A null text becomes an empty one; ids are whole numbers or null."""
+    share a slice. A null text becomes an empty one; ids are whole numbers or null. There are
+    65,536 parts at most, so that 48 bits beside the part fit a number."""
     plain, names = numbered(docs)
     text = F.coalesce(F.col(names[text_col]).cast("string"), F.lit(""))
     rows = plain.select(F.col(names[id_col]).cast("long").alias("id"), text.alias("text"))
@@ -159,7 +161,7 @@ def sliced(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]
         .write.bucketBy(partitions, "slice").option("compression", "zstd")
         .option("path", workspace(spark, "slices")).saveAsTable(name)
     )
-    return spark.table(name), max(1, min(1 << 31, size // 6 // PART_HASHES), 2 * partitions)
+    return spark.table(name), min(1 << 16, max(1, size // 6 // PART_HASHES, 2 * partitions))
 
 
 def by_slice(table: DataFrame, answers: DataFrame | None, run: Callable, schema: str) -> DataFrame:

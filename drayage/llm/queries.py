@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, chat, exact, mixing, quality, secret_scan, simhash, substrings, toxicity
+from drayage.llm import bpe, chat, exact, mixing, quality, scoring, secret_scan, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -254,3 +254,27 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeated_words(documents(spark, folder)).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )
+
+
+@query(f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+w AS (SELECT r, unnest(words) AS a, unnest(range(1, len(words) + 1)) AS i FROM d),
+g AS (SELECT r, i, lag(a, 2) OVER d AS c, lag(a) OVER d AS b, a FROM w WINDOW d AS (PARTITION BY r ORDER BY i)),
+n1 AS (SELECT a, count(*) AS n FROM g GROUP BY ALL),
+n2 AS (SELECT b, a, count(*) AS n FROM g WHERE b IS NOT NULL GROUP BY ALL),
+n3 AS (SELECT c, b, a, count(*) AS n FROM g WHERE c IS NOT NULL GROUP BY ALL),
+s AS (
+    SELECT r, CASE
+        WHEN n3.n >= {scoring.SEEN} THEN n3.n::DOUBLE / h2.n
+        WHEN n2.n >= {scoring.SEEN} THEN n2.n::DOUBLE / h1.n * CASE WHEN g.c IS NULL THEN 1.0 ELSE {scoring.BACKOFF} END
+        ELSE n1.n::DOUBLE / (SELECT count(*) FROM g) * CASE WHEN g.b IS NULL THEN 1.0 ELSE {scoring.BACKOFF} END
+             * CASE WHEN g.c IS NULL THEN 1.0 ELSE {scoring.BACKOFF} END END AS score
+    FROM g JOIN n1 ON g.a = n1.a LEFT JOIN n1 h1 ON g.b = h1.a LEFT JOIN n2 ON g.a = n2.a AND g.b = n2.b
+    LEFT JOIN n2 h2 ON g.b = h2.a AND g.c = h2.b LEFT JOIN n3 ON g.a = n3.a AND g.b = n3.b AND g.c = n3.c)
+SELECT doc_id, len(words) AS n_words, coalesce(l, 0)::BIGINT AS log_score
+FROM d LEFT JOIN (SELECT r, sum(floor(log10(score) * 1e6 + 0.5)) AS l FROM s GROUP BY r) USING (r)
+""")
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scores(documents(spark, folder)).select("doc_id", "n_words", "log_score")
