@@ -51,8 +51,9 @@ SELECT blob_id, segment, octet_length(content) AS n_bytes, md5(content) AS diges
 FROM (SELECT blob_id, segment, unhex(substr(h, segment * 32768 + 1, 32768)) AS content
       FROM blobs, unnest(range(0, CAST(ceil(size / 16384.0) AS BIGINT))) AS t(segment))""")
 def assemble_segments(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = payloads.chunk_payload(fx.blobs(spark, folder), fx.CHUNK)
-    return payloads.assemble_segments(chunks, fx.CHUNK, 4 * fx.CHUNK).select(
+    blobs = fx.blobs(spark, folder)
+    chunks = payloads.chunk_payload(blobs, fx.CHUNK)
+    return payloads.assemble_segments(chunks, payloads.manifest(blobs, fx.CHUNK), 4 * fx.CHUNK).select(
         "blob_id", "segment",
         F.octet_length("content").cast("long").alias("n_bytes"),
         F.md5("content").alias("digest"),

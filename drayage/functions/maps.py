@@ -27,9 +27,10 @@ def merge_headers(base: Column, over: Column) -> Column:
 
 
 def overlay_env(base: Column, over: Column) -> Column:
-    """Environment after an overlay: its values win, and its nulls delete."""
-    given = F.coalesce(over, F.create_map().cast("map<string,string>"))
-    kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(given, k))
+    """Environment after an overlay: its values win, and its nulls delete. A null map counts as empty."""
+    empty = F.create_map().cast("map<string,string>")
+    given = F.coalesce(over, empty)
+    kept = F.map_filter(F.coalesce(base, empty), lambda k, _: ~F.map_contains_key(given, k))
     return F.map_filter(F.map_concat(kept, given), lambda _, v: v.isNotNull())
 
 

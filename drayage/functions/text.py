@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from drayage.functions.binding import let
 
 EOL = "\r\n"
+LAST_SECOND = 253_402_300_800
 
 
 def split_lines(text: Column) -> Column:
@@ -34,7 +35,9 @@ def parse_log_line(line: Column) -> Column:
     def read(head: Column) -> Column:
         iso = F.try_to_timestamp(F.nullif(F.regexp_extract(head, r"^[A-Z]+ (\S+)$", 1), F.lit("")))
         epoch = F.nullif(F.regexp_extract(head, r"^(\d+(?:\.\d+)?)$", 1), F.lit(""))
-        micros = (epoch.cast("decimal(20,6)") * 1_000_000).cast("long")
+        # Numbers that are no time before the year 10000 stamp nothing.
+        seconds = epoch.try_cast("decimal(20,6)")
+        micros = F.when(seconds < LAST_SECOND, (seconds * 1_000_000).cast("long"))
         stamp = F.when(F.length(head) < F.length(line), F.coalesce(iso, F.timestamp_micros(micros)))
         level = F.nullif(F.regexp_extract(head, r"^([A-Z]+) \S+$", 1), F.lit(""))
         return let(stamp, lambda at: F.struct(
@@ -83,8 +86,9 @@ def render_template(text: Column, env: Column) -> Column:
 
 
 def error_text(ename: Column, evalue: Column, traceback: Column) -> Column:
-    """One readable message for a failed statement."""
+    """One readable message for a failed statement; a missing name or value prints as ``None``."""
+    none = F.lit("None")
     return F.concat(
-        F.lit("error in statement execution: "), ename, F.lit("("), evalue, F.lit("):\n"),
-        F.array_join(traceback, ""),
+        F.lit("error in statement execution: "), F.coalesce(ename, none), F.lit("("),
+        F.coalesce(evalue, none), F.lit("):\n"), F.coalesce(F.array_join(traceback, ""), F.lit("")),
     )

@@ -83,8 +83,9 @@ def expire_sessions(
 
     Tables with more rows than one task should take are cut inside their hot
     keys; smaller ones go through Spark's session window. Both give the same rows.
+    A heartbeat without a time counts nowhere.
     """
-    moments = beats.groupBy(key, "ts").agg(F.count(F.lit(1)).alias("n"))
+    moments = beats.filter(F.col("ts").isNotNull()).groupBy(key, "ts").agg(F.count(F.lit(1)).alias("n"))
     cuts = None
     if moments.count() > rows_per_task:
         moments = materialized(moments, "moments")  # read five times below

@@ -14,15 +14,15 @@ SHALLOW_ROWS = 100_000
 
 
 def offset_page(df: DataFrame, order: Sequence[str], start: int, size: int) -> DataFrame:
-    """The page of ``size`` rows that begins at offset ``start``.
+    """The page of ``size`` rows that begins at offset ``start``, in order.
 
-    Shallow pages are a top-k. Deep ones are taken by position, as a top-k would
-    keep everything before them in one task.
+    Shallow pages are a top-k. Deep ones are taken by position and sorted, as a top-k
+    would keep everything before them in one task; the rows and their order are the same.
     """
     if start + size <= SHALLOW_ROWS:
         return df.orderBy(*order).offset(start).limit(size)
     numbered = ranking.positions(df, [], order, "__pos")
-    return numbered.filter(F.col("__pos").between(start + 1, start + size)).drop("__pos")
+    return numbered.filter(F.col("__pos").between(start + 1, start + size)).orderBy("__pos").drop("__pos")
 
 
 def assign_pages(

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_SIZE = 50_000
 SEGMENT_BYTES = 64 << 20
-# A Spark row holds less than 2 GiB; larger payloads stay in segments.
-MAX_BLOB_BYTES = 1 << 30
-MAX_BLOB_CHUNKS = 1 << 24
+# A Spark row holds less than 2 GiB; the content of longer payloads comes in segments.
+ROW_BYTES = 1 << 30
 
 
 def manifest(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
@@ -75,62 +74,76 @@ def verify_chunks(chunks: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def assemble_chunks(
-    chunks: DataFrame, manifest: DataFrame, max_blob_bytes: int = MAX_BLOB_BYTES
-) -> DataFrame:
+def assemble_chunks(chunks: DataFrame, manifest: DataFrame, row_bytes: int = ROW_BYTES) -> DataFrame:
     """Put the chunks of each payload together in index order, one row per payload.
 
-    Status is ``ok``, ``missing``, ``duplicate``, ``size_mismatch`` or
-    ``oversize``; content is null unless ok. Payloads whose chunks fit no row are
-    oversize: take them whole from :func:`assemble_segments`.
+    The status is that of :func:`verify_chunks`, by one rule for any length. Content is there
+    for payloads that are ``ok`` and fit a row; longer ones come whole from
+    :func:`assemble_segments`.
     """
-    heavy = chunks.groupBy("blob_id").agg(
-        F.sum(F.octet_length("chunk").cast("long")).alias("bytes"), F.count(F.lit(1)).alias("rows")
-    ).filter((F.col("bytes") > max_blob_bytes) | (F.col("rows") > MAX_BLOB_CHUNKS))
-    # At most (all bytes / max_blob_bytes) + (all chunks / MAX_BLOB_CHUNKS) ids,
-    # about 100,000 in 100 TB.
-    oversize = F.broadcast(heavy.select("blob_id"))
-    joined = chunks.join(oversize, "blob_id", "left_anti").groupBy("blob_id").agg(
-        F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("joined"),
-        F.count(F.lit(1)).alias("n"),
-        F.size(F.collect_set("i")).alias("distinct"),
-        F.max("i").alias("hi"),
-    )
-    marked = manifest.join(oversize.withColumn("oversize", F.lit(True)), "blob_id", "left")
-    content = F.coalesce("joined", F.lit(b""))
-    n, distinct = F.coalesce("n", F.lit(0)), F.coalesce("distinct", F.lit(0))
-    status = (
-        F.when(F.col("oversize"), "oversize")
-        .when(
-            (distinct != F.col("num_chunks"))
-            | (F.coalesce("hi", F.lit(-1)) != F.col("num_chunks") - 1),
-            "missing",
-        )
-        .when(n > distinct, "duplicate")
-        .when(F.octet_length(content) != F.col("size"), "size_mismatch")
-        .otherwise("ok")
+    checked = verify_chunks(chunks, manifest).select("blob_id", "num_chunks", "size", "status")
+    due = checked.filter((F.col("status") == "ok") & F.col("size").between(1, row_bytes)).select("blob_id")
+    joined = chunks.join(due, "blob_id").groupBy("blob_id").agg(
+        F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("joined")
     )
-    return marked.join(joined, "blob_id", "left").select(
-        "blob_id", "num_chunks", status.alias("status"),
-        F.when(status == "ok", content).alias("content"),
+    empty = (F.col("status") == "ok") & (F.col("size") == 0)
+    return checked.join(joined, "blob_id", "left").select(
+        "blob_id", "num_chunks", "status", F.when(empty, F.lit(b"")).otherwise(F.col("joined")).alias("content")
     )
 
 
 def assemble_segments(
-    chunks: DataFrame, chunk_size: int = CHUNK_SIZE, segment_bytes: int = SEGMENT_BYTES
+    chunks: DataFrame, manifest: DataFrame, segment_bytes: int = SEGMENT_BYTES
 ) -> DataFrame:
-    """Put chunks together into numbered segments of bounded size.
-
-    Works for payloads of any length: the segments of one payload, in order, are
-    its bytes, and they are built by as many tasks as there are segments. Of a
-    chunk delivered twice one copy counts.
+    """Put chunks together into numbered segments of bounded size, each with a status.
+
+    Works for payloads of any length: the segments of one payload, in order, are its bytes,
+    and they are built by as many tasks as there are segments. An empty payload is one empty
+    segment. Of a chunk delivered more than once one copy counts, and the segment is a
+    ``duplicate``; ``missing`` and ``size_mismatch`` say that it is not what the manifest
+    tells. Content is null unless ``ok`` or ``duplicate``. Chunks beyond the manifest's last
+    one are left out. The chunks are shuffled once.
     """
-    per_segment = max(1, segment_bytes // chunk_size)
-    return (
-        chunks.dropDuplicates(["blob_id", "i"])
-        .groupBy("blob_id", F.floor(F.col("i") / per_segment).alias("segment"))
-        .agg(F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("content"))
+    planned = manifest.withColumn(
+        "per", F.greatest(F.lit(1), F.floor(F.lit(segment_bytes) / F.col("chunk_size"))).cast("long")
+    )
+    first, last = F.col("segment") * F.col("per"), (F.col("segment") + 1) * F.col("per")
+    count = F.greatest(F.ceil(F.col("num_chunks") / F.col("per")), F.lit(1))
+    expected = planned.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), count - 1))).select(
+        "blob_id", "segment",
+        (F.least(last, "num_chunks") - first).alias("due"),
+        (F.least(last * F.col("chunk_size"), "size") - first * F.col("chunk_size")).alias("due_bytes"),
+    )
+    sized = chunks.join(planned.select("blob_id", "per", "num_chunks"), "blob_id").filter(
+        (F.col("i") >= 0) & (F.col("i") < F.col("num_chunks"))
+    )
+    dealt = sized.select("blob_id", F.floor(F.col("i") / F.col("per")).alias("segment"), "i", "chunk").repartition(
+        "blob_id", "segment"
     )
+    once = dealt.groupBy("blob_id", "segment", "i").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("chunk").alias("chunk")
+    )
+    built = once.groupBy("blob_id", "segment").agg(
+        F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("content"),
+        F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"),
+    )
+    content = F.coalesce("content", F.lit(b""))
+    status = (
+        F.when(F.coalesce("n", F.lit(0)) != F.col("due"), "missing")
+        .when(F.octet_length(content) != F.col("due_bytes"), "size_mismatch")
+        .when(F.coalesce("copies", F.lit(0)) > F.col("due"), "duplicate")
+        .otherwise("ok")
+    )
+    return expected.join(built, ["blob_id", "segment"], "left").select(
+        "blob_id", "segment", status.alias("status"),
+        F.when(status.isin("ok", "duplicate"), content).alias("content"),
+    )
+
+
+def segments_digest(digests: Column) -> Column:
+    """Digest of a payload from those of its segments in order: that of its only segment, or of all
+    of them joined, as for uploads in parts."""
+    return F.when(F.size(digests) == 1, digests[0]).otherwise(F.md5(F.array_join(digests, "")))
 
 
 def upload_progress(chunks: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -11,10 +11,12 @@ import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Values shipped to every executor with a user function.
 MAX_VARS_BYTES = 64 << 20
@@ -125,25 +127,28 @@ def apply_with(
     max_tries: int = 1,
     pause: float = 0.0,
     retry_on: tuple[type[Exception], ...] = (Exception,),
+    max_vars_bytes: int | None = None,
 ) -> DataFrame:
     """Call ``fn(*inputs, **vars)`` for each row, keeping what it returns and prints.
 
     Adds ``value`` of the SQL type ``result``, ``printed`` lines, ``attempts``
     and ``error_type``, which is null on success. The exceptions in ``retry_on``
-    are retried up to ``max_tries`` calls in all; any other ends the row.
+    are retried up to ``max_tries`` calls in all; any other ends the row. The function gets
+    plain Python values, whole numbers as such and nulls as None, and the columns of ``df``
+    pass through as they are. ``max_vars_bytes``, by default ``MAX_VARS_BYTES``, bounds what is
+    shipped to every executor.
     """
     spark = df.sparkSession
     packed = cloudpickle.dumps(dict(vars))
-    if len(packed) > MAX_VARS_BYTES:
-        raise ValueError(f"vars take {len(packed)} bytes, more than {MAX_VARS_BYTES}")
+    most = MAX_VARS_BYTES if max_vars_bytes is None else max_vars_bytes
+    if len(packed) > most:
+        raise ValueError(f"vars take {len(packed)} bytes, more than {most}")
     shipped = spark.sparkContext.broadcast(packed)
     names = list(inputs)
-    schema = T.StructType([
-        *df.schema,
-        *T.StructType.fromDDL(
-            f"value {result}, printed array<string>, attempts int, error_type string"
-        ),
-    ])
+    added = T.StructType.fromDDL(
+        f"value {result}, printed array<string>, attempts int, error_type string"
+    )
+    schema = T.StructType([*df.schema, *added])
 
     def call(args, values):
         printed, error = [], None
@@ -162,17 +167,19 @@ def apply_with(
                 time.sleep(pause)
         return None, printed, attempt, error
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = pickle.loads(shipped.value)  # packed above by this very call
+        types = [to_arrow_type(f.dataType) for f in added]
         for batch in batches:
-            done = [call(args, values) for args in batch[names].itertuples(index=False, name=None)]
+            inputs = [batch.column(name).to_pylist() for name in names]
+            done = [call(args, values) for args in zip(*inputs)] if inputs else [
+                call((), values) for _ in range(batch.num_rows)
+            ]
             columns = list(zip(*done)) if done else [(), (), (), ()]
-            out = batch.copy()
-            for name, column in zip(("value", "printed", "attempts", "error_type"), columns):
-                out[name] = pd.Series(list(column), dtype=object, index=batch.index)
-            yield out
+            made = [pa.array(column, kind) for column, kind in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *added.names])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def register_transform(

@@ -11,17 +11,38 @@ from drayage.operators import payloads, trees
 from drayage.sources import archives, files
 
 
-def upload_audit(blobs: DataFrame, chunk_size: int = payloads.CHUNK_SIZE) -> DataFrame:
-    """Cut, check and reassemble payloads; say of each whether it came through unchanged."""
-    chunks = payloads.chunk_payload(blobs, chunk_size)
+def upload_audit(
+    blobs: DataFrame,
+    chunk_size: int = payloads.CHUNK_SIZE,
+    segment_bytes: int = payloads.SEGMENT_BYTES,
+) -> DataFrame:
+    """Cut, check and reassemble payloads; say of each whether it came through unchanged.
+
+    Payloads of any length are judged by the digests of their segments. Their bytes are
+    shuffled once, as chunks; the sent side only sends digests.
+    """
     plan = payloads.manifest(blobs, chunk_size)
-    arrived = payloads.assemble_chunks(chunks, plan).select(
-        "blob_id", "num_chunks", "status", F.md5("content").alias("digest")
+    segments = payloads.assemble_segments(payloads.chunk_payload(blobs, chunk_size), plan, segment_bytes)
+    # The first of these that any segment has is that of the payload.
+    faults = ["missing", "size_mismatch", "duplicate"]
+    found = [F.max(F.when(F.col("status") == fault, F.lit(fault))) for fault in faults]
+    arrived = segments.withColumn("digest", F.md5("content")).groupBy("blob_id").agg(
+        F.coalesce(*found, F.lit("ok")).alias("status"),
+        F.sort_array(F.collect_list(F.struct("segment", "digest"))).alias("parts"),
+    ).select("blob_id", "status", payloads.segments_digest(F.col("parts.digest")).alias("digest"))
+
+    step = max(1, segment_bytes // chunk_size) * chunk_size
+    size = F.octet_length("content")
+    places = F.sequence(F.lit(0), F.greatest(F.ceil(size / step), F.lit(1)).cast("int") - 1)
+    parts = F.transform(places, lambda s: F.md5(F.substring("content", s * step + 1, F.lit(step))))
+    sent = blobs.select(
+        "blob_id", F.ceil(size / chunk_size).alias("num_chunks"),
+        payloads.segments_digest(parts).alias("sent_digest"),
     )
-    sent = blobs.select("blob_id", F.md5("content").alias("sent_digest"))
+    ok = F.col("status") == "ok"
     return arrived.join(sent, "blob_id").select(
-        "blob_id", "num_chunks", "status", "digest",
-        F.col("digest").eqNullSafe(F.col("sent_digest")).alias("intact"),
+        "blob_id", "num_chunks", "status", F.when(ok, F.col("digest")).alias("digest"),
+        (ok & F.col("digest").eqNullSafe(F.col("sent_digest"))).alias("intact"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -54,12 +55,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
 def workspace(spark: SparkSession, name: str) -> str:
     """A new, empty folder path that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. Only where that is unset, as in a
-    local test, a machine-local folder stands in.
+    It lies under ``spark.checkpoint.dir``. Only where that is unset and everything
+    runs in one process, as in a local test, a machine-local folder stands in.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not shared and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = shared or tempfile.mkdtemp(prefix="drayage-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

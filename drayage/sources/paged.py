@@ -13,7 +13,7 @@ Provider = Callable[[int, int], pa.Table]
 
 class PageRange(InputPartition):
     """Pages from offset ``start`` on; ``stop`` is None for the last range, which
-    reads until a short page."""
+    reads until an empty page."""
 
     def __init__(self, start: int, stop: int | None):
         self.start = start
@@ -46,10 +46,12 @@ def scan_paged(
         def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
             offset = partition.start
             while partition.stop is None or offset < partition.stop:
-                page = provider(offset, page_size)
-                yield from page.to_batches()
-                if page.num_rows < page_size:
+                left = page_size if partition.stop is None else partition.stop - offset
+                # A provider may serve less than it is asked for; the next page starts behind that.
+                page = provider(offset, min(page_size, left))
+                if page.num_rows == 0:
                     break
+                yield from page.to_batches()
                 offset += page.num_rows
 
     class Source(DataSource):

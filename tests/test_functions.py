@@ -133,3 +133,20 @@ def test_classify_state(value, goal, answers):
 ])
 def test_classify_returncode(value, code, expected):
     assert tuple(value(classify.classify_returncode(F.lit(code).cast("int")))) == expected
+
+
+@pytest.mark.parametrize("head", ["1700000000000000", "9" * 15, "9" * 40, "999999999999.5"])
+def test_numbers_that_are_no_time_stamp_nothing(value, head):
+    got = value(text.parse_log_line(F.lit(f"{head}: x")))
+    assert got["stamped_at"] is None and got["message"] == f"{head}: x"
+
+
+def test_error_text_with_missing_parts(value):
+    null = F.lit(None).cast("string")
+    got = value(text.error_text(null, null, F.lit(None).cast("array<string>")))
+    assert got == "error in statement execution: None(None):\n"
+
+
+def test_overlay_of_a_null_base(value):
+    over = F.create_map(F.lit("A"), F.lit("1"), F.lit("B"), F.lit(None).cast("string"))
+    assert value(maps.overlay_env(F.lit(None).cast("map<string,string>"), over)) == {"A": "1"}

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from drayage.operators import payloads
+from drayage.plans import upload
 
 
 @pytest.fixture(scope="module")
@@ -46,13 +47,15 @@ def test_faults_are_told_apart(blobs):
 
 def test_payloads_too_large_for_a_row_come_in_segments(blobs):
     chunks, plan = payloads.chunk_payload(blobs, 1024), payloads.manifest(blobs, 1024)
-    whole = payloads.assemble_chunks(chunks, plan, max_blob_bytes=4500)
-    assert {r.blob_id: r.status for r in whole.collect()}[5] == "oversize"
+    whole = payloads.assemble_chunks(chunks, plan, row_bytes=4500).collect()
+    assert {r.status for r in whole} == {"ok"}
+    assert [r.blob_id for r in whole if r.content is None] == [5]
     twice = chunks.unionByName(chunks.filter("i = 1"))
-    segments = payloads.assemble_segments(twice, 1024, 2048).orderBy("blob_id", "segment").collect()
+    segments = payloads.assemble_segments(twice, plan, 2048).orderBy("blob_id", "segment").collect()
     content = {r.blob_id: bytes(r.content) for r in blobs.collect()}
     assert all(len(r.content) <= 2048 for r in segments)
-    for key in (2, 3, 4, 5):
+    assert {r.status for r in segments if r.segment == 0 and r.blob_id > 2} == {"duplicate"}
+    for key in (1, 2, 3, 4, 5):
         assert b"".join(bytes(r.content) for r in segments if r.blob_id == key) == content[key]
 
 
@@ -68,3 +71,19 @@ def test_progress_is_told_after_each_chunk(blobs, rows):
 def test_chunking_stays_in_one_generated_stage_without_shuffle(blobs):
     plan = payloads.chunk_payload(blobs, 1024)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "*(1) Generate" in plan
+
+
+def test_segments_tell_what_is_wrong_with_them(blobs):
+    chunks, plan = payloads.chunk_payload(blobs, 1024), payloads.manifest(blobs, 1024)
+    broken = chunks.filter("NOT (blob_id = 3 AND i = 2)").withColumn(
+        "chunk", F.when((F.col("blob_id") == 5) & (F.col("i") == 4), F.lit(b"short")).otherwise(F.col("chunk"))
+    )
+    found = {(r.blob_id, r.segment): (r.status, r.content) for r in payloads.assemble_segments(broken, plan, 2048).collect()}
+    assert found[3, 1] == ("missing", None) and found[3, 0][0] == "ok"
+    assert found[5, 2] == ("size_mismatch", None) and found[1, 0] == ("ok", b"")
+    assert len(found) == 1 + 1 + 2 + 2 + 3
+
+
+def test_audit_of_payloads_longer_than_a_segment(blobs):
+    found = upload.upload_audit(blobs, 1024, 2048).collect()
+    assert {(r.status, r.intact) for r in found} == {("ok", True)} and len(found) == 5

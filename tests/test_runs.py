@@ -115,6 +115,21 @@ def test_a_beat_at_the_end_of_life_extends(spark, per_task):
     assert [(r.beats, r.dead_at - t0) for r in got] == [(3, timedelta(seconds=30)), (1, timedelta(seconds=41))]
 
 
+@pytest.mark.parametrize("per_task", [1_000, 2])
+def test_heartbeats_without_a_time_count_nowhere(spark, per_task):
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", t0), ("a", None), ("a", t0 + timedelta(seconds=5)), ("a", t0 + timedelta(seconds=90)), ("b", None), ("b", None)]
+    df = spark.createDataFrame(rows, "session_id string, ts timestamp")
+    got = outcomes.expire_sessions(df, 10, rows_per_task=per_task).orderBy("born_at").collect()
+    assert [(r.session_id, r.beats) for r in got] == [("a", 2), ("a", 1)]
+
+
+def test_deep_page_is_in_order(spark):
+    df = spark.range(250_000).selectExpr("id", "250000 - id AS back").repartition(8)
+    page = paging.offset_page(df, ["back"], 120_000, 40_000)
+    assert [r.back for r in page.collect()] == list(range(120_001, 160_001))
+
+
 def test_objects(spark):
     written = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, None)],
                                     "name string, version int, value string")
@@ -135,7 +150,7 @@ def test_pages(spark):
 def test_deep_page_avoids_top_k(spark):
     df = spark.range(250_000)
     page = paging.offset_page(df, ["id"], 200_000, 3)
-    assert sorted(r.id for r in page.collect()) == [200_000, 200_001, 200_002]
+    assert [r.id for r in page.collect()] == [200_000, 200_001, 200_002]
     assert "TakeOrdered" not in page._jdf.queryExecution().executedPlan().toString()
 
 

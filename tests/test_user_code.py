@@ -89,3 +89,18 @@ def test_scan_paged(spark, rows, known):
     df = paged.scan_paged(spark, f"numbers_{rows}_{known}", provider, "id long", 20,
                           rows if known else None, pages_per_task=2)
     assert sorted(r.id for r in df.collect()) == list(range(rows))
+
+
+def test_apply_with_keeps_whole_numbers_and_nulls(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(1, big), (2, None)], "id int, x long").coalesce(1)
+    got = user_code.apply_with(df, lambda x: repr(x), ["x"], {}, "string").orderBy("id").collect()
+    assert [(r.x, r.value) for r in got] == [(big, str(big)), (None, "None")]
+
+
+def test_pages_shorter_than_asked_for(spark):
+    def provider(offset, size):
+        return pa.table({"n": list(range(offset, min(200, offset + size, offset + 10)))}, pa.schema([("n", pa.int64())]))
+
+    df = paged.scan_paged(spark, "short_pages", provider, "n long", page_size=20, pages_per_task=2)
+    assert sorted(r.n for r in df.collect()) == list(range(200))
