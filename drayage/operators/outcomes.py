@@ -81,20 +81,18 @@ def expire_sessions(
 ) -> DataFrame:
     """Lives of each session: a heartbeat within ``ttl_seconds`` of the last one extends.
 
-    Tables with more rows than one task should take are cut inside their hot
-    keys; smaller ones go through Spark's session window. Both give the same rows.
+    Sessions with more heartbeats than one task should take are cut; without such ones all
+    go through Spark's session window. Both give the same rows.
     A heartbeat without a time counts nowhere.
     """
     moments = beats.filter(F.col("ts").isNotNull()).groupBy(key, "ts").agg(F.count(F.lit(1)).alias("n"))
-    cuts = None
-    if moments.count() > rows_per_task:
-        moments = materialized(moments, "moments")  # read five times below
-        cuts = ranking.plan_cuts(moments, [key], ["ts"], rows_per_task)
+    cuts = ranking.plan_cuts(moments, [key], ["ts"], rows_per_task)
     whole = [F.min("ts").alias("born_at"), F.max("ts").alias("last_beat"), F.sum("n").alias("beats")]
     if cuts is None:
         lives = moments.groupBy(key, F.session_window("ts", f"{ttl_seconds} seconds")).agg(*whole)
     else:
-        ranged = ranking.with_range(moments, cuts)
+        # Read several times below.
+        ranged = ranking.with_range(materialized(moments, "moments"), cuts)
         seen = ranking.previous_value(ranged, [key], ["ts"], "ts", "previous", cuts)
         gap = F.unix_micros("ts") - F.unix_micros("previous")
         fresh = F.when(F.col("previous").isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0)

@@ -1,9 +1,10 @@
 """Ranks, running sums and previous values that survive a hot key.
 
-A window partitioned by a key puts all rows of that key into one task. The
-functions here cut large keys into order ranges first, rank inside each range,
-and add what lies before the range. Cut points come from a bounded sample and
-steer balance only; the results are exact for any cut points.
+A window partitioned by a key puts all rows of that key into one task. The functions
+here count the rows of each key, cut only the keys with more rows than a task should take
+into order ranges, rank inside each range, and add what lies before the range. All other
+keys take the plain window in the same pass. Cut points come from a sample of the hot keys
+and steer balance only; the results are exact for any cut points.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_ROWS = 65_536
-MAX_RANGES = 8_192
+# Sampled rows for each range of a hot key.
+SAMPLE_PER_RANGE = 64
 ROWS_PER_TASK = 4_000_000
+# Tables with up to this many cut points are broadcast; longer ones are joined as Spark sees fit.
+BROADCAST_POINTS = 8_192
 
 _RANGE = "__range"
 _CUTS = "__cuts"
@@ -25,16 +28,20 @@ _CUTS = "__cuts"
 
 @dataclass(frozen=True)
 class Cuts:
-    """Sorted order cut points of each key too large for one task.
+    """Sorted order cut points of each key that has too many rows for one task.
 
-    There are fewer than ``MAX_RANGES`` cut points in all. That bound makes this
-    table, and whatever is aggregated to (cut key, range), safe to broadcast.
+    There is about one for each ``rows_per_task`` rows of such keys.
     """
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     points: dict[tuple, list[tuple]]
 
+    @property
+    def small(self) -> bool:
+        """Whether a row for each range may be broadcast."""
+        return sum(len(p) + 1 for p in self.points.values()) <= BROADCAST_POINTS
+
 
 def plan_cuts(
     df: DataFrame,
@@ -42,30 +49,34 @@ def plan_cuts(
     order: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Cuts | None:
-    """Find the keys of ``df`` that need cutting; None when the table is small.
+    """Cut points for the keys of ``df`` with more than ``rows_per_task`` rows; None if there are none.
 
-    Counts the rows, and only a table beyond ``rows_per_task`` is sampled, over
-    the key and order columns alone. (keys, order) must identify a row.
+    Counts the rows of each key, combined before the shuffle, and samples the key and order
+    columns of the hot keys alone. (keys, order) must identify a row.
     """
-    rows = df.count()
-    ranges = min(MAX_RANGES, -(-rows // rows_per_task))
-    if ranges < 2:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
+    hot = {tuple(r[k] for k in keys): r["__n"] for r in counts.collect()}
+    if not hot:
         return None
-    columns = [*keys, *order]
-    picked = df.select(*columns)
-    if rows > SAMPLE_ROWS:
-        picked = picked.sample(SAMPLE_ROWS / rows, seed=7)
-    sample = picked.orderBy(*columns).limit(2 * SAMPLE_ROWS).collect()
-
-    step = len(sample) / ranges
+    ranges = {key: -(-n // rows_per_task) for key, n in hot.items()}
+    fields = T.StructType([df.schema[k] for k in keys])
+    table = df.sparkSession.createDataFrame(list(hot), fields)
+    picked = _lookup(
+        df.select(*keys, *order), table.withColumn("__hot", F.lit(True)), keys, len(hot) <= BROADCAST_POINTS
+    ).filter("__hot").drop("__hot")
+    wanted, rows = SAMPLE_PER_RANGE * sum(ranges.values()), sum(hot.values())
+    if rows > wanted:
+        picked = picked.sample(wanted / rows, seed=7)
+
+    samples: dict[tuple, list[tuple]] = {}
+    for row in picked.orderBy(*keys, *order).collect():
+        samples.setdefault(tuple(row[k] for k in keys), []).append(tuple(row[c] for c in order))
     points: dict[tuple, list[tuple]] = {}
-    for k in range(1, ranges):
-        row = sample[int(k * step)]
-        of_key = points.setdefault(tuple(row[c] for c in keys), [])
-        point = tuple(row[c] for c in order)
-        if not of_key or of_key[-1] != point:
-            of_key.append(point)
-    return Cuts(tuple(keys), tuple(order), points)
+    for key, sample in samples.items():
+        step = len(sample) / ranges[key]
+        chosen = [sample[int(k * step)] for k in range(1, ranges[key])]
+        points[key] = [p for n, p in enumerate(chosen) if n == 0 or p != chosen[n - 1]]
+    return Cuts(tuple(keys), tuple(order), points) if points else None
 
 
 def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
@@ -84,7 +95,7 @@ def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
         [(*key, *map(list, zip(*points))) for key, points in cuts.points.items()],
         T.StructType([*fields, *lists]),
     )
-    found = _lookup(df, table, cuts.keys)
+    found = _lookup(df, table, cuts.keys, cuts.small)
     found = found.withColumns({_RANGE: F.lit(0), "__cut": F.col(arrays[0]).isNotNull()})
     longest = max(len(points) for points in cuts.points.values())
     for step in (1 << b for b in reversed(range(longest.bit_length()))):
@@ -101,14 +112,14 @@ def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
     return found.drop(*arrays)
 
 
-def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to a side of at most 2 * MAX_RANGES rows; nulls are keys too."""
+def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:
+    """Left join to one row per key, broadcast where they are known to be few; nulls are keys too."""
     renamed = small.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                            *[c for c in small.columns if c not in keys])
     match = F.lit(True)
     for k in keys:
         match = match & df[k].eqNullSafe(renamed[f"__k_{k}"])
-    return df.join(F.broadcast(renamed), match, "left").drop(*[f"__k_{k}" for k in keys])
+    return df.join(F.broadcast(renamed) if few else renamed, match, "left").drop(*[f"__k_{k}" for k in keys])
 
 
 def _window(keys: Sequence[str], order: Sequence[str], ranged: bool):
@@ -156,9 +167,8 @@ def positions(
 ) -> DataFrame:
     """Number the rows of each key from 1 in ``order``, which must be unique per key.
 
-    With no keys the whole table is numbered. One shuffle of the data in every
-    case; no task holds more than about ``rows_per_task`` rows of one key until
-    a key exceeds ``MAX_RANGES`` times that.
+    With no keys the whole table is numbered. One shuffle of the data where the cut points
+    are few enough to broadcast; no task holds more than about ``rows_per_task`` rows of one key.
     """
     if not keys:
         # One key for all rows, always 0 but not a literal, so that the lookups
@@ -209,8 +219,7 @@ def previous_value(
 
 
 def _lookup_range(df: DataFrame, before: DataFrame, cuts: Cuts) -> DataFrame:
-    # At most MAX_RANGES cut points plus one range per cut key.
-    return _lookup(df, before, [*cuts.keys, _RANGE])
+    return _lookup(df, before, [*cuts.keys, _RANGE], cuts.small)
 
 
 def first_n(

@@ -50,6 +50,21 @@ def test_small_table_is_not_cut(skewed):
     assert ranking.plan_cuts(skewed, ["k"], ["t", "n"]) is None
 
 
+def test_only_hot_keys_are_cut(skewed):
+    """50 keys of 200 rows each are far more rows than a task takes, but none is hot."""
+    cuts = ranking.plan_cuts(skewed, ["k"], ["t", "n"], 2_000)
+    assert set(cuts.points) == {(7,)}
+    cold = ranking.with_range(skewed, cuts).filter("NOT k <=> 7")
+    assert cold.filter("__cut OR __range <> 0").isEmpty()
+    assert ranking.plan_cuts(skewed.filter("k <> 7"), ["k"], ["t", "n"], 2_000) is None
+
+
+def test_many_cut_points_are_not_broadcast(skewed, monkeypatch):
+    monkeypatch.setattr(ranking, "BROADCAST_POINTS", 3)
+    expected = skewed.withColumn("pos", F.row_number().over(at()).cast("long"))
+    assert same(ranking.positions(skewed, ["k"], ["t", "n"], "pos", 700), expected)
+
+
 def test_previous_value_and_running_sum(skewed):
     cuts = ranking.plan_cuts(skewed, ["k"], ["t", "n"], 500)
     ranged = ranking.with_range(skewed, cuts)
