@@ -138,7 +138,7 @@ def drain_streamed(spark: SparkSession, folder: str) -> DataFrame:
     ends.write.parquet(f"{landing}/exits")
     drained = drain_stream(
         _stream_table(spark, f"{landing}/lines", numbered),
-        _stream_table(spark, f"{landing}/exits", ends), 20,
+        _stream_table(spark, f"{landing}/exits", ends), 20, delay="0 seconds",
     )
     _run_once(spark, drained, target)
     return _result(spark, target)
@@ -153,7 +153,7 @@ def expire_sessions_streamed(spark: SparkSession, folder: str) -> DataFrame:
     beats = _stream_table(spark, folder, plain, pathGlobFilter="events.parquet").select(
         F.col("user_id").alias("session_id"), F.col("ts").cast("timestamp").alias("ts")
     )
-    _run_once(spark, expire_sessions_stream(beats, 6 * 3600), target)
+    _run_once(spark, expire_sessions_stream(beats, 6 * 3600, delay="0 seconds"), target)
     return lives_in_micros(_result(spark, target))
 
 

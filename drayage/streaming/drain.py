@@ -47,14 +47,15 @@ class ExitLast(StatefulProcessor):
 
 
 def drain_stream(
-    output: DataFrame, exits: DataFrame, batch_size: int = 100, delay: str = "0 seconds"
+    output: DataFrame, exits: DataFrame, batch_size: int = 100, *, delay: str
 ) -> DataFrame:
     """Streaming :func:`drayage.operators.logs.drain_batches`.
 
     ``pos`` counts the lines of a process from 0. A line's poll follows from its
     position, so lines need no state and pass straight through. An exit code is
     held until the watermark shows that lines up to its time have arrived, and
-    takes the poll after the last line. Only the last position per process and
+    takes the poll after the last line. ``delay`` says how late rows may be: later exits are
+    dropped, and later lines do not move the poll of the exit. Only the last position per process and
     partition reaches the state, however many lines a process writes.
     """
     pid_type = output.schema["pid"].dataType

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def expire_sessions_stream(
-    beats: DataFrame, ttl_seconds: int, delay: str = "0 seconds", key: str = "session_id"
+    beats: DataFrame, ttl_seconds: int, *, delay: str, key: str = "session_id"
 ) -> DataFrame:
     """Sessions that have ended: no heartbeat for ``ttl_seconds`` as of the watermark.
 

@@ -45,7 +45,7 @@ def test_drain_stream_holds_the_code_back(spark, tmp_path, rows):
     out, end, target = str(tmp_path / "out"), str(tmp_path / "end"), str(tmp_path / "drained")
     drained = lambda: drain_stream(
         spark.readStream.schema(output.schema).parquet(out),
-        spark.readStream.schema(exits.schema).parquet(end), 2)
+        spark.readStream.schema(exits.schema).parquet(end), 2, delay="0 seconds")
 
     land(output.filter("pos < 3"), out)
     land(exits.filter("pid = 3"), end)
