@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drayage.llm.frames import numbered
+from drayage.llm.frames import drop_shuffles, numbered
 from drayage.session import workspace
 
 #: Bytes of text in a slice, and about as many hashes in a part.
@@ -161,6 +161,7 @@ def sliced(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]
         .write.bucketBy(partitions, "slice").option("compression", "zstd")
         .option("path", workspace(spark, "slices")).saveAsTable(name)
     )
+    drop_shuffles(spark)
     return spark.table(name), min(1 << 16, max(1, size // 6 // PART_HASHES, 2 * partitions))
 
 

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from drayage.llm.frames import stored
 from drayage.llm.packs import Asked, Words, answer_of, by_slice, from_planes, planes, sliced, unpacked
-from drayage.session import materialized
 
 ORDER = 3
 SEEN = 2
@@ -42,7 +42,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         sent = by_slice(
             table, answers, _asker(lengths, parts), "slice long, part long, step int, hashes binary, counts binary"
         )
-        found = materialized(sent.groupBy("part", "step").applyInArrow(
+        found = stored(sent.groupBy("part", "step").applyInArrow(
             _added_up, "slice long, part long, step int, answer binary, words long"
         ), "counts")
         answers = found if answers is None else answers.union(found)
