@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from drayage.llm.frames import stored
 from drayage.llm.packs import Asked, Words, answer_of, by_slice, planes, from_planes, sliced, unpacked
-from drayage.session import materialized
 
 WINDOW_WORDS = 20
 FIRST_WORDS = 5
@@ -49,7 +49,7 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         last = step == len(lengths) - 1
         sent = by_slice(table, answers, _asker(lengths[: step + 1], parts, last), _SENT)
         found = sent.groupBy("part").applyInArrow(_earlier(step) if last else _repeated(step), _ANSWERS)
-        found = materialized(found, "answers")
+        found = stored(found, "answers")
         answers = found if answers is None else answers.union(found)
         if found.isEmpty():
             break
@@ -81,14 +81,13 @@ def _asker(lengths: list[int], parts: int, last: bool):
         at = _candidates(words, answers, lengths, parts)
         asked = Asked(words.windows(lengths[-1], at), parts)
         rows = []
-        ids = np.array([np.iinfo(np.int64).max if i is None else i for i in words.ids], np.int64)
+        if last:
+            # The first window of each hash in this slice stands for all.
+            at = at[asked.at]
+            checks = (words.other_windows(lengths[-1], at) >> np.uint64(16)).astype("<u8")
+            ids = np.array([np.iinfo(np.int64).max if i is None else i for i in words.ids], "<i8")[words.doc[at]]
         for part, s, e, hashes in asked.sent():
-            more = None
-            if last:
-                # The first window of each hash in this slice stands for all.
-                here = at[asked.at[s:e]]
-                check = (words.other_windows(lengths[-1], here) >> np.uint64(16)).astype("<u8")
-                more = planes(check) + planes(ids[words.doc[here]].astype("<i8"))
+            more = planes(checks[s:e]) + planes(ids[s:e]) if last else None
             rows.append((slice_, part, hashes, more))
         columns = list(zip(*rows)) or [[], [], [], []]
         return pa.table(
