@@ -23,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from drayage.llm.frames import WORD, numbered
-from drayage.session import materialized
+from drayage.functions.binding import let
+from drayage.llm.frames import WORD, numbered, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -72,7 +72,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     docs, names = numbered(docs)
     text, source = F.col(names[text_col]).cast("string"), F.col(names[source_col]).cast("string")
-    sized = materialized(
+    sized = stored(
         docs.select(
             *(docs.columns if carry else []),
             F.col(names[id_col]).alias("doc_id"),
@@ -82,7 +82,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         ).withColumn("chunk", F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 3)),
         "sizes",
     )
-    sources = materialized(
+    sources = stored(
         with_targets(sized.groupBy("key").agg(F.sum("size").alias("source_size")))
         .withColumn("blocks", F.ceil(F.col("source_size") / block_words)),
         "sources",
@@ -96,7 +96,8 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         F.greatest(F.col("block") * block_words - F.col("start"), F.lit(0)).alias("from_word"),
         F.least((F.col("block") + 1) * block_words - F.col("start"), "size").alias("to_word"),
     )
-    taken = parts.join(_slots(sources, shard_blocks), ["n", "block"]).select(
+    # Never a broadcast, however small the table is from which the slots are made.
+    taken = parts.join(_slots(sources, shard_blocks).hint("merge"), ["n", "block"]).select(
         "shard", "n", "slot", "pass", "block", "start", "from_word",
         (F.col("to_word") - F.col("from_word")).alias("n_words"),
     )
@@ -144,8 +145,9 @@ def _slots(sources: DataFrame, shard_blocks: int) -> DataFrame:
     counts = drawn.withColumn("first", F.coalesce(F.sum("count").over(earlier), F.lit(0))).withColumn(
         "end", F.least(F.col("first") + F.col("count"), F.col("blocks") * MOST_PASSES)
     ).filter("end > first")
-    # Few rows that make many: dealt out before they do.
-    slots = counts.select("shard", "n", "blocks", "first", "end").repartition("shard", "n").select(
+    # Few rows that make many: dealt out before they do, to as many tasks as it says here.
+    partitions = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = counts.select("shard", "n", "blocks", "first", "end").repartition(partitions, "shard", "n").select(
         "shard", "n", "blocks", F.explode(F.sequence("first", F.col("end") - 1)).alias("slot")
     )
     passes = slots.withColumn("pass", F.expr("slot div blocks"))
@@ -220,10 +222,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = placed.filter("size > 0").join(ranges, ["n", "start"])
     at = docs.columns.index(text_col)
     words = F.regexp_extract_all(F.col(f"c{at}"), F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    parts = F.transform("ranges", lambda r: F.array_join(
-        F.slice(words, (r["from_word"] + 1).cast("int"), r["n_words"].cast("int")), ""
-    ))
-    chosen = chosen.withColumn(f"c{at}", F.when(F.col("words") == F.col("size"), F.col(f"c{at}")).otherwise(F.array_join(parts, "")))
+    # The words are found once for all ranges.
+    picked = let(words, lambda all_: F.array_join(F.transform("ranges", lambda r: F.array_join(
+        F.slice(all_, (r["from_word"] + 1).cast("int"), r["n_words"].cast("int")), ""
+    )), ""))
+    chosen = chosen.withColumn(f"c{at}", F.when(F.col("words") == F.col("size"), F.col(f"c{at}")).otherwise(picked))
     if chars_col in docs.columns:
         chars = docs.columns.index(chars_col)
         chosen = chosen.withColumn(f"c{chars}", F.length(f"c{at}").cast(docs.schema[chars_col].dataType))
