@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+import re
 import struct
 import sys
 import types
@@ -130,8 +131,9 @@ class Transducer:
     last one is the start at the place reached.
     """
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int | None = None):
         self.vocabulary = vocabulary
+        self.most = remembered or REMEMBERED_STEPS
         self._forget()
 
     def _forget(self) -> None:
@@ -145,7 +147,7 @@ class Transducer:
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one match of the pattern."""
-        if len(self.steps) > REMEMBERED_STEPS or len(self.moves) > REMEMBERED_STEPS:
+        if len(self.steps) > self.most or len(self.moves) > self.most:
             self._forget()
         state, out, steps = 0, [], self.steps
         for byte in word:
@@ -213,57 +215,58 @@ class Transducer:
         return number
 
 
+#: White space at an end or beside a space: where it is, a match of the pattern may go across a space.
+_AWKWARD = re.compile(r"\A\s|\s | \s|\s\Z")
+
+
 class Encoder:
-    """Encodes texts, each match of the pattern separately, without special tokens."""
+    """Encodes texts, each match of the pattern separately, without special tokens.
+
+    The pattern takes a single space to the word behind it, so the ids of what lies between two
+    spaces are remembered, with the space before it.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(Vocabulary(ranks))
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int | None = None):
+        self.transducer = Transducer(Vocabulary(ranks), remembered)
+        self.most = remembered or REMEMBERED_WORDS
         self.matches = regex.compile(pattern).findall
-        self.words: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        words, out = self.words, []
-        for piece in self._pieces(text):
-            ids = words.get(piece)
-            if ids is None:
-                ids = self._encode(piece)
-                words = self.words
-            out.append(ids)
-        return b"".join(out)
-
-    def _pieces(self, text: str) -> list[str]:
-        """Cuts before single spaces inside of the text, where no match goes across: the
-        pattern takes one space to the word behind it. Texts with longer white space around
-        a space stay whole."""
-        parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-            return [parts[0], *[" " + p for p in parts[1:]]]
-        return [text]
-
-    def _encode(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
+        if not text:
+            return b""
+        if _AWKWARD.search(text):
+            return self._encode("", text)
+        first, *parts = text.split(" ")
+        found = list(map(self.spaced.get, parts))
+        if None in found:
+            found = [self._spaced(part) if ids is None else ids for part, ids in zip(parts, found)]
+        return self._encode("", first) + b"".join(found)
+
+    def _spaced(self, part: str) -> bytes:
+        ids = self.spaced.get(part)
         if ids is None:
-            # Of letters only, or with one more character at the end that is neither a letter
-            # nor a digit, it is clear how the pattern matches.
-            body = piece[1:] if piece[:1] == " " else piece
-            if body.isalpha():
-                found = self.transducer.encode(piece.encode())
-                ids = struct.pack(f"<{len(found)}I", *found)
-            elif body[:-1].isalpha() and body[-1:] in ".,;:!?":
-                return self._known(piece[:-1]) + self._known(piece[-1])
-            else:
-                found = [i for match in self.matches(piece) for i in self.transducer.encode(match.encode())]
-                ids = struct.pack(f"<{len(found)}I", *found)
-        if len(piece) <= 64:
-            if len(self.words) >= REMEMBERED_WORDS:
-                self.older, self.words = self.words, {}
-            self.words[piece] = ids
+            # A mark behind letters is a match of its own.
+            if part[-1] in ".,;:!?" and part[:-1].isalpha():
+                return self._spaced(part[:-1]) + self._encode("", part[-1])
+            ids = self.older.get(part)
+            if ids is None:
+                ids = self._encode(" ", part)
+            if len(part) <= 64:
+                if len(self.spaced) >= self.most:
+                    self.older, self.spaced = self.spaced, {}
+                self.spaced[part] = ids
         return ids
 
-    def _known(self, piece: str) -> bytes:
-        return self.words.get(piece) or self._encode(piece)
+    def _encode(self, space: str, part: str) -> bytes:
+        # Of letters only, it is clear how the pattern matches.
+        if part.isalpha():
+            found = self.transducer.encode((space + part).encode())
+        else:
+            found = [i for match in self.matches(space + part) for i in self.transducer.encode(match.encode())]
+        return struct.pack(f"<{len(found)}I", *found)
 
 
 class Decoder:
@@ -282,17 +285,17 @@ class Decoder:
         yield machine.decode(b"", final=True)
 
 
-def _worker_encoder(ranks_file: str, pattern: str) -> Encoder:
+def _worker_encoder(ranks_file: str, pattern: str, remembered: int | None = None) -> Encoder:
     """The encoder that this Python worker keeps between tasks, with what it remembers.
 
     It hangs on a module of its own, since this package's modules come to a worker by value,
     anew with each task.
     """
     kept = sys.modules.setdefault("drayage_llm_kept", types.ModuleType("drayage_llm_kept"))
-    if getattr(kept, "encoder_of", None) != (ranks_file, pattern):
+    if getattr(kept, "encoder_of", None) != (ranks_file, pattern, remembered):
         with open(ranks_file, "rb") as lines:
-            kept.encoder = Encoder(read_ranks(lines), pattern)
-        kept.encoder_of = (ranks_file, pattern)
+            kept.encoder = Encoder(read_ranks(lines), pattern, remembered)
+        kept.encoder_of = (ranks_file, pattern, remembered)
     return kept.encoder
 
 
@@ -331,14 +334,15 @@ def decode(encoded: DataFrame, ranks_file: str) -> DataFrame:
     return ids.mapInArrow(run, T.StructType([ids.schema["doc_id"]]).add("text", "string"))
 
 
-def with_ids(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text") -> DataFrame:
+def with_ids(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", remembered: int = 150_000) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` and ``intact``, whether decoding the ids gives the text,
-    in place of the text. Columns of these names must not be there before."""
+    in place of the text. Columns of these names must not be there before. A task remembers twice
+    ``remembered`` words and as many transitions, in about 250 MB; fewer cost time only."""
     others = [c for c in docs.columns if c != text_col]
     texts = docs.select(*others, F.col(text_col).cast("string").alias(text_col))
 
     def run(batches):
-        encoder = _worker_encoder(ranks_file, pattern)
+        encoder = _worker_encoder(ranks_file, pattern, remembered)
         decoder = Decoder(encoder.transducer.vocabulary.bytes_of)
         for piece in pieces(batches, 128):
             plain = [t or "" for t in piece.column(piece.num_columns - 1).to_pylist()]

@@ -19,8 +19,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from drayage.llm.frames import numbered, without_spaces
-from drayage.session import materialized
+from drayage.llm.frames import numbered, stored, without_spaces
 
 #: Splitters are made of this many leading characters and a hash of the whole text.
 #: They steer which range a text goes to; texts are compared whole.
@@ -39,7 +38,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "c0", "bucket", "run", "first", "cut", "own", "head", "sha",
         F.when(F.col("first") & F.col("cut"), F.col("norm")).alias("norm"),
     )
-    parts = materialized(light.withColumn("size", size), "exact")
+    parts = stored(light.withColumn("size", size), "exact")
     fixes = _whole_groups(parts.filter("first AND cut"))
     best = F.coalesce("best", "head")
     return parts.join(F.broadcast(fixes), ["bucket", "run"], "left").select(
@@ -55,7 +54,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs`` that stay, with all their columns."""
     columns = [f"c{i}" for i in range(len(docs.columns))]
     heads = _runs(docs, id_col, text_col).filter("first")
-    parts = materialized(
+    parts = stored(
         heads.select(*columns, "bucket", "run", "cut", "own", F.when(F.col("cut"), F.col("norm")).alias("norm")),
         "distinct",
     )
