@@ -1,6 +1,7 @@
 """Toxicity by a linear classifier on character n-grams, scaled by naive Bayes log-count ratios.
 
-A text's features are the hashes of its n-grams of lower-cased characters, present or not.
+A text's features are the hashes of the n-grams of lower-cased characters within its words,
+present or not.
 Over all labelled training texts Spark counts in how many toxic and other texts each feature
 occurs. From these counts come the log-count ratios and the choice of the ``FEATURES`` that
 tell the classes apart best. A logistic regression on the chosen features, each scaled by its
@@ -23,24 +24,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drayage.llm.frames import numbered, pieces
-from drayage.session import materialized
+from drayage.llm.frames import numbered, pieces, stored
+from drayage.llm.packs import from_planes, planes
 
-ORDERS = (3, 4, 5)
-HASH_BITS = 18
+ORDERS = (4, 5, 6, 8)
+HASH_BITS = 20
+TIMES = (2, 3)
 FEATURES = 8192
+BLOCK = 1 << 14
+#: Standard deviations by which the shares of a feature in the two classes differ at least.
+APART = 4.0
 FIT_ROWS = 20_000
 SMOOTHING = 1.0
 PENALTY = 1e-4
-STEPS = 150
+STEPS = 300
 THRESHOLD = 0.7
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_APART = np.array([c < 128 and not chr(c).isalnum() for c in range(129)])
 
 
 def features(text: str) -> np.ndarray:
-    """The hashed n-grams of a text, as often as they occur; ends of the text count as spaces."""
-    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    """The different features of a text: its hashed n-grams within words, and those that occur
+    ``TIMES`` or more, each number being a feature of its own. Whatever is neither a letter nor a
+    digit of ASCII nor beyond it parts words; one such place before or behind a word may be part
+    of an n-gram, as a space."""
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    apart = _APART[np.minimum(codes, 128)]
+    codes = np.where(apart, np.uint32(32), codes).astype(np.uint64)
+    upto = np.cumsum(apart)
     found = []
     gram = codes
     for order in range(2, max(ORDERS) + 1):
@@ -48,9 +60,13 @@ def features(text: str) -> np.ndarray:
             break
         gram = gram[:-1] * _FACTOR + codes[order - 1 :]
         if order in ORDERS:
-            mixed = (gram ^ (gram >> np.uint64(29))) * _FACTOR
+            # No space from the second to the last but one character.
+            whole = gram[upto[order - 2 : len(upto) - 1] == upto[: len(upto) - order + 1]]
+            mixed = (whole ^ (whole >> np.uint64(29))) * _FACTOR
             found.append((mixed >> np.uint64(64 - HASH_BITS)).astype(np.int32))
-    return np.concatenate(found) if found else np.empty(0, np.int32)
+    grams, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int32), np.empty(0))
+    often = [(grams[counts >= k] * np.int64(2 * k + 1) * 40503 + k) % (1 << HASH_BITS) for k in TIMES]
+    return np.unique(np.concatenate([grams, *often]).astype(np.int32))
 
 
 @dataclass
@@ -62,7 +78,6 @@ class Model:
 
     def score(self, text: str) -> float:
         found = features(text)
-        found = np.unique(found[self.weights[found] != 0])
         return float(1 / (1 + np.exp(-np.clip(self.intercept + self.weights[found].sum(), -500, 500))))
 
 
@@ -73,7 +88,7 @@ def held_out(id_col: str):
 
 def train(texts: DataFrame, fit_rows: int = FIT_ROWS, chosen: int = FEATURES) -> Model:
     """A model from ``texts(doc_id, text, label)``."""
-    texts = materialized(texts, "labelled")
+    texts = stored(texts, "labelled")
     totals = {int(r["label"]): r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     weights = np.zeros(1 << HASH_BITS, np.float64)
     if set(totals) != {0, 1}:
@@ -81,62 +96,88 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, chosen: int = FEATURES) ->
         return Model(weights, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))))
 
     def count(batches):
-        seen = np.zeros((2, 1 << HASH_BITS), np.int64)
+        seen = np.zeros((2, 1 << HASH_BITS), np.int32)
         for piece in pieces(batches):
             for text, label in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                seen[label, np.unique(features(text))] += 1
-        at = np.flatnonzero(seen.any(axis=0))
+                seen[label, features(text)] += 1
+        blocks = range(0, seen.shape[1], BLOCK)
+        packed = [[planes(row[at : at + BLOCK]) for at in blocks] for row in seen]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int64()), pa.array(seen[0, at]), pa.array(seen[1, at])], ["feature", "other", "toxic"]
+            [pa.array(blocks, pa.int64()), *[pa.array(p, pa.binary()) for p in packed]], ["block", "other", "toxic"]
         )
 
-    counts = texts.select("text", "label").mapInArrow(count, "feature long, other long, toxic long")
-    counts = counts.groupBy("feature").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
+    def add(table):
+        sums = [sum(from_planes(p, np.int32).astype(np.int64) for p in table[c].to_pylist()) for c in ("other", "toxic")]
+        at = np.flatnonzero(sums[0] + sums[1])
+        return pa.table([pa.array(at + table["block"][0].as_py()), pa.array(sums[0][at]), pa.array(sums[1][at])], ["feature", "other", "toxic"])
+
+    # Each task sends its counts as arrays, one for each block of features.
+    counts = texts.select("text", "label").mapInArrow(count, "block long, other binary, toxic binary")
+    counts = counts.groupBy("block").applyInArrow(add, "feature long, other long, toxic long")
     p = (F.col("toxic") + SMOOTHING) / (totals[1] + 2 * SMOOTHING)
     q = (F.col("other") + SMOOTHING) / (totals[0] + 2 * SMOOTHING)
     # How far the shares lie apart, in standard deviations of their difference.
     apart = F.abs(p - q) / F.sqrt(p * (1 - p) / totals[1] + q * (1 - q) / totals[0])
     best = (
         counts.select("feature", F.log(p / q).alias("ratio"), apart.alias("apart"))
-        .orderBy(F.desc("apart"), "feature").limit(chosen).select("feature", "ratio").collect()
+        .filter(F.col("apart") >= APART).orderBy(F.desc("apart"), "feature").limit(chosen).select("feature", "ratio").collect()
     )
-    picked = np.array([r["feature"] for r in best])
-    ratios = np.array([r["ratio"] for r in best])
+    picked = np.array([r["feature"] for r in best], np.int64)
+    ratios = np.array([r["ratio"] for r in best], np.float64)
     place = np.full(1 << HASH_BITS, -1, np.int32)
     place[picked] = np.arange(len(picked))
 
     def found(batches):
         for piece in pieces(batches):
             rows = []
-            for text in piece.column(0).to_pylist():
+            for text in piece.column(2).to_pylist():
                 here = place[features(text)]
-                rows.append(np.unique(here[here >= 0]).astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), piece.column(1)], ["found", "label"])
+                rows.append(here[here >= 0].astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns[:2], pa.array(rows, pa.binary()), piece.column(3)], ["a", "b", "found", "label"]
+            )
 
-    sample = texts.orderBy(F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("text"), "label").limit(fit_rows)
-    rows = sample.select("text", "label").mapInArrow(found, "found binary, label int").collect()
-    scaled, intercept = _fit([np.frombuffer(r["found"], "<u2") for r in rows], np.array([r["label"] for r in rows]), ratios)
+    # A few more rows than wanted by a hash, of which the first in its order are taken.
+    hashed = texts.select(
+        F.xxhash64(F.col("doc_id").cast("string")).alias("a"), F.xxhash64("text").alias("b"), "text", "label"
+    )
+    share = min(1.0, 1.2 * fit_rows / sum(totals.values()))
+    near = hashed.filter(F.pmod(F.xxhash64("a"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    rows = near.mapInArrow(found, "a long, b long, found binary, label int").orderBy("a", "b", "label").limit(fit_rows).collect()
+    scaled, intercept = _fit([r["found"] for r in rows], np.array([r["label"] for r in rows]), ratios)
     weights[picked] = scaled * ratios
     return Model(weights, intercept)
 
 
-def _fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression with a square penalty, by accelerated gradient steps; classes weigh alike."""
-    lengths = np.array([len(r) for r in rows])
-    columns = np.concatenate(rows).astype(np.int64) if rows else np.empty(0, np.int64)
-    line = np.repeat(np.arange(len(rows)), lengths)
-    values = ratios[columns]
-    share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels != 1).sum()))
+def _fit(rows: list[bytes], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression with a square penalty, by accelerated gradient steps. The rows, features
+    as two bytes each, are read in blocks, so that they need little more than their own space."""
+    blocks = []
+    for at in range(0, len(rows), 1000):
+        part = rows[at : at + 1000]
+        line = np.repeat(np.arange(len(part), dtype=np.int32), [len(r) // 2 for r in part])
+        blocks.append((at, at + len(part), np.frombuffer(b"".join(part), "<u2"), line))
+
+    def margins(weight):
+        scaled = weight * ratios
+        return np.concatenate([np.bincount(line, scaled[columns], e - s) for s, e, columns, line in blocks])
+
+    def gradient(error):
+        total = np.zeros(len(ratios))
+        for s, e, columns, line in blocks:
+            total += np.bincount(columns, error[s:e][line], len(ratios))
+        return total * ratios
+
+    share = 1 / max(1, len(rows))
     # The curvature of the loss is at most a quarter of the mean squared length of a row.
-    squares = np.bincount(line, values**2, len(rows)) + 1
-    step = 1 / (0.25 * (share * squares).sum() + PENALTY)
+    squares = np.concatenate([np.bincount(line, ratios[columns] ** 2, e - s) for s, e, columns, line in blocks]) + 1
+    step = 1 / (0.25 * share * squares.sum() + PENALTY)
     weight, intercept = np.zeros(len(ratios)), 0.0
     ahead, ahead_i, momentum = weight, intercept, 1.0
     for _ in range(STEPS):
-        margin = np.bincount(line, values * ahead[columns], len(rows)) + ahead_i
-        error = share * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels)
-        gradient = np.bincount(columns, values * error[line], len(ratios)) + PENALTY * ahead
-        moved, moved_i = ahead - step * gradient, ahead_i - step * error.sum()
+        error = share * (1 / (1 + np.exp(-np.clip(margins(ahead) + ahead_i, -500, 500))) - labels)
+        moved = ahead - step * (gradient(error) + PENALTY * ahead)
+        moved_i = ahead_i - step * error.sum()
         nxt = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead = moved + (momentum - 1) / nxt * (moved - weight)
         ahead_i = moved_i + (momentum - 1) / nxt * (moved_i - intercept)
@@ -168,5 +209,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     learnt = plain.select(F.col(names[id_col]).alias("doc_id"), F.coalesce(F.col(names[text_col]).cast("string"), F.lit("")).alias("text"))
     marks = labels.select(F.col(id_col).alias("of"), (F.col(label_col) == 1).cast("int").alias("label"))
     marks = marks.filter(F.col("label").isNotNull() & ~held_out("of"))
-    model = train(learnt.filter(~held_out("doc_id")).join(marks, F.col("doc_id") == F.col("of")).drop("of"))
+    # Sorted on both sides, as neither has a bound.
+    model = train(learnt.filter(~held_out("doc_id")).join(marks.hint("merge"), F.col("doc_id") == F.col("of")).drop("of"))
     return scored(docs, model, id_col, text_col).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
