@@ -227,7 +227,7 @@ class Encoder:
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, remembered: int | None = None):
-        self.transducer = Transducer(Vocabulary(ranks), remembered)
+        self.transducer = Transducer(Vocabulary(ranks), remembered and 2 * remembered)
         self.most = remembered or REMEMBERED_WORDS
         self.matches = regex.compile(pattern).findall
         self.spaced: dict[str, bytes] = {}
@@ -334,10 +334,10 @@ def decode(encoded: DataFrame, ranks_file: str) -> DataFrame:
     return ids.mapInArrow(run, T.StructType([ids.schema["doc_id"]]).add("text", "string"))
 
 
-def with_ids(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", remembered: int = 150_000) -> DataFrame:
+def with_ids(docs: DataFrame, ranks_file: str, pattern: str, text_col: str = "text", remembered: int = 60_000) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids`` and ``intact``, whether decoding the ids gives the text,
     in place of the text. Columns of these names must not be there before. A task remembers twice
-    ``remembered`` words and as many transitions, in about 250 MB; fewer cost time only."""
+    ``remembered`` words and as many transitions, in about 100 MB; fewer cost time only."""
     others = [c for c in docs.columns if c != text_col]
     texts = docs.select(*others, F.col(text_col).cast("string").alias(text_col))
 
