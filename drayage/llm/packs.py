@@ -105,15 +105,27 @@ class Words:
 
 class Asked:
     """The different hashes of a slice in the order in which they are sent: by part, then by the
-    ``bits`` that tell them apart there, 32 or 48. ``of`` is the place in that order of each hash
-    given, ``at`` the place where a hash was given first."""
+    ``bits`` that tell them apart there, 32 or 48, then by ``others``, second hashes that tell
+    apart what those bits do not. ``of`` is the place in that order of each hash given, ``at`` the
+    place where a hash was given first."""
 
-    def __init__(self, hashes: np.ndarray, parts: int, bits: int = 32):
+    def __init__(self, hashes: np.ndarray, parts: int, bits: int = 32, others: np.ndarray | None = None):
         n, self.low = np.uint64(parts), np.uint64((1 << bits) - 1)
         keys = (hashes % n) << np.uint64(bits) | (hashes // n) & self.low
-        self.keys, self.at, self.of, self.counts = np.unique(
-            keys, return_index=True, return_inverse=True, return_counts=True
-        )
+        if others is None:
+            self.keys, self.at, self.of, self.counts = np.unique(
+                keys, return_index=True, return_inverse=True, return_counts=True
+            )
+        else:
+            order = np.lexsort((others, keys))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(keys[order]) != 0) | (np.diff(others[order]) != 0)
+            # The sort is stable, so the first of each pair comes first.
+            self.at = order[new]
+            self.keys = keys[self.at]
+            self.of = np.empty(len(order), np.int64)
+            self.of[order] = np.cumsum(new) - 1
+            self.counts = np.bincount(self.of, minlength=len(self.at))
         self.parts, self.edges = np.unique(self.keys >> np.uint64(bits), return_index=True)
         self.edges = np.r_[self.edges, len(self.keys)].astype(np.int64)
 

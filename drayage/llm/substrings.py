@@ -7,8 +7,9 @@ twice the length, which is counted in turn, until no candidates survive or the l
 sought is reached. Of the windows of that length that remain, each but the first one (of the
 smallest id, then the earliest) marks its words, whatever other windows mark.
 
-Candidates are found with 64-bit hashes, where a collision only adds work; windows of the
-full length are told apart by 96 bits.
+Candidates are found with 32 bits of a hash beside the part, where a collision only adds work;
+windows of the full length are told apart, within a slice and between slices, by 48 bits of it
+and a second hash of 64 bits.
 
 A null text has no words, nor has an empty one; both come back with nothing removed. A null id
 sorts behind all others. Rows with the same id are in the order of their texts, and of equal
@@ -72,6 +73,11 @@ def _candidates(words: Words, answers: pa.Table | None, lengths: list[int], part
     return at
 
 
+def _told_apart(words: Words, length: int, at: np.ndarray, parts: int) -> Asked:
+    """The different windows of the last length, by both hashes."""
+    return Asked(words.windows(length, at), parts, 48, words.other_windows(length, at))
+
+
 def _bits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
@@ -79,12 +85,12 @@ def _bits(data: bytes, n: int) -> np.ndarray:
 def _asker(lengths: list[int], parts: int, last: bool):
     def run(slice_, words, answers):
         at = _candidates(words, answers, lengths, parts)
-        asked = Asked(words.windows(lengths[-1], at), parts)
+        asked = _told_apart(words, lengths[-1], at, parts) if last else Asked(words.windows(lengths[-1], at), parts)
         rows = []
         if last:
-            # The first window of each hash in this slice stands for all.
+            # The first of the same windows in this slice stands for all.
             at = at[asked.at]
-            checks = (words.other_windows(lengths[-1], at) >> np.uint64(16)).astype("<u8")
+            checks = words.other_windows(lengths[-1], at).astype("<u8")
             ids = np.array([np.iinfo(np.int64).max if i is None else i for i in words.ids], "<i8")[words.doc[at]]
         for part, s, e, hashes in asked.sent():
             more = planes(checks[s:e]) + planes(ids[s:e]) if last else None
@@ -157,7 +163,7 @@ def _remover(lengths: list[int], parts: int):
 
     def run(slice_, words, answers):
         at = _candidates(words, answers, lengths, parts)
-        asked = Asked(words.windows(window, at), parts)
+        asked = _told_apart(words, window, at, parts)
         later = answer_of(answers, len(lengths) - 1, asked, _bits, False)
         # The first one of the slice, if no other slice has an earlier one, is the only one to stay.
         goes = np.ones(len(at), bool)

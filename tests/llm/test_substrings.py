@@ -1,5 +1,8 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from fixtures import PASSAGE, SCHEMA, TEXTS, awkward, words
 
@@ -54,3 +57,25 @@ def test_other_windows_and_no_rows(spark):
     with pytest.raises(ValueError):
         substrings.repeated_words(awkward(spark, texts), window=10, first=4)
     assert substrings.repeated_words(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_windows_whose_first_hashes_are_the_same(monkeypatch):
+    whole = packs.Words.windows
+
+    def short(self, length, at, base=packs._WINDOW_BASE):
+        found = whole(self, length, at, base)
+        return found & np.uint64(1) if base == packs._WINDOW_BASE else found
+
+    monkeypatch.setattr(packs.Words, "windows", short)
+    once = " ".join(f"once{i}" for i in range(50))
+    slices = [[(1, f"{once} {PASSAGE}"), (3, "x " * 25)], [(2, f"other {PASSAGE}"), (4, f"z {once}")], [(5, PASSAGE), (6, "x " * 20)]]
+    words_ = [packs.Words(*(pa.array(c) for c in zip(*rows))) for rows in slices]
+    none = pa.table([[], [], [], []], schema=pa.schema([("slice", pa.int64()), ("part", pa.int64()), ("step", pa.int32()), ("answer", pa.binary())]))
+    sent = pa.concat_tables([substrings._asker([20], 1, True)(n, w, none) for n, w in enumerate(words_)])
+    answers = substrings._earlier(0)(sent)
+    out = []
+    for n, w in enumerate(words_):
+        mine = answers.filter(pc.equal(answers["slice"], n))
+        for r in substrings._remover([20], 1)(n, w, mine).to_pylist():
+            out.append((str(r["doc_id"]), r["n_words"], r["n_removed"], hashlib.sha256(r["kept_text"].encode()).hexdigest()))
+    assert sorted(out) == brute([r for rows in slices for r in rows])
