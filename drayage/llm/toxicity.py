@@ -3,12 +3,14 @@
 A text's features are the hashes of the n-grams of lower-cased characters within its words,
 present or not.
 Over all labelled training texts Spark counts in how many toxic and other texts each feature
-occurs. From these counts come the log-count ratios and the choice of the ``FEATURES`` that
-tell the classes apart best. A logistic regression on the chosen features, each scaled by its
-ratio, is fitted on ``FIT_ROWS`` training rows at most, drawn by a hash of the id. The scores
-read whole texts and nothing else; the model is a table of fixed size.
-
-A null text counts as empty; texts without chosen features get the score of the intercept.
+occurs. From these counts comes the log-count ratio of every feature that occurs, times the square
+of the standard errors by which it differs from none, so that the penalty of the regression weighs
+more on what the counts tell less surely; no feature is left out. A logistic
+regression on the features so scaled is fitted on ``FIT_ROWS`` training rows at most, drawn by a
+hash of the id. The scores read whole texts and nothing else; the model is a table of fixed size.
+
+A null text counts as empty; texts without features of the training texts get the score of the
+intercept.
 Rows repeated are scored row by row; a null id belongs to the training part but has no label.
 Without training rows of both classes every score is the share of toxic rows among them, zero
 without any. An empty table gives no rows.
@@ -16,6 +18,7 @@ without any. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,14 +33,17 @@ from drayage.llm.packs import from_planes, planes
 ORDERS = (4, 5, 6, 8)
 HASH_BITS = 20
 TIMES = (2, 3)
-FEATURES = 8192
 BLOCK = 1 << 14
-#: Standard deviations by which the shares of a feature in the two classes differ at least.
+#: Standard errors between a log-count ratio and none at which it is taken as it is.
 APART = 4.0
 FIT_ROWS = 20_000
 SMOOTHING = 1.0
 PENALTY = 1e-4
-STEPS = 300
+#: The fit ends when its loss is this near the least one, or after so many passes over the rows.
+GAP = 5e-4
+PASSES = 50
+#: Length of the intercept's feature: the longer, the less the penalty holds it.
+BIAS = 10.0
 THRESHOLD = 0.7
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -71,7 +77,7 @@ def features(text: str) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights of all hashes, zero for those not chosen, and the intercept."""
+    """Weights of all hashes, zero for those in no training text, and the intercept."""
 
     weights: np.ndarray
     intercept: float
@@ -86,7 +92,7 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(texts: DataFrame, fit_rows: int = FIT_ROWS, chosen: int = FEATURES) -> Model:
+def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """A model from ``texts(doc_id, text, label)``."""
     texts = stored(texts, "labelled")
     totals = {int(r["label"]): r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -108,31 +114,20 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, chosen: int = FEATURES) ->
 
     def add(table):
         sums = [sum(from_planes(p, np.int32).astype(np.int64) for p in table[c].to_pylist()) for c in ("other", "toxic")]
-        at = np.flatnonzero(sums[0] + sums[1])
-        return pa.table([pa.array(at + table["block"][0].as_py()), pa.array(sums[0][at]), pa.array(sums[1][at])], ["feature", "other", "toxic"])
+        return pa.table([table["block"][:1], *[pa.array([planes(x)], pa.binary()) for x in sums]], ["block", "other", "toxic"])
 
-    # Each task sends its counts as arrays, one for each block of features.
+    # Each task sends its counts as arrays, one for each block of features, and so do the sums.
     counts = texts.select("text", "label").mapInArrow(count, "block long, other binary, toxic binary")
-    counts = counts.groupBy("block").applyInArrow(add, "feature long, other long, toxic long")
-    p = (F.col("toxic") + SMOOTHING) / (totals[1] + 2 * SMOOTHING)
-    q = (F.col("other") + SMOOTHING) / (totals[0] + 2 * SMOOTHING)
-    # How far the shares lie apart, in standard deviations of their difference.
-    apart = F.abs(p - q) / F.sqrt(p * (1 - p) / totals[1] + q * (1 - q) / totals[0])
-    best = (
-        counts.select("feature", F.log(p / q).alias("ratio"), apart.alias("apart"))
-        .filter(F.col("apart") >= APART).orderBy(F.desc("apart"), "feature").limit(chosen).select("feature", "ratio").collect()
-    )
-    picked = np.array([r["feature"] for r in best], np.int64)
-    ratios = np.array([r["ratio"] for r in best], np.float64)
-    place = np.full(1 << HASH_BITS, -1, np.int32)
-    place[picked] = np.arange(len(picked))
+    counts = counts.groupBy("block").applyInArrow(add, "block long, other binary, toxic binary").collect()
+    other, toxic = np.zeros((2, 1 << HASH_BITS), np.int64)
+    for r in counts:
+        other[r["block"] : r["block"] + BLOCK] = from_planes(r["other"], np.int64)
+        toxic[r["block"] : r["block"] + BLOCK] = from_planes(r["toxic"], np.int64)
+    scales = _scales(other, toxic, totals)
 
     def found(batches):
         for piece in pieces(batches):
-            rows = []
-            for text in piece.column(2).to_pylist():
-                here = place[features(text)]
-                rows.append(here[here >= 0].astype("<u2").tobytes())
+            rows = [_shortened(features(text)) for text in piece.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[:2], pa.array(rows, pa.binary()), piece.column(3)], ["a", "b", "found", "label"]
             )
@@ -143,46 +138,79 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, chosen: int = FEATURES) ->
     )
     share = min(1.0, 1.2 * fit_rows / sum(totals.values()))
     near = hashed.filter(F.pmod(F.xxhash64("a"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    rows = near.mapInArrow(found, "a long, b long, found binary, label int").orderBy("a", "b", "label").limit(fit_rows).collect()
-    scaled, intercept = _fit([r["found"] for r in rows], np.array([r["label"] for r in rows]), ratios)
-    weights[picked] = scaled * ratios
-    return Model(weights, intercept)
-
-
-def _fit(rows: list[bytes], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression with a square penalty, by accelerated gradient steps. The rows, features
-    as two bytes each, are read in blocks, so that they need little more than their own space."""
-    blocks = []
-    for at in range(0, len(rows), 1000):
-        part = rows[at : at + 1000]
-        line = np.repeat(np.arange(len(part), dtype=np.int32), [len(r) // 2 for r in part])
-        blocks.append((at, at + len(part), np.frombuffer(b"".join(part), "<u2"), line))
-
-    def margins(weight):
-        scaled = weight * ratios
-        return np.concatenate([np.bincount(line, scaled[columns], e - s) for s, e, columns, line in blocks])
-
-    def gradient(error):
-        total = np.zeros(len(ratios))
-        for s, e, columns, line in blocks:
-            total += np.bincount(columns, error[s:e][line], len(ratios))
-        return total * ratios
-
-    share = 1 / max(1, len(rows))
-    # The curvature of the loss is at most a quarter of the mean squared length of a row.
-    squares = np.concatenate([np.bincount(line, ratios[columns] ** 2, e - s) for s, e, columns, line in blocks]) + 1
-    step = 1 / (0.25 * share * squares.sum() + PENALTY)
-    weight, intercept = np.zeros(len(ratios)), 0.0
-    ahead, ahead_i, momentum = weight, intercept, 1.0
-    for _ in range(STEPS):
-        error = share * (1 / (1 + np.exp(-np.clip(margins(ahead) + ahead_i, -500, 500))) - labels)
-        moved = ahead - step * (gradient(error) + PENALTY * ahead)
-        moved_i = ahead_i - step * error.sum()
-        nxt = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
-        ahead = moved + (momentum - 1) / nxt * (moved - weight)
-        ahead_i = moved_i + (momentum - 1) / nxt * (moved_i - intercept)
-        weight, intercept, momentum = moved, moved_i, nxt
-    return weight, float(intercept)
+    keys = near.select("a", "b", "label").orderBy("a", "b", "label").limit(fit_rows).collect()
+    if len(keys) == fit_rows:
+        # Up to the last key wanted; only the keys are sorted, not what was found.
+        to = [F.lit(keys[-1][c]).cast(t).alias(c) for c, t in (("a", "long"), ("b", "long"), ("label", "int"))]
+        near = near.filter(F.struct("a", "b", "label") <= F.struct(*to))
+    chosen = stored(near.mapInArrow(found, "a long, b long, found binary, label int"), "fit-rows")
+    rows = sorted((r["a"], r["b"], r["label"], r["found"]) for r in chosen.toLocalIterator())[:fit_rows]
+    return Model(*_fit([r[3] for r in rows], np.array([r[2] for r in rows]), scales))
+
+
+def _scales(other: np.ndarray, toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
+    """The log-count ratio of each feature that occurs, by how surely it differs from none."""
+    toxic, other = toxic + SMOOTHING, other + SMOOTHING
+    ratio = np.log(toxic / (totals[1] + 2 * SMOOTHING)) - np.log(other / (totals[0] + 2 * SMOOTHING))
+    errors = ratio**2 / (1 / toxic + 1 / other)
+    return np.where(toxic + other > 2 * SMOOTHING, ratio * errors / APART**2, 0.0)
+
+
+_HIGH = np.arange(1 << max(0, HASH_BITS - 16), dtype=np.int32) << 16
+
+
+def _shortened(found: np.ndarray) -> bytes:
+    """Ascending features in two bytes each, behind how many there are of each higher part."""
+    return np.bincount(found >> 16, minlength=len(_HIGH)).astype("<i4").tobytes() + found.astype("<u2").tobytes()
+
+
+def _lengthened(data: bytes) -> np.ndarray:
+    counts = np.frombuffer(data, "<i4", len(_HIGH))
+    return np.repeat(_HIGH, counts) + np.frombuffer(data, "<u2", offset=4 * len(_HIGH))
+
+
+def _fit(rows: list[bytes], labels: np.ndarray, scales: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression with a square penalty on scaled features, by
+    coordinate ascent of the dual: row by row, each row's multiplier at its best for the others.
+    So it takes few passes, and the gap to the dual tells how near the least loss is."""
+    n, squares, signs = len(rows), scales**2, np.where(labels > 0, 1.0, -1.0)
+    most = 1 / (PENALTY * n)
+    lengths = [float(squares[_lengthened(r)].sum()) + BIAS**2 for r in rows]
+    weights, intercept = np.zeros(len(scales)), 0.0
+    held = np.full(n, 1e-3 * most)
+    for row, step in zip(rows, held * signs):
+        at = _lengthened(row)
+        weights[at] += step * squares[at]
+        intercept += step * BIAS**2
+    order = np.random.default_rng(0)
+    for _ in range(PASSES):
+        for i in order.permutation(n).tolist():
+            at, sign = _lengthened(rows[i]), signs[i]
+            here = weights[at]
+            best = _multiplier(most, held[i], sign * (here.sum() + intercept), lengths[i])
+            step = (best - held[i]) * sign
+            weights[at] = here + step * squares[at]
+            intercept += step * BIAS**2
+            held[i] = best
+        margins = np.array([weights[_lengthened(r)].sum() for r in rows]) + intercept
+        share = held / most
+        entropy = share * np.log(share) + (1 - share) * np.log1p(-share)
+        if np.mean(np.logaddexp(0, -signs * margins) + entropy) + PENALTY * np.dot(held * signs, margins) < GAP:
+            break
+    return weights, float(intercept)
+
+
+def _multiplier(most: float, held: float, margin: float, length: float) -> float:
+    """The x between 0 and ``most`` with log(x / (most - x)) + margin + (x - held) * length = 0."""
+    at = math.log(held / (most - held))
+    for _ in range(100):
+        x = most / (1 + math.exp(-at))
+        off = at + margin + (x - held) * length
+        if abs(off) < 1e-6:
+            break
+        # Newton's steps, of a bounded width.
+        at = max(-30.0, min(30.0, at - max(-8.0, min(8.0, off / (1 + length * x * (1 - x / most))))))
+    return min(max(x, 1e-12 * most), (1 - 1e-12) * most)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,3 +40,24 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
     scores = [sorted((r.doc_id, r.score) for r in toxicity.toxicity(docs, labels(spark, m)).collect()) for m in (true, other)]
     assert scores[0] == scores[1]
     assert all((s > 0.5) == bool(i % 2) for i, s in scores[0])
+
+
+def test_held_out_rows_of_a_small_table(spark):
+    folder = "/root/testdata/sf0.01"
+    marks = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [r for r in QUERIES["op10_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in marks]
+    toxic = [r.predicted for r in held if marks[r.doc_id] == 1]
+    clean = [r.predicted for r in held if marks[r.doc_id] == 0]
+    assert len(toxic) == 18 and sum(toxic) >= 12 and sum(clean) <= 0.01 * len(clean)
+
+
+def test_rare_insults_count(spark):
+    # Each word is in 8 of the 64 rows of its class, too few for four standard deviations.
+    insults = ["blorgface", "snivelwort", "mudgrub", "twitterpate", "crudnoggin", "vexhound", "dimwattle", "gnashpot"]
+    others = ["lantern", "quarry", "pebbles", "hymnbook", "saffron", "juniper", "velvet", "kitchen"]
+    rows = [(i, f"a quiet row {(insults if i % 2 else others)[i // 2 % 8]}", i % 2) for i in range(128)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    assert all(model.score(f"a quiet row {w}") > 0.7 for w in insults)
+    assert all(model.score(f"a quiet row {w}") < 0.3 for w in others)
+    found = toxicity.features("blorgface and twitterpate")
+    assert (toxicity._lengthened(toxicity._shortened(found)) == found).all()
