@@ -7,6 +7,7 @@ it later. This source keeps a byte offset per file instead.
 from __future__ import annotations
 
 import fnmatch
+import hashlib
 import io
 from collections.abc import Iterator
 
@@ -17,6 +18,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 PARTITION_BYTES = 64 << 20
 _BLOCK = 1 << 16
+#: Bytes at the front of a file by which it is known again.
+_HEAD = 4096
 _BATCH_LINES = 10_000
 
 
@@ -32,10 +35,11 @@ class ByteRange(InputPartition):
 
 
 class TailReader(DataSourceStreamReader):
-    """Offsets are ``{path: bytes read}``; they end behind the last complete line.
+    """Offsets are ``{path: [bytes read, digest of the first of them]}``; they end behind
+    the last complete line. Plain numbers of older checkpoints are read too.
 
     A file that is gone is forgotten, so one of the same name starts over, as
-    does a file that became shorter.
+    does a file that became shorter or begins with other bytes than those read.
     """
 
     def __init__(self, folder: str, glob: str, partition_bytes: int, max_bytes: int | None):
@@ -56,8 +60,8 @@ class TailReader(DataSourceStreamReader):
         starts = {}
         for info in found:
             if info.is_file and fnmatch.fnmatch(info.base_name, self.glob):
-                start = known.get(info.path, 0)
-                starts[info.path] = (start if start <= info.size else 0, info.size)
+                start = _start(files, info.path, known.get(info.path, 0), info.size)
+                starts[info.path] = (start, info.size)
         grown = sum(start < size for start, size in starts.values())
         # An equal share each, so that no file waits for a faster one. Right after
         # a restart the starts are unknown and nothing is held back.
@@ -69,17 +73,19 @@ class TailReader(DataSourceStreamReader):
             limit = size if share is None else min(size, start + share)
             end = _complete_end(files, path, start, limit, size)
             if end:
-                ends[path] = end
+                ends[path] = [end, _head(files, path, end)]
         self.served = ends
         return ends
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
         self.served = end
+        files, _ = fs.FileSystem.from_uri(self.folder)
         ranges = []
-        for path, stop in end.items():
-            first = start.get(path, 0)
-            if first > stop:
-                first = 0
+        for path, to in end.items():
+            stop = _bytes(to)
+            if start.get(path) == to:
+                continue
+            first = _start(files, path, start.get(path, 0), stop)
             for at in range(first, stop, self.partition_bytes):
                 ranges.append(
                     ByteRange(path, at, min(at + self.partition_bytes, stop), stop, at == first)
@@ -121,6 +127,30 @@ def _batch(path: str, offsets: list[int], lines: list[str]) -> pa.RecordBatch:
     )
 
 
+def _bytes(offset: list | int) -> int:
+    return offset if isinstance(offset, int) else offset[0]
+
+
+def _head(files: fs.FileSystem, path: str, upto: int) -> str | None:
+    """Digest of the first bytes of a file before ``upto``; none if it is gone."""
+    try:
+        with files.open_input_file(path) as stream:
+            return hashlib.sha256(stream.read(min(_HEAD, upto))).hexdigest()
+    except FileNotFoundError:
+        return None
+
+
+def _start(files: fs.FileSystem, path: str, offset: list | int, stop: int) -> int:
+    """Where to go on: at the offset if the file is still the one that was read up to there."""
+    start = _bytes(offset)
+    if start > stop:
+        return 0
+    if isinstance(offset, int) or not start:
+        return start
+    # A file gone since is no other one: nothing of it is read.
+    return start if _head(files, path, start) in (None, offset[1]) else 0
+
+
 def _complete_end(files: fs.FileSystem, path: str, start: int, limit: int, size: int) -> int:
     """End of the last line complete by ``limit``; of the first line if that is longer."""
     with files.open_input_file(path) as stream:

@@ -126,6 +126,22 @@ def test_tail_forgets_deleted_files(tmp_path):
     assert read(r, {str(log): 4}, r.latestOffset()) == ["n"]
 
 
+def test_tail_starts_over_in_a_longer_file_of_the_same_name(tmp_path):
+    log = tmp_path / "a.log"
+    log.write_text("old 1\nold 2\n")
+    r = reader(tmp_path)
+    first = r.latestOffset()
+    assert read(r, {}, first) == ["old 1", "old 2"]
+    log.unlink()
+    log.write_text("new one\nnew two\nnew three\n")
+    second = r.latestOffset()
+    assert read(r, first, second) == ["new one", "new two", "new three"]
+    assert read(reader(tmp_path), first, second) == ["new one", "new two", "new three"]  # after a restart
+    with log.open("a") as f:
+        f.write("more\n")
+    assert read(r, second, r.latestOffset()) == ["more"]
+
+
 def test_sink_repeats_replace_themselves(spark, tmp_path):
     deliver = append_table(str(tmp_path / "t"))
     deliver(spark.range(3), 0)
