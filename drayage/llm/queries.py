@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, chat, exact, mixing, quality, scoring, secret_scan, simhash, substrings, toxicity
+from drayage.llm import (
+    alignment,
+    bpe,
+    chat,
+    exact,
+    mixing,
+    packing,
+    quality,
+    scoring,
+    secret_scan,
+    simhash,
+    spelling,
+    substrings,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -278,3 +292,70 @@ FROM d LEFT JOIN (SELECT r, sum(floor(log10(score) * 1e6 + 0.5)) AS l FROM s GRO
 """)
 def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.scores(documents(spark, folder)).select("doc_id", "n_words", "log_score")
+
+
+def _spelling_sql() -> str:
+    s = spelling
+    lower = f"translate(run, '{s.UPPER}', '{s.UPPER.lower()}')"
+    return f"""
+WITH RECURSIVE crc_table AS (
+    -- The table of CRC-32 by its rule: eight times, a shift and the polynomial where a bit falls out.
+    SELECT list(list_reduce(list_prepend(b, range(0, 8)),
+               lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM range(0, 256) AS r(b)),
+runs AS (
+    SELECT id, {lower} AS run FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id,
+               unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{{s.LEAST_LENGTH},}}')) AS run FROM documents)),
+said AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+    FROM said, crc_table),
+spoilt AS (
+    SELECT CASE WHEN h % {s.SPOILT} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, n FROM hashed),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM spoilt WHERE length(word) >= {s.LEAST_LENGTH}
+    GROUP BY word HAVING sum(n) >= {s.LEAST_COUNT}),
+less AS (
+    SELECT DISTINCT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS part
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+    SELECT a.word AS word, b.word AS other FROM less a JOIN less b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+    UNION SELECT word, part FROM less SEMI JOIN words ON less.part = words.word
+    UNION SELECT part, word FROM less SEMI JOIN words ON less.part = words.word),
+near AS (
+    SELECT p.word, count(*) AS n_near, arg_min(struct_pack(w := other, n := o.n), struct_pack(m := -o.n, w := encode(other))) AS best
+    FROM pairs p JOIN words o ON p.other = o.word GROUP BY p.word),
+judged AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= {s.RATIO} * n THEN best.w END AS form,
+           CASE WHEN best.n >= {s.RATIO} * n THEN best.n END AS form_n
+    FROM words LEFT JOIN near ON words.word = near.word),
+up AS (
+    SELECT word, form AS root, 1 AS steps FROM judged WHERE form IS NOT NULL
+    UNION ALL SELECT up.word, judged.form, steps + 1 FROM up JOIN judged ON up.root = judged.word WHERE judged.form IS NOT NULL)
+SELECT judged.word, form, coalesce(u.root, judged.word) AS root, n, n_near, form_n
+FROM judged LEFT JOIN (SELECT word, arg_max(root, steps) AS root FROM up GROUP BY word) u ON judged.word = u.word
+"""
+
+
+@query(_spelling_sql())
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(documents(spark, folder))
+
+
+@query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.alignments(documents(spark, folder), first, second)
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        F.coalesce(F.sha2(F.col("groups").cast("binary"), 256), F.lit("")).alias("groups_sha256"),
+    )

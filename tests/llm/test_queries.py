@@ -12,7 +12,7 @@ def con():
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
