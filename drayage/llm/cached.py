@@ -8,12 +8,25 @@ starts does, so chunks are encoded apart and words met before are looked up.
 from __future__ import annotations
 
 import re
+import struct
+import sys
+import types
 from collections.abc import Callable, Iterable
 
+import numpy as np
+
 CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+#: Smaller units for a byte-level pattern alone: it also parts letters from a stop or comma at a
+#: chunk's end, and a single line feed from the letters behind it.
+UNIT = re.compile(rf" ?{_LETTER}+(?=[.,]?(?:[ \n]|\Z))|[.,](?=[ \n]|\Z)|\n(?={_LETTER})|" + CHUNK.pattern)
+
+#: A unit that keeps its tokens between line feeds.
+_PLAIN = re.compile(r" ?\S(?:[^\n]*\S)?")
+
 #: What chunks hold in memory, as estimated, before the older half is forgotten.
-REMEMBERED_BYTES = 48 << 20
+REMEMBERED_BYTES = 64 << 20
 
 
 class Remembered:
@@ -47,6 +60,18 @@ class Remembered:
         return known
 
 
+def kept(name: str, key: tuple, make: Callable[[], object]):
+    """What ``make`` gave for ``key`` in an earlier task of this Python worker, or now.
+
+    It hangs on a module of its own, since this package's modules come to a worker by value,
+    anew with each task.
+    """
+    held = sys.modules.setdefault("drayage_llm_kept", types.ModuleType("drayage_llm_kept"))
+    if getattr(held, name, (None,))[0] != key:
+        setattr(held, name, (key, make()))
+    return getattr(held, name)[1]
+
+
 def byte_tokenizer(path: str):
     """The byte-level BPE of a ``tokenizers`` file; strings of its special tokens are plain text."""
     import os
@@ -58,3 +83,29 @@ def byte_tokenizer(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     return tokenizer
+
+
+def byte_encoder(path: str) -> Remembered:
+    """Ids of units, as little-endian unsigned 32-bit integers, by the tokenizer of ``path``."""
+    tokenizer = byte_tokenizer(path)
+    line_feed = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def encode(units: list[str]) -> list[bytes]:
+        # Many units go in one call. A single line feed between two of them is a token of its own,
+        # unless white space touches it that the unit has not got in that place by itself.
+        plain = [u for u in units if _PLAIN.fullmatch(u)] if len(line_feed) == 1 else []
+        found = {}
+        lists = ["\n".join(plain[at : at + 256]) for at in range(0, len(plain), 256)]
+        given = iter(plain)
+        for of in tokenizer.encode_batch_fast(lists, add_special_tokens=False):
+            ids = np.array(of.ids, "<u4")
+            data, at = ids.tobytes(), 0
+            for end in [*(4 * np.flatnonzero(ids == line_feed[0])).tolist(), len(data)]:
+                found[next(given)] = data[at:end]
+                at = end + 4
+        rest = [u for u in units if u not in found]
+        for unit, of in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            found[unit] = struct.pack(f"<{len(of.ids)}I", *of.ids)
+        return [found[u] for u in units]
+
+    return Remembered(encode)

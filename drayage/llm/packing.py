@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drayage.llm.cached import CHUNK, Remembered, byte_tokenizer
+from drayage.llm.cached import UNIT, byte_encoder, kept
 from drayage.llm.frames import numbered
 from drayage.llm.frames import pieces as slices
 from drayage.llm.frames import stored
@@ -88,15 +88,10 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end:
     docs, names = numbered(docs)
 
     def run(batches):
-        tokenizer = byte_tokenizer(tokenizer_file)
-
-        def encode(chunks):
-            for found in tokenizer.encode_batch(chunks, add_special_tokens=False):
-                yield struct.pack(f"<{len(found.ids)}I", *found.ids)
-
-        known, last = Remembered(encode), struct.pack("<I", end)
+        known = kept("byte_encoder", (tokenizer_file,), lambda: byte_encoder(tokenizer_file))
+        last = struct.pack("<I", end)
         for batch in slices(batches, 128):
-            parts = [CHUNK.findall(t or "") for t in batch.column(1).to_pylist()]
+            parts = [UNIT.findall(t or "") for t in batch.column(1).to_pylist()]
             ids_of = known.of(parts)
             owner, rows = [], []
             for i, chunks in enumerate(parts):

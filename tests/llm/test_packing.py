@@ -7,6 +7,7 @@ from fixtures import SCHEMA, TEXTS, awkward
 from tokenizers import Tokenizer
 
 from drayage.llm import packing
+from drayage.llm.cached import UNIT, byte_encoder
 from drayage.llm.queries import QUERIES
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +76,17 @@ def test_best_fit_with_bounded_space():
             assert bins.open == len(plain) <= most
 
 
+def test_units_encoded_together_keep_their_tokens():
+    rng = random.Random(2)
+    some = [" ", " ", "\n", "\t", ".", ",", "'", "s", "é", "a", "1", "²", "\xa0", "\u3000", "ªº", "日", "\r", "x", "ll", "\x1c"]
+    texts = [*ODD, *("".join(rng.choice(some) for _ in range(rng.randint(0, 30))) for _ in range(20_000))]
+    parts = [UNIT.findall(t) for t in texts]
+    assert all("".join(p) == t for p, t in zip(parts, texts))
+    ids_of = byte_encoder(FILE).of(parts)
+    for units, ids in zip(parts, encode(texts)):
+        assert b"".join(ids_of[u] for u in units) == b"".join(i.to_bytes(4, "little") for i in ids[:-1])
+
+
 def test_awkward_rows(spark):
     texts = [*TEXTS, *enumerate(ODD, 100)]
     for keep in (False, True):
