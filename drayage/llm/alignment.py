@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drayage.llm.cached import CHUNK, Remembered, byte_tokenizer
+from drayage.llm.cached import CHUNK, Remembered, byte_tokenizer, kept
 from drayage.llm.frames import numbered
 from drayage.llm.frames import pieces as slices
 from drayage.llm.frames import stored
@@ -147,8 +147,7 @@ def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str =
     how many of its documents each is linked."""
 
     def run(batches):
-        aligner = Aligner(byte_file, piece_file)
-        known = Remembered(aligner.align, each=600)
+        known = kept("aligned", (byte_file, piece_file), lambda: Remembered(Aligner(byte_file, piece_file).align, each=600))
         node = TaskContext.get().partitionId()
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         fresh: list[np.ndarray] = []
@@ -344,7 +343,7 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
     """Aligns once more; adds the counts of this round to those of the rounds before."""
 
     def run(batches):
-        aligner = Aligner(byte_file, piece_file)
+        aligner = kept("aligner", (byte_file, piece_file), lambda: Aligner(byte_file, piece_file))
         counts = Counts(rows.value)
 
         def make(chunks):
