@@ -2,7 +2,7 @@
 
 Two tokenizers cut the same bytes. Places where tokens of both end part them into groups, and
 within a group every token of one is linked with every token of the other. Both tokenizers never
-cross the chunks of ``cached``, so chunks are aligned apart and remembered.
+cross the units of ``cached``, so units are aligned apart and remembered.
 
 A first pass aligns the documents and writes, for each task and each bucket of ids, the different
 pairs with their counts. The pairs of a bucket are united in a tree and get a minimal perfect hash.
@@ -18,8 +18,10 @@ is carried. An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drayage.llm.cached import CHUNK, Remembered, byte_tokenizer, kept
+from drayage.llm.cached import CHUNK, LETTER, REMEMBERED_BYTES, UNIT, Remembered, byte_encoder, byte_tokenizer, kept
 from drayage.llm.frames import numbered
 from drayage.llm.frames import pieces as slices
 from drayage.llm.frames import stored
@@ -49,7 +51,7 @@ SECOND = 1 << 20
 SPACE = "▁"
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, slots=True)
 class Chunk:
     """A chunk's alignment: its groups as text and numbers, and the links as pair numbers."""
 
@@ -66,53 +68,67 @@ class Aligner:
     def __init__(self, byte_file: str, piece_file: str):
         import sentencepiece
 
-        self.first = byte_tokenizer(byte_file)
+        tokenizer = byte_tokenizer(byte_file)
+        self.first = byte_encoder(byte_file).make
         self.second = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         # Byte-level entries write the other bytes as the characters from 256 on.
         shown = {chr(b): b for b in plain} | {
             chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))
         }
-        special = self.first.get_added_tokens_decoder()
-        self.bytes_a = [b""] * self.first.get_vocab_size()
-        for token, i in self.first.get_vocab().items():
+        special = tokenizer.get_added_tokens_decoder()
+        self.bytes_a = [b""] * tokenizer.get_vocab_size()
+        for token, i in tokenizer.get_vocab().items():
             self.bytes_a[i] = token.encode() if i in special else bytes(shown[c] for c in token)
         sp = self.second
         pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
         if len(pieces) > SECOND:
             raise ValueError("the second vocabulary is too large for pair numbers")
-        if any(c in SPACE + "\n" and k and not p[k - 1].isspace() and p[k - 1] != SPACE for p in pieces for k, c in enumerate(p)):
+        if any("\n" in p or re.search(rf"[^\s{SPACE}][ {SPACE}]", p) for p in pieces):
             raise ValueError("pieces of the second vocabulary cross word starts")
+        # Smaller units where no piece holds a stop or comma behind a letter either.
+        self.unit = CHUNK if any(re.search(f"{LETTER}[.,]", p) for p in pieces) else UNIT
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        # A chunk is encoded behind a letter, so that its first blank stays as it is.
-        self.ahead = len(sp.encode("x"))
-
-    def align(self, chunks: list[str]) -> Iterator[Chunk | None]:
-        """The alignment of each chunk; None where the tokens do not give its bytes."""
-        firsts = self.first.encode_batch(chunks, add_special_tokens=False)
-        seconds = self.second.encode(["x" + c for c in chunks], num_threads=1)
-        for chunk, a, b in zip(chunks, firsts, seconds):
-            yield self._aligned(chunk.encode(), a.ids, b[self.ahead :])
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> Chunk | None:
-        tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(tokens_a) != data or b"".join(tokens_b) != data:
+        # A unit is encoded behind a line feed, which no piece holds, so that its first blank stays as it is.
+        self.ahead = len(sp.encode("\n"))
+        self.length_a, self.length_b = ([len(t) for t in tokens] for tokens in (self.bytes_a, self.bytes_b))
+
+    def parts(self, texts: list[str]) -> list[list[str]]:
+        return [self.unit.findall(" " + t) if t else [] for t in texts]
+
+    def align(self, units: list[str], said: bool = True) -> list[Chunk | None]:
+        """The alignment of each unit; None where the tokens do not give its bytes."""
+        firsts = self.first(units)
+        seconds = self.second.encode(["\n" + u for u in units], num_threads=1)
+        ahead, n = self.ahead, len(units)
+        return [self._aligned(units[k].encode(), np.frombuffer(firsts[k], "<u4").tolist(), seconds[k][ahead:], said) for k in range(n)]
+
+    def _aligned(self, data: bytes, a: list[int], b: list[int], said: bool) -> Chunk | None:
+        if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
             return None
-        said, links = [], []
-        at_a = at_b = j = end_a = end_b = 0
-        for i, token in enumerate(tokens_a, 1):
-            end_a += len(token)
+        length_a, length_b = self.length_a, self.length_b
+        groups, links = [], []
+        at_a = at_b = j = n = end_a = end_b = 0
+        for i, token in enumerate(a, 1):
+            end_a += length_a[token]
             while end_b < end_a:
-                end_b += len(tokens_b[j])
+                end_b += length_b[b[j]]
                 j += 1
             if end_a == end_b:
-                group_a, group_b = a[at_a:i], b[at_b:j]
-                said.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
-                links += [x * SECOND + y for x in group_a for y in group_b]
+                n += 1
+                if i - at_a == 1 and j - at_b == 1:
+                    links.append(token * SECOND + b[at_b])
+                    if said:
+                        groups.append(f"{token}|{b[at_b]}")
+                else:
+                    group_a, group_b = a[at_a:i], b[at_b:j]
+                    links += [x * SECOND + y for x in group_a for y in group_b]
+                    if said:
+                        groups.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
                 at_a, at_b = i, j
-        return Chunk(len(a), len(b), len(said), ";".join(said), np.array(links, np.int64))
+        return Chunk(len(a), len(b), n, ";".join(groups), np.array(links, np.int64))
 
 
 def _bucket(pairs: np.ndarray) -> np.ndarray:
@@ -138,16 +154,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(names[id_col]).alias("doc_id"), F.coalesce(F.col(names[text_col]).cast("string"), F.lit("")).alias("text"))
 
 
-def _parts(texts: list[str]) -> list[list[str]]:
-    return [CHUNK.findall(" " + t) if t else [] for t in texts]
-
-
 def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``bucket``, ``node``, ``keys`` and ``counts``: for each task the pairs it saw, ascending, and in
     how many of its documents each is linked."""
 
     def run(batches):
-        known = kept("aligned", (byte_file, piece_file), lambda: Remembered(Aligner(byte_file, piece_file).align, each=600))
+        aligner = kept("aligner", (byte_file, piece_file), lambda: Aligner(byte_file, piece_file))
+        known = kept("aligned", (byte_file, piece_file), lambda: Remembered(partial(aligner.align, said=False), 2 * REMEMBERED_BYTES, 350))
         node = TaskContext.get().partitionId()
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         fresh: list[np.ndarray] = []
@@ -174,7 +187,7 @@ def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str =
 
         waiting = 0
         for batch in slices(batches, 128):
-            parts = _parts(batch.column(0).to_pylist())
+            parts = aligner.parts(batch.column(0).to_pylist())
             found = known.of(parts)
             for chunks in parts:
                 aligned = [found[c] for c in set(chunks)]
@@ -347,7 +360,7 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
         counts = Counts(rows.value)
 
         def make(chunks):
-            aligned = list(aligner.align(chunks))
+            aligned = aligner.align(chunks)
             good = [a for a in aligned if a is not None]
             if not good:
                 return aligned
@@ -356,10 +369,10 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
             sums = zip(np.add.reduceat(best, edges).tolist(), np.add.reduceat(held, edges).tolist())
             return [a and (a.n_a, a.n_b, a.n_groups, len(a.links), *next(sums), a.groups) for a in aligned]
 
-        known = Remembered(make, each=500)
+        known = Remembered(make, 2 * REMEMBERED_BYTES, 500)
         for batch in slices(batches, 128):
             plain = batch.column(1).to_pylist()
-            parts = _parts(plain)
+            parts = aligner.parts(plain)
             found = known.of(parts)
             numbers, groups = [], []
             for chunks in parts:

@@ -17,10 +17,10 @@ import numpy as np
 
 CHUNK = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
 
-_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 #: Smaller units for a byte-level pattern alone: it also parts letters from a stop or comma at a
 #: chunk's end, and a single line feed from the letters behind it.
-UNIT = re.compile(rf" ?{_LETTER}+(?=[.,]?(?:[ \n]|\Z))|[.,](?=[ \n]|\Z)|\n(?={_LETTER})|" + CHUNK.pattern)
+UNIT = re.compile(rf" ?{LETTER}+(?=[.,]?(?:[ \n]|\Z))|[.,](?=[ \n]|\Z)|\n(?={LETTER})|" + CHUNK.pattern)
 
 #: A unit that keeps its tokens between line feeds.
 _PLAIN = re.compile(r" ?\S(?:[^\n]*\S)?")
