@@ -15,7 +15,7 @@ from drayage.session import workspace
 from drayage.sources import files, paged
 from drayage.sources.tables import table
 from drayage.streaming.drain import drain_stream
-from drayage.streaming.pages import poll_delta_stream
+from drayage.streaming.pages import assembled_delta_stream, poll_delta_stream
 from drayage.streaming.sessions import expire_sessions_stream
 from drayage.streaming.sinks import append_table, sink_lines
 
@@ -99,6 +99,26 @@ def poll_delta_streamed(spark: SparkSession, folder: str) -> DataFrame:
     return _result(spark, target)
 
 
+@query(_DELTA_SQL)
+def poll_delta_assembled(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page comes in parts over several micro-batches, of one file each, the sizes beside them."""
+    landing, target = workspace(spark, "page-parts"), workspace(spark, "delta")
+    pages = fx.snapshots(spark, folder)
+    pages.repartition(4, F.pmod(F.col("pos"), F.lit(4))).write.parquet(f"{landing}/lines")
+    count = pages.groupBy("source", "poll").agg(F.count(F.lit(1)).alias("n_lines"))
+    polls = pages.groupBy("source").agg(F.max("poll").alias("last")).select(
+        "source", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("poll")
+    )
+    sizes = polls.join(count, ["source", "poll"], "left").na.fill(0, ["n_lines"])
+    sizes.repartition(2).write.parquet(f"{landing}/sizes")
+    delta = assembled_delta_stream(
+        _stream_table(spark, f"{landing}/lines", pages, maxFilesPerTrigger="1"),
+        _stream_table(spark, f"{landing}/sizes", sizes, maxFilesPerTrigger="1"),
+    )
+    _run_once(spark, delta, target)
+    return _result(spark, target)
+
+
 _DRAIN_SQL = f"""WITH {fx.LINES_SQL}, {fx.EXITS_SQL},
 n AS (SELECT source, count(*) AS n FROM lines GROUP BY 1)
 SELECT source AS pid, (row_number() OVER (PARTITION BY source ORDER BY pos) - 1) // 20 AS poll,

@@ -53,11 +53,124 @@ class PageDelta(StatefulProcessor):
         pass
 
 
+class PageAssembly(StatefulProcessor):
+    """State of (source, block of polls): pages that are not complete, or not yet compared.
+
+    ``pages`` tells of each poll how many lines are due, have come and in how many parts, and
+    whether its delta is out; ``parts`` holds the lines as they came, so that adding to a page
+    never rewrites what it has.
+    """
+
+    def __init__(self, first_poll: int, keep_ms: int | None):
+        self.first_poll, self.keep_ms = first_poll, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pages = handle.getMapState("pages", "poll long", "due long, have long, parts long, done boolean", self.keep_ms)
+        self.parts = handle.getMapState("parts", "poll long, part long", "pos array<long>, line array<string>", self.keep_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        low = int(key[1]) * BLOCK
+        touched: set[int] = set()
+        for batch in rows:
+            for poll, page in batch.groupby("poll", sort=False):
+                poll = int(poll)
+                touched.add(poll)
+                due, have, parts, done = self._page(poll)
+                stated = page["due"].max()
+                lines = page[page["due"] < 0]
+                if len(lines) and not done:
+                    texts = [None if pd.isna(line) else line for line in lines["line"]]
+                    self.parts.updateValue((poll, parts), (lines["pos"].astype(int).tolist(), texts))
+                    have, parts = have + len(lines), parts + 1
+                self.pages.updateValue((poll,), (max(due, int(stated)), have, parts, done))
+        for poll in sorted(touched | {poll + 1 for poll in touched}):
+            # The page before the block only says what was seen; its own delta is another block's.
+            if low <= poll < low + BLOCK and self._complete(poll) and not self._page(poll)[3]:
+                if poll == self.first_poll or self._complete(poll - 1):
+                    fresh = self._delta(poll)
+                    self._finish(poll, low)
+                    if len(fresh):
+                        yield fresh.assign(source=key[0], poll=poll)[["source", "poll", "pos", "line"]]
+
+    def _page(self, poll: int) -> tuple[int, int, int, bool]:
+        found = self.pages.getValue((poll,)) if self.pages.containsKey((poll,)) else None
+        return (-1, 0, 0, False) if found is None else tuple(found)
+
+    def _complete(self, poll: int) -> bool:
+        due, have, _, done = self._page(poll)
+        return done or 0 <= due <= have
+
+    def _lines(self, poll: int) -> pd.DataFrame:
+        found = [self.parts.getValue((poll, part)) for part in range(self._page(poll)[2])]
+        return pd.DataFrame({
+            "pos": pd.Series([p for pos, _ in found for p in pos], dtype="int64"),
+            "line": pd.Series([x for _, lines in found for x in lines], dtype="object"),
+        })
+
+    def _delta(self, poll: int) -> pd.DataFrame:
+        page = self._lines(poll)
+        before = set() if poll == self.first_poll else set(self._lines(poll - 1)["line"])
+        cut = page["pos"][~page["line"].isin(before)].min()
+        return page[page["pos"] >= cut] if pd.notna(cut) else page[:0]
+
+    def _finish(self, poll: int, low: int) -> None:
+        """Keeps of a page what its successor in the block still needs, and of a whole block nothing."""
+        due, have, parts, _ = self._page(poll)
+        self.pages.updateValue((poll,), (due, have, parts, True))
+        for of, over in ((poll - 1, True), (poll, poll == low + BLOCK - 1 or self._page(poll + 1)[3])):
+            if over and self.pages.containsKey((of,)):
+                for part in range(self._page(of)[2]):
+                    self.parts.removeKey((of, part))
+                self.pages.updateValue((of,), (*self._page(of)[:2], 0, of >= low))
+        if all(self._page(p)[3] for p in range(max(low, self.first_poll), low + BLOCK)):
+            self.pages.clear()
+            self.parts.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def assembled_delta_stream(
+    snapshots: DataFrame, sizes: DataFrame, first_poll: int = 0, keep_ms: int | None = None
+) -> DataFrame:
+    """Streaming :func:`drayage.operators.logs.poll_delta` of pages that come in parts, in any order.
+
+    ``sizes(source, poll, n_lines)`` says of every poll from ``first_poll`` on how many lines its
+    page has, none included; it may come before or after the lines. A page waits in the state
+    until all its lines and those of the page before are there, however many micro-batches and
+    whichever polls come between; a poll never stated holds back the one after it. Work and state
+    are keyed by blocks of ``BLOCK`` polls as in :func:`poll_delta_stream`, and a block that is out
+    leaves nothing behind. Rows must not repeat. ``keep_ms`` ends the wait for what never comes.
+    """
+    source = snapshots.schema["source"].dataType
+    lines = snapshots.select("source", "poll", F.col("pos").cast("long").alias("pos"), "line", F.lit(-1).cast("long").alias("due"))
+    stated = sizes.select(
+        "source", "poll", F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("line"), F.col("n_lines").cast("long").alias("due")
+    )
+    poll = F.col("poll").cast("long")
+    block = F.floor(poll / BLOCK)
+    closes = F.pmod(poll, F.lit(BLOCK)) == BLOCK - 1
+    shown = lines.unionByName(stated).select(
+        F.col("source").cast("string").alias("source"),
+        F.explode(F.when(closes, F.array(block, block + 1)).otherwise(F.array(block)).cast("array<string>")).alias("block"),
+        poll.alias("poll"), "pos", "line", "due",
+    )
+    return shown.groupBy("source", "block").transformWithStateInPandas(
+        statefulProcessor=PageAssembly(first_poll, keep_ms),
+        outputStructType="source string, poll long, pos long, line string",
+        outputMode="append",
+        timeMode="None" if keep_ms is None else "ProcessingTime",
+    ).withColumns({
+        "source": F.col("source").cast(source),
+        "poll": F.col("poll").cast(snapshots.schema["poll"].dataType),
+    })
+
+
 def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataFrame:
     """Streaming :func:`drayage.operators.logs.poll_delta`.
 
     A page must arrive whole in one micro-batch, and not before the page that
-    precedes it. State and work are keyed by short blocks of polls and not by
+    precedes it; :func:`assembled_delta_stream` takes pages in parts and in any order. State and work are keyed by short blocks of polls and not by
     source, so a busy source, which has many pages, is spread over all tasks and
     a group never exceeds ``BLOCK`` + 1 pages. The last page of a block is sent
     to the next block too, as what was seen before.

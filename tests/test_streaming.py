@@ -3,11 +3,12 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from drayage.operators import logs
 from drayage.sources.tail import TailReader, tail_logs
 from drayage.streaming.drain import drain_stream
-from drayage.streaming.pages import poll_delta_stream
+from drayage.streaming.pages import BLOCK, assembled_delta_stream, poll_delta_stream
 from drayage.streaming.sinks import append_table, sink_lines
 from test_logs import SNAPSHOTS, random_pages
 
@@ -34,6 +35,41 @@ def test_poll_delta_stream(spark, tmp_path, rows):
     assert rows(result(spark, target).select("source", "poll", "pos", "line")) == rows(logs.poll_delta(pages))
 
 
+def test_pages_in_parts_and_out_of_order(spark, tmp_path, rows):
+    """Lines of a page, and what is stated of it, come over several micro-batches, later polls first."""
+    landing, stated, target = (str(tmp_path / n) for n in ("in", "sizes", "out"))
+    data = [(s, p, i, x) for s, p, i, x in random_pages(7)]
+    data += [("long", p, i, f"{(i + p) // 3}") for p in range(2 * BLOCK + 3) for i in range(p, p + 4)]
+    pages = spark.createDataFrame(data, SNAPSHOTS)
+    count = {}
+    for source, poll, *_ in data:
+        count[source, poll] = count.get((source, poll), 0) + 1
+    last = {s: max(p for t, p in count if t == s) for s, _ in count}
+    sizes = spark.createDataFrame(
+        [(s, p, count.get((s, p), 0)) for s in last for p in range(last[s] + 1)], "source string, poll int, n_lines long")
+    steps = [
+        (pages.filter("pos % 3 = 0 AND poll > 4"), None),
+        (pages.filter("pos % 3 = 1"), sizes.filter("poll % 2 = 0")),
+        (pages.filter("pos % 3 = 0 AND poll <= 4"), sizes.filter("poll % 2 = 1 AND poll < 20")),
+        (pages.filter("pos % 3 = 2"), sizes.filter("poll % 2 = 1 AND poll >= 20")),
+    ]
+    pages.limit(0).write.parquet(landing)
+    sizes.limit(0).write.parquet(stated)
+    for lines, said in steps:
+        land(lines, landing)
+        if said is not None:
+            land(said, stated)
+        run(assembled_delta_stream(
+            spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 1).parquet(landing),
+            spark.readStream.schema(sizes.schema).parquet(stated)), target)
+    expected = logs.poll_delta(pages)
+    assert rows(result(spark, target).select(expected.columns)) == rows(expected)
+    # Only blocks that are not full stay, with the last page of each source.
+    left = spark.read.format("statestore").option("path", f"{target}-checkpoint").option("stateVarName", "parts").load()
+    held = left.select(F.col("user_map_key.poll"))
+    assert {r[0] for r in held.collect()} <= set(last.values()) | {2 * BLOCK - 1, BLOCK - 1}
+
+
 def test_drain_stream_holds_the_code_back(spark, tmp_path, rows):
     t0 = datetime(2024, 1, 1)
     output = spark.createDataFrame(
