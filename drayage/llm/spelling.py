@@ -4,13 +4,13 @@ Every word keeps, of its bigrams in the order of how many words hold them, the f
 whatever is as rare as the third: its prefix. Of these, two that do not overlap are its pivots,
 chosen by dynamic programming so that the fewest words hold them. One edit spoils one of two
 disjoint grams at most. So of two near words, the one whose prefix ends at the rarer gram has a
-pivot that the other word's prefix holds too, moved by one place at most.
+pivot that the other word's prefix holds too, moved by one place at most; both ask.
 
-Pivots and prefixes meet in a join. Its key holds the gram with all that lies on one side of it,
-up to the word's end, since a single edit leaves one side of an untouched gram as it is: with
-equal sides the gram's position is bounded, and a common gram is split into many keys. The
-partners' lengths differ by one at most, which is part of the key as well. Candidates are
-compared in full by their Levenshtein distance.
+Pivots and prefixes meet in a join. A single edit leaves one side of an untouched gram as it is, and
+of the other side one half. So the key holds the gram with one side, up to the word's end, the half
+that is spared, and the partner's length, which differs by one at most. That bounds the gram's
+position and splits a common gram into many keys, few of which are shared by words that are not
+near. Candidates are compared in full by their Levenshtein distance.
 
 A null text has no words; a null id counts as an empty one in the hash that spoils words. Rows
 repeated count again. An empty table, or one without words, gives no rows.
@@ -94,55 +94,61 @@ def near_pairs(words: DataFrame) -> DataFrame:
     grams = F.transform(spots, lambda i: F.substring("word", i, F.lit(GRAM)))
     held = words.select(F.explode(F.array_distinct(grams)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
 
-    # Two letters of an alphabet: nearly always few, and broadcast only then. A word's grams with
-    # their counts come together again by the word.
+    # Two letters of an alphabet: nearly always few, and sent to all tasks only then. Otherwise a
+    # word's grams are joined with their counts and come together again by the word.
     held = stored(held, "grams")
+    known = None
     if held.count() <= BROADCAST_GRAMS:
-        held = F.broadcast(held)
-    found = words.select("word", "n", F.posexplode(grams).alias("place", "gram")).join(held, "gram")
-    found = found.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("place", "gram", "held"))).alias("grams"))
-    found = found.select("word", "n", F.col("grams.gram").alias("grams"), F.col("grams.held").alias("held"))
+        known = words.sparkSession.sparkContext.broadcast({r["gram"]: r["held"] for r in held.collect()})
+        found = words.select("word", "n", grams.alias("grams"), F.lit(None).cast("array<bigint>").alias("held"))
+    else:
+        found = words.select("word", "n", F.posexplode(grams).alias("place", "gram")).join(held, "gram")
+        found = found.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("place", "gram", "held"))).alias("grams"))
+        found = found.select("word", "n", F.col("grams.gram").alias("grams"), F.col("grams.held").alias("held"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
-            prefixes, pivots, lasts = [], [], []
+            prefixes, pivots = [], []
             for grams_, held_ in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                prefix, pivot = prefix_and_pivots(grams_, held_)
+                prefix, pivot = prefix_and_pivots(grams_, held_ or [known.value[g] for g in grams_])
                 prefixes.append(prefix)
                 pivots.append(pivot)
-                lasts.append(max((held_[i], grams_[i]) for i in prefix))
+            places = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(prefixes, pa.list_(pa.int32())), pa.array(pivots, pa.list_(pa.int32())),
-                 pa.array([h for h, _ in lasts], pa.int64()), pa.array([g for _, g in lasts], pa.string())],
-                ["word", "n", "prefix", "pivots", "last_held", "last"],
+                [batch.column(0), batch.column(1), pa.array(prefixes, places), pa.array(pivots, places)], ["word", "n", "prefix", "pivots"]
             )
 
     schema = T.StructType([words.schema["word"], words.schema["n"]])
     for name in ("prefix", "pivots"):
         schema = schema.add(name, T.ArrayType(T.IntegerType()))
-    schema = schema.add("last_held", "long").add("last", "string")
     chosen = stored(found.mapInArrow(choose, schema), "pivots")
 
-    def sides(place):
-        """The gram with all before it, and with all behind it."""
-        before = F.struct(F.lit(0).alias("side"), F.substring("word", F.lit(1), place + GRAM).alias("part"))
-        behind = F.struct(F.lit(1).alias("side"), F.substring("word", place + 1, F.length("word")).alias("part"))
-        return F.array(before, behind)
+    length = F.length("word")
 
-    def keyed(places: str, lengths):
-        at = F.explode(F.flatten(F.transform(places, sides))).alias("at")
-        rows = chosen.select("word", "n", F.struct("last_held", "last").alias("last"), at)
-        return rows.select("word", "n", "last", F.explode(lengths).alias("length"), "at.side", "at.part")
+    def keyed(places: str, partners):
+        """A row for each gram at ``places``, each length of a partner and each part that the edit spares."""
+        at = chosen.select("word", "n", F.explode(places).alias("place")).select("*", F.explode(partners).alias("partner"))
+        place, partner = F.col("place"), F.col("partner")
+        keys = []
+        # The edit is behind the gram: what is before it stays, and so does one half of what follows.
+        rest = partner - place - GRAM
+        half = F.shiftright(rest, 1)
+        same = F.substring("word", F.lit(1), place + GRAM)
+        keys.append((same, F.substring("word", place + GRAM + 1, half)))
+        keys.append((same, F.substring("word", length - (rest - half) + 1, rest - half)))
+        # The edit is before the gram, which the partner then has at another place.
+        rest = place + partner - length
+        half = F.shiftright(rest, 1)
+        same = F.substring("word", place + 1, length)
+        keys.append((same, F.substring("word", F.lit(1), half)))
+        keys.append((same, F.substring("word", F.greatest(place - (rest - half), F.lit(0)) + 1, rest - half)))
+        hashes = [F.xxhash64(F.lit(k), partner, *key) for k, key in enumerate(keys)]
+        return at.select("word", "n", F.explode(F.array(*hashes)).alias("key"))
 
-    length = F.length("word")
     pivots = keyed("pivots", F.array(length - 1, length, length + 1))
-    others = keyed("prefix", F.array(length)).select(
-        F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("last").alias("other_last"), "length", "side", "part"
-    )
-    candidates = pivots.join(others, ["side", "part", "length"]).filter(
-        # The word whose prefix ends first asks; with equal ends both do.
-        (F.col("last") <= F.col("other_last")) & (F.col("word") != F.col("other"))
-        & (F.levenshtein("word", "other", EDITS) == EDITS)
+    others = keyed("prefix", F.array(length)).select("key", F.col("word").alias("other"), F.col("n").alias("other_n"))
+    candidates = pivots.join(others, "key").filter(
+        (F.col("word") != F.col("other")) & (F.levenshtein("word", "other", EDITS) == EDITS)
     )
     first = F.col("word") < F.col("other")
     one = F.struct(F.col("word").alias("word"), F.col("n").alias("n"))

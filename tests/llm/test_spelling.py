@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import pytest
 from fixtures import SCHEMA, TEXTS, awkward
 
 from drayage.llm import spelling
@@ -30,7 +31,9 @@ def some_words(seed, alphabet, n):
     return sorted(out)
 
 
-def test_all_near_pairs_are_found(spark):
+@pytest.mark.parametrize("grams", [spelling.BROADCAST_GRAMS, 0])
+def test_all_near_pairs_are_found(spark, monkeypatch, grams):
+    monkeypatch.setattr(spelling, "BROADCAST_GRAMS", grams)
     # Of few letters, so that grams repeat within words, tie in frequency, and words have many neighbours.
     for seed, alphabet in enumerate(("ab", "abc", "aé日\U0001f600z", "abcdefghijklmnop")):
         words = [w for w in some_words(seed, alphabet, 250)]
