@@ -11,7 +11,7 @@ from drayage.functions import names
 from drayage.operators import payloads, trees
 from drayage.plans import upload
 from drayage.session import workspace
-from drayage.sources import archives, files
+from drayage.sources import archives, files, payload_files
 from drayage.sources.tables import table
 
 
@@ -94,6 +94,60 @@ def verify_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return payloads.verify_chunks(arrived, payloads.manifest(docs, fx.CHUNK))
 
 
+def _arrived(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The manifest, and chunks of which German payloads lack the second, Spanish ones have the first
+    twice, French ones one beyond the last, and English ones of src1 a first in two forms."""
+    docs = table(spark, folder, "documents")
+    blobs = docs.select(F.col("doc_id").alias("blob_id"), F.col("text").cast("binary").alias("content"))
+    plan = payloads.manifest(blobs, fx.CHUNK)
+    kinds = docs.select(F.col("doc_id").alias("blob_id"), "lang", "source")
+    chunks = payloads.chunk_payload(blobs, fx.CHUNK).join(kinds, "blob_id").join(plan.select("blob_id", "num_chunks"), "blob_id")
+    chunks = chunks.filter("NOT (lang = 'de' AND i = 1)")
+    odd = chunks.filter("i = 0").select(
+        "blob_id", F.when(F.col("lang") == "fr", F.col("num_chunks")).otherwise(F.lit(0)).cast("int").alias("i"),
+        F.when((F.col("lang") == "en") & (F.col("source") == "src1"), F.lit(b"?")).otherwise(F.col("chunk")).alias("chunk"), "lang", "source",
+    ).filter("lang IN ('es', 'fr') OR (lang = 'en' AND source = 'src1')")
+    return plan, chunks.select("blob_id", "i", "chunk").unionByName(odd.select("blob_id", "i", "chunk"))
+
+
+_STATUS_SQL = """CASE WHEN lang = 'fr' AND num_chunks > 0 THEN 'surplus' WHEN lang = 'de' AND num_chunks > 1 THEN 'missing'
+            WHEN lang = 'en' AND source = 'src1' AND num_chunks > 0 THEN 'conflict'
+            WHEN lang = 'es' AND num_chunks > 0 THEN 'duplicate' ELSE 'ok' END"""
+
+
+@query(f"""WITH {fx.BLOBS_SQL}
+SELECT blob_id, {_STATUS_SQL} AS status FROM blobs JOIN documents ON doc_id = blob_id""")
+def verify_faults(spark: SparkSession, folder: str) -> DataFrame:
+    plan, chunks = _arrived(spark, folder)
+    return payloads.verify_chunks(chunks, plan).select("blob_id", "status")
+
+
+@query(f"""WITH {fx.BLOBS_SQL},
+judged AS (SELECT blob_id, h, size, {_STATUS_SQL} AS status, unnest(range(0, greatest(1, CAST(ceil(size / 16384.0) AS BIGINT)))) AS segment
+           FROM blobs JOIN documents ON doc_id = blob_id),
+own AS (SELECT *, CASE WHEN segment > 0 AND status <> 'surplus' THEN 'ok' ELSE status END AS said FROM judged)
+SELECT blob_id, segment, said AS status,
+       CASE WHEN said IN ('ok', 'duplicate') THEN md5(unhex(substr(h, segment * 32768 + 1, 32768))) END AS digest FROM own""")
+def assemble_faulty_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Each segment says what is wrong with it; a surplus chunk speaks against all of its payload."""
+    plan, chunks = _arrived(spark, folder)
+    return payloads.assemble_segments(chunks, plan, 4 * fx.CHUNK).select("blob_id", "segment", "status", F.md5("content").alias("digest"))
+
+
+@query(f"""WITH {fx.BLOBS_SQL}
+SELECT source || '/' || blob_id || '.bin' AS rel_path, size AS length, md5(unhex(h)) AS digest
+FROM blobs JOIN documents ON doc_id = blob_id WHERE {_STATUS_SQL} IN ('ok', 'duplicate')""")
+def write_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """The payloads that came through, read back from the files published for them."""
+    plan, chunks = _arrived(spark, folder)
+    paths = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("blob_id"), F.concat("source", F.lit("/"), "doc_id", F.lit(".bin")).alias("dest_path"), F.lit(0o640).alias("mode")
+    )
+    target = workspace(spark, "payloads")
+    payload_files.write_payloads(chunks, plan.join(paths, "blob_id"), target, strict=False)
+    return files.scan_tree(spark, target).select("rel_path", "length", F.md5("content").alias("digest"))
+
+
 @query(f"""WITH {fx.BLOBS_SQL}
 SELECT blob_id, i,
        row_number() OVER w / CAST(count(*) OVER (PARTITION BY blob_id) AS DOUBLE) AS progress,

@@ -38,15 +38,25 @@ def chunk_payload(blobs: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
     )
 
 
+def _differ(chunk: str) -> Column:
+    """Whether the values grouped are not all the same."""
+    return F.min(F.xxhash64(chunk)) != F.max(F.xxhash64(chunk))
+
+
 def verify_chunks(chunks: DataFrame, manifest: DataFrame) -> DataFrame:
     """Compare the chunks present with the manifest, one row per payload.
 
+    The first of these that applies is the status: ``surplus`` (a chunk outside the manifest's
+    range), ``missing``, ``conflict`` (copies of a chunk that differ, by a 64-bit hash),
+    ``duplicate``, ``size_mismatch``, ``ok``.
+
     Counted per (payload, index) before per payload, so a payload with very many
     or very often repeated chunks is spread over all tasks.
     """
     per_index = chunks.groupBy("blob_id", "i").agg(
         F.count(F.lit(1)).alias("copies"),
         F.max(F.octet_length("chunk")).cast("long").alias("bytes"),
+        _differ("chunk").alias("differ"),
     )
     present = per_index.groupBy("blob_id").agg(
         F.sum("copies").alias("rows_seen"),
@@ -54,6 +64,7 @@ def verify_chunks(chunks: DataFrame, manifest: DataFrame) -> DataFrame:
         F.min("i").alias("lo"),
         F.max("i").alias("hi"),
         F.sum("bytes").alias("bytes_seen"),
+        F.bool_or("differ").alias("differ"),
     )
     joined = manifest.join(present, "blob_id", "left").na.fill(
         0, ["rows_seen", "chunks_seen", "bytes_seen"]
@@ -63,7 +74,9 @@ def verify_chunks(chunks: DataFrame, manifest: DataFrame) -> DataFrame:
         | ((F.col("lo") == 0) & (F.col("hi") == F.col("num_chunks") - 1))
     )
     status = (
-        F.when(~complete, "missing")
+        F.when((F.col("lo") < 0) | (F.col("hi") >= F.col("num_chunks")), "surplus")
+        .when(~complete, "missing")
+        .when(F.col("differ"), "conflict")
         .when(F.col("rows_seen") > F.col("chunks_seen"), "duplicate")
         .when(F.col("bytes_seen") != F.col("size"), "size_mismatch")
         .otherwise("ok")
@@ -101,8 +114,9 @@ def assemble_segments(
     and they are built by as many tasks as there are segments. An empty payload is one empty
     segment. Of a chunk delivered more than once one copy counts, and the segment is a
     ``duplicate``; ``missing`` and ``size_mismatch`` say that it is not what the manifest
-    tells. Content is null unless ``ok`` or ``duplicate``. Chunks beyond the manifest's last
-    one are left out. The chunks are shuffled once.
+    tells, ``conflict`` that copies of a chunk differ, and ``surplus``, on all segments of a payload,
+    that it has chunks outside the manifest's range. Content is null unless ``ok``, or ``duplicate`` and of the right length. The
+    bytes of the chunks are shuffled once.
     """
     planned = manifest.withColumn(
         "per", F.greatest(F.lit(1), F.floor(F.lit(segment_bytes) / F.col("chunk_size"))).cast("long")
@@ -114,29 +128,33 @@ def assemble_segments(
         (F.least(last, "num_chunks") - first).alias("due"),
         (F.least(last * F.col("chunk_size"), "size") - first * F.col("chunk_size")).alias("due_bytes"),
     )
-    sized = chunks.join(planned.select("blob_id", "per", "num_chunks"), "blob_id").filter(
-        (F.col("i") >= 0) & (F.col("i") < F.col("num_chunks"))
-    )
+    inside = (F.col("i") >= 0) & (F.col("i") < F.col("num_chunks"))
+    sized = chunks.join(planned.select("blob_id", "per", "num_chunks"), "blob_id").filter(inside)
+    ranges = chunks.groupBy("blob_id").agg(F.min("i").alias("lo"), F.max("i").alias("hi")).join(planned.select("blob_id", "num_chunks"), "blob_id")
+    beyond = ranges.filter((F.col("lo") < 0) | (F.col("hi") >= F.col("num_chunks"))).select("blob_id", F.lit(True).alias("beyond"))
     dealt = sized.select("blob_id", F.floor(F.col("i") / F.col("per")).alias("segment"), "i", "chunk").repartition(
         "blob_id", "segment"
     )
     once = dealt.groupBy("blob_id", "segment", "i").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("chunk").alias("chunk")
+        F.count(F.lit(1)).alias("copies"), F.first("chunk").alias("chunk"), _differ("chunk").alias("differ")
     )
     built = once.groupBy("blob_id", "segment").agg(
         F.expr("listagg(chunk) WITHIN GROUP (ORDER BY i)").alias("content"),
-        F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"),
+        F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies"), F.bool_or("differ").alias("differ"),
     )
     content = F.coalesce("content", F.lit(b""))
+    right = F.octet_length(content) == F.col("due_bytes")
     status = (
-        F.when(F.coalesce("n", F.lit(0)) != F.col("due"), "missing")
-        .when(F.octet_length(content) != F.col("due_bytes"), "size_mismatch")
+        F.when(F.col("beyond"), "surplus")
+        .when(F.coalesce("n", F.lit(0)) != F.col("due"), "missing")
+        .when(F.col("differ"), "conflict")
         .when(F.coalesce("copies", F.lit(0)) > F.col("due"), "duplicate")
+        .when(~right, "size_mismatch")
         .otherwise("ok")
     )
-    return expected.join(built, ["blob_id", "segment"], "left").select(
+    return expected.join(built, ["blob_id", "segment"], "left").join(beyond, "blob_id", "left").select(
         "blob_id", "segment", status.alias("status"),
-        F.when(status.isin("ok", "duplicate"), content).alias("content"),
+        F.when(status.isin("ok", "duplicate") & right, content).alias("content"),
     )
 
 

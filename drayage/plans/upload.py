@@ -24,7 +24,7 @@ def upload_audit(
     plan = payloads.manifest(blobs, chunk_size)
     segments = payloads.assemble_segments(payloads.chunk_payload(blobs, chunk_size), plan, segment_bytes)
     # The first of these that any segment has is that of the payload.
-    faults = ["missing", "size_mismatch", "duplicate"]
+    faults = ["surplus", "missing", "conflict", "duplicate", "size_mismatch"]
     found = [F.max(F.when(F.col("status") == fault, F.lit(fault))) for fault in faults]
     arrived = segments.withColumn("digest", F.md5("content")).groupBy("blob_id").agg(
         F.coalesce(*found, F.lit("ok")).alias("status"),

@@ -81,10 +81,14 @@ def write_files(files: DataFrame, folder: str) -> None:
 
 
 def swap_in(staged: str, target: str) -> None:
-    """Put a finished folder in the place of ``target``, which is removed first."""
+    """Put a finished folder in the place of ``target``; what was there is deleted last."""
     system, new = fs.FileSystem.from_uri(staged)
     _, old = fs.FileSystem.from_uri(target)
-    if system.get_file_info(old).type != fs.FileType.NotFound:
-        system.delete_dir(old)
+    aside = f"{old.rstrip('/')}.old-{uuid.uuid4().hex}"
+    there = system.get_file_info(old).type != fs.FileType.NotFound
+    if there:
+        system.move(old, aside)
     system.create_dir(os.path.dirname(old), recursive=True)
     system.move(new, old)
+    if there:
+        system.delete_dir(aside)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from drayage.operators import payloads
+from drayage.sources import payload_files
 from drayage.plans import upload
 
 
@@ -87,3 +88,41 @@ def test_segments_tell_what_is_wrong_with_them(blobs):
 def test_audit_of_payloads_longer_than_a_segment(blobs):
     found = upload.upload_audit(blobs, 1024, 2048).collect()
     assert {(r.status, r.intact) for r in found} == {("ok", True)} and len(found) == 5
+
+
+def _plan(spark, rows):
+    return spark.createDataFrame(rows, "blob_id string, num_chunks long, size long, dest_path string, mode int")
+
+
+def test_payloads_are_published_together_or_not_at_all(spark, tmp_path):
+    target = str(tmp_path / "out")
+    chunks = spark.createDataFrame(
+        [("a", 1, b"cd"), ("a", 0, b"ab"), ("a", 0, b"ab"), ("a", 2, b"e"), ("b", 0, b"x"), ("z", 0, b"unlisted")],
+        "blob_id string, i int, chunk binary")
+    good = [("a", 3, 5, "deep/er/a.bin", 0o600), ("b", 1, 1, "b.bin", None), ("e", 0, 0, "empty", 0o640)]
+    payload_files.write_payloads(chunks, _plan(spark, good), target)
+    files = {str(p.relative_to(target)): p.read_bytes() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert files == {"deep/er/a.bin": b"abcde", "b.bin": b"x", "empty": b""}
+    assert (tmp_path / "out/deep/er/a.bin").stat().st_mode & 0o777 == 0o600
+
+    for fault in (("b", 2, 2, "b.bin", None), ("b", 1, 2, "b.bin", None), ("a", 2, 4, "b.bin", None), ("b", 1, 1, "../b", None)):
+        with pytest.raises(Exception, match="at fault"):
+            payload_files.write_payloads(chunks, _plan(spark, [good[2], fault]), target)
+        assert {p.name for p in tmp_path.iterdir()} == {"out"}  # the old tree stays, nothing staged is left
+        assert (tmp_path / "out/deep/er/a.bin").read_bytes() == b"abcde"
+    payload_files.write_payloads(chunks, _plan(spark, [good[2], ("b", 2, 2, "b.bin", None)]), target, strict=False)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["empty"]
+    with pytest.raises(ValueError, match="several"):
+        payload_files.write_payloads(chunks, _plan(spark, [good[1], ("a", 3, 5, "b.bin", None)]), target)
+
+
+def test_copies_that_differ_and_chunks_beyond_the_manifest(spark):
+    chunks = spark.createDataFrame(
+        [("a", 0, b"xx"), ("a", 0, b"yy"), ("b", 0, b"xx"), ("b", 1, b"x"), ("c", 0, b"xx"), ("c", 0, b"xx")],
+        "blob_id string, i int, chunk binary")
+    plan = spark.createDataFrame([(b, 1, 2, 2) for b in "abc"], "blob_id string, num_chunks long, size long, chunk_size long")
+    wanted = {"a": "conflict", "b": "surplus", "c": "duplicate"}
+    assert {r.blob_id: r.status for r in payloads.verify_chunks(chunks, plan).collect()} == wanted
+    segments = payloads.assemble_segments(chunks, plan).collect()
+    assert {r.blob_id: r.status for r in segments} == wanted
+    assert {r.blob_id: r.content for r in segments} == {"a": None, "b": None, "c": b"xx"}
