@@ -48,6 +48,9 @@ ROUND_PAIRS = 1 << 24
 #: Ids of the second tokenizer, at most.
 SECOND = 1 << 20
 
+#: Bits for each number of a document.
+LANE = 48
+
 SPACE = "▁"
 
 
@@ -352,6 +355,15 @@ def alignments(docs: DataFrame, byte_file: str, piece_file: str, id_col: str = "
     return done
 
 
+def _lanes(*numbers: int) -> int:
+    """Six numbers side by side in one, so that one addition adds them all; the last may be of any size."""
+    return sum(n << LANE * k for k, n in enumerate(numbers))
+
+
+def _numbers(lanes: int) -> tuple[int, ...]:
+    return (*(lanes >> LANE * k & (1 << LANE) - 1 for k in range(5)), lanes >> LANE * 5)
+
+
 def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema: T.StructType, first: bool, last: bool) -> DataFrame:
     """Aligns once more; adds the counts of this round to those of the rounds before."""
 
@@ -367,7 +379,7 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
             edges = np.cumsum([0, *[len(a.links) for a in good]])[:-1]
             held, best = counts.of(np.concatenate([a.links for a in good]))
             sums = zip(np.add.reduceat(best, edges).tolist(), np.add.reduceat(held, edges).tolist())
-            return [a and (a.n_a, a.n_b, a.n_groups, len(a.links), *next(sums), a.groups) for a in aligned]
+            return [a and (_lanes(a.n_a, a.n_b, a.n_groups, len(a.links), *next(sums)), a.groups) for a in aligned]
 
         known = Remembered(make, 2 * REMEMBERED_BYTES, 500)
         for batch in slices(batches, 128):
@@ -381,9 +393,9 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
                     numbers.append((0,) * 6)
                     groups.append(None)
                 else:
-                    columns = list(zip(*of))
-                    numbers.append(tuple(map(sum, columns[:6])))
-                    groups.append(";".join(columns[6]) if last else None)
+                    packed, said = zip(*of)
+                    numbers.append(_numbers(sum(packed)))
+                    groups.append(";".join(said) if last else None)
             out = np.array(numbers, np.int64).reshape(-1, 6)
             if not first:
                 out[:, 4:] += np.column_stack([np.asarray(batch.column(k)) for k in (2, 3)])
