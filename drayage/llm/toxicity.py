@@ -18,7 +18,6 @@ without any. An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +28,7 @@ from pyspark.sql import types as T
 
 from drayage.llm.frames import numbered, pieces, stored
 from drayage.llm.packs import from_planes, planes
+from drayage.llm.regression import fit, shortened
 
 ORDERS = (4, 5, 6, 8)
 HASH_BITS = 20
@@ -39,9 +39,8 @@ APART = 4.0
 FIT_ROWS = 20_000
 SMOOTHING = 1.0
 PENALTY = 1e-4
-#: The fit ends when its loss is this near the least one, or after so many passes over the rows.
+#: The fit ends when its loss is this near the least one.
 GAP = 5e-4
-PASSES = 50
 #: Length of the intercept's feature: the longer, the less the penalty holds it.
 BIAS = 10.0
 THRESHOLD = 0.7
@@ -127,7 +126,7 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     def found(batches):
         for piece in pieces(batches):
-            rows = [_shortened(features(text)) for text in piece.column(2).to_pylist()]
+            rows = [shortened(features(text)) for text in piece.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[:2], pa.array(rows, pa.binary()), piece.column(3)], ["a", "b", "found", "label"]
             )
@@ -145,7 +144,8 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         near = near.filter(F.struct("a", "b", "label") <= F.struct(*to))
     chosen = stored(near.mapInArrow(found, "a long, b long, found binary, label int"), "fit-rows")
     rows = sorted((r["a"], r["b"], r["label"], r["found"]) for r in chosen.toLocalIterator())[:fit_rows]
-    return Model(*_fit([r[3] for r in rows], np.array([r[2] for r in rows]), scales))
+    marks = np.array([r[2] for r in rows])
+    return Model(*fit([r[3] for r in rows], marks, scales, PENALTY, BIAS, GAP))
 
 
 def _scales(other: np.ndarray, toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
@@ -156,63 +156,6 @@ def _scales(other: np.ndarray, toxic: np.ndarray, totals: dict[int, int]) -> np.
     return np.where(toxic + other > 2 * SMOOTHING, ratio * errors / APART**2, 0.0)
 
 
-_HIGH = np.arange(1 << max(0, HASH_BITS - 16), dtype=np.int32) << 16
-
-
-def _shortened(found: np.ndarray) -> bytes:
-    """Ascending features in two bytes each, behind how many there are of each higher part."""
-    return np.bincount(found >> 16, minlength=len(_HIGH)).astype("<i4").tobytes() + found.astype("<u2").tobytes()
-
-
-def _lengthened(data: bytes) -> np.ndarray:
-    counts = np.frombuffer(data, "<i4", len(_HIGH))
-    return np.repeat(_HIGH, counts) + np.frombuffer(data, "<u2", offset=4 * len(_HIGH))
-
-
-def _fit(rows: list[bytes], labels: np.ndarray, scales: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic regression with a square penalty on scaled features, by
-    coordinate ascent of the dual: row by row, each row's multiplier at its best for the others.
-    So it takes few passes, and the gap to the dual tells how near the least loss is."""
-    n, squares, signs = len(rows), scales**2, np.where(labels > 0, 1.0, -1.0)
-    most = 1 / (PENALTY * n)
-    lengths = [float(squares[_lengthened(r)].sum()) + BIAS**2 for r in rows]
-    weights, intercept = np.zeros(len(scales)), 0.0
-    held = np.full(n, 1e-3 * most)
-    for row, step in zip(rows, held * signs):
-        at = _lengthened(row)
-        weights[at] += step * squares[at]
-        intercept += step * BIAS**2
-    order = np.random.default_rng(0)
-    for _ in range(PASSES):
-        for i in order.permutation(n).tolist():
-            at, sign = _lengthened(rows[i]), signs[i]
-            here = weights[at]
-            best = _multiplier(most, held[i], sign * (here.sum() + intercept), lengths[i])
-            step = (best - held[i]) * sign
-            weights[at] = here + step * squares[at]
-            intercept += step * BIAS**2
-            held[i] = best
-        margins = np.array([weights[_lengthened(r)].sum() for r in rows]) + intercept
-        share = held / most
-        entropy = share * np.log(share) + (1 - share) * np.log1p(-share)
-        if np.mean(np.logaddexp(0, -signs * margins) + entropy) + PENALTY * np.dot(held * signs, margins) < GAP:
-            break
-    return weights, float(intercept)
-
-
-def _multiplier(most: float, held: float, margin: float, length: float) -> float:
-    """The x between 0 and ``most`` with log(x / (most - x)) + margin + (x - held) * length = 0."""
-    at = math.log(held / (most - held))
-    for _ in range(100):
-        x = most / (1 + math.exp(-at))
-        off = at + margin + (x - held) * length
-        if abs(off) < 1e-6:
-            break
-        # Newton's steps, of a bounded width.
-        at = max(-30.0, min(30.0, at - max(-8.0, min(8.0, off / (1 + length * x * (1 - x / most))))))
-    return min(max(x, 1e-12 * most), (1 - 1e-12) * most)
-
-
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``score`` and ``predicted``."""
     docs, names = numbered(docs)

@@ -1,9 +1,13 @@
+import math
 import zlib
+from collections import Counter
 
+import numpy as np
 from fixtures import SCHEMA, TEXTS, awkward
 
 from drayage.llm import toxicity
 from drayage.llm.queries import QUERIES
+from drayage.llm.regression import fit, lengthened, shortened
 
 
 def labels(spark, rows):
@@ -59,5 +63,76 @@ def test_rare_insults_count(spark):
     model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, label int"))
     assert all(model.score(f"a quiet row {w}") > 0.7 for w in insults)
     assert all(model.score(f"a quiet row {w}") < 0.3 for w in others)
-    found = toxicity.features("blorgface and twitterpate")
-    assert (toxicity._lengthened(toxicity._shortened(found)) == found).all()
+
+
+def plain_grams(text):
+    """Features by plain string work: the n-grams of padded words, and how often each occurs."""
+    words = "".join(" " if ord(c) < 128 and not c.isalnum() else c for c in text.lower()).split(" ")
+    seen = Counter(
+        f" {word} "[at : at + order]
+        for word in words if word
+        for order in toxicity.ORDERS
+        for at in range(len(word) + 3 - order)
+    )
+    return seen
+
+
+def test_features_are_those_of_plain_string_work():
+    for text in ["blorgface and twitterpate", "Na\u00efve caf\u00e9s, na\u00efve caf\u00e9s; na\u00efve", "", "a", "x" * 5000, "one\ntwo\x00three \U0001f600\U0001f600\U0001f600"]:
+        found = toxicity.features(text)
+        assert (lengthened(shortened(found)) == found).all()
+        grams = plain_grams(text)
+        # Each n-gram alone gives its own number, through a text in which it is the only one of its order.
+        wanted = set()
+        for gram, times in grams.items():
+            number = hashed(gram)
+            wanted.add(number)
+            wanted |= {(number * (2 * k + 1) * 40503 + k) % (1 << toxicity.HASH_BITS) for k in toxicity.TIMES if times >= k}
+        assert set(found.tolist()) == wanted
+
+
+def hashed(gram):
+    factor, all_ = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    value = ord(gram[0])
+    for c in gram[1:]:
+        value = (value * factor + ord(c)) & all_
+    return ((value ^ value >> 29) * factor & all_) >> 64 - toxicity.HASH_BITS
+
+
+def test_fit_reaches_the_least_loss():
+    draw = np.random.default_rng(3)
+    for n, width in ((1, 4), (40, 30), (120, 400)):
+        rows = [np.flatnonzero(draw.random(width) < 0.2).astype(np.int32) for _ in range(n)]
+        labels = (draw.random(n) < 0.4).astype(int)
+        scales = draw.normal(size=width) * 2
+        dense = np.array([np.isin(np.arange(width), r) for r in rows]) * scales
+        dense = np.column_stack([dense, np.full(n, 3.0)])
+        signs, penalty = 2.0 * labels - 1, 1e-2
+
+        def loss(w):
+            return np.mean(np.logaddexp(0, -signs * (dense @ w))) + penalty / 2 * w @ w
+
+        # Newton's method on the whole matrix, with halved steps.
+        best = np.zeros(width + 1)
+        for _ in range(60):
+            wrong = 1 / (1 + np.exp(signs * (dense @ best)))
+            slope = penalty * best - dense.T @ (signs * wrong) / n
+            bend = penalty * np.eye(width + 1) + dense.T @ (dense * (wrong * (1 - wrong))[:, None]) / n
+            step, size = np.linalg.solve(bend, -slope), 1.0
+            while loss(best + size * step) > loss(best) and size > 1e-9:
+                size /= 2
+            best = best + size * step
+        assert np.abs(slope).max() < 1e-8
+        weights, intercept = fit([shortened(r) for r in rows], labels, scales, penalty, 3.0, 1e-7)
+        found = np.append(np.divide(weights, scales), intercept / 3.0)
+        assert loss(best) - 1e-9 <= loss(found) <= loss(best) + 1e-6
+        assert np.abs(dense @ found - dense @ best).max() < 0.02
+
+
+def test_counts_and_ratios_of_all_rows():
+    other, toxic = np.array([0, 5, 40, 0]), np.array([0, 5, 0, 3])
+    scales = toxicity._scales(other, toxic, {0: 90, 1: 30})
+    for k in range(4):
+        ratio = math.log((toxic[k] + 1) / 32) - math.log((other[k] + 1) / 92)
+        surely = ratio**2 / (1 / (toxic[k] + 1) + 1 / (other[k] + 1)) / toxicity.APART**2
+        assert math.isclose(scales[k], ratio * surely if k else 0.0)
