@@ -9,7 +9,7 @@ from drayage.catalog import fixtures as fx
 from drayage.catalog.registry import query
 from drayage.catalog.runs import EXPIRE_SQL, lives_in_micros
 from drayage.functions import text
-from drayage.operators import logs, ranking, user_code
+from drayage.operators import logs, outcomes, ranking, user_code
 from drayage.plans import follow
 from drayage.session import workspace
 from drayage.sources import files, paged
@@ -87,6 +87,35 @@ def poll_delta(spark: SparkSession, folder: str) -> DataFrame:
     return logs.poll_delta(fx.snapshots(spark, folder))
 
 
+@query(f"""WITH {fx.SNAPSHOTS_SQL},{fx.STATES_SQL},
+prev AS (SELECT DISTINCT source, poll + 1 AS poll, line, 1 AS seen FROM snapshots),
+f AS (SELECT s.*, min(CASE WHEN p.seen IS NULL THEN s.pos END) OVER (PARTITION BY s.source, s.poll) AS cut
+      FROM snapshots s LEFT JOIN prev p ON p.source = s.source AND p.poll = s.poll AND p.line = s.line),
+polls AS (SELECT source, unnest(range(0, max(poll) + 2)) AS poll FROM snapshots GROUP BY source),
+observed AS (SELECT session_id AS source, event_id AS seen_at,
+                    CASE WHEN event_id % 7 = 3 THEN 'dead' ELSE state END AS state FROM states),
+stops AS (SELECT source, min(seen_at) AS seen_at, arg_min(state, seen_at) AS state FROM observed
+          WHERE state IN ('error', 'dead', 'killed', 'success') GROUP BY source),
+fresh AS (SELECT DISTINCT source, poll FROM f WHERE pos >= cut)
+SELECT p.source, min(CASE WHEN p.poll * 1000 + 999 >= s.seen_at AND n.poll IS NULL THEN p.poll END) AS end_poll,
+       max(s.state) AS final_state, max(s.seen_at) AS stopped_at
+FROM polls p LEFT JOIN stops s ON s.source = p.source
+LEFT JOIN fresh n ON n.source = p.source AND n.poll = p.poll GROUP BY p.source""")
+def follow_end(spark: SparkSession, folder: str) -> DataFrame:
+    """Every seventh observation is a 404; polls go on for one beyond the last page."""
+    pages = fx.snapshots(spark, folder)
+    polls = pages.groupBy("source").agg(F.max("poll").alias("last")).select(
+        "source", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") + 1)).alias("poll")
+    )
+    observed = fx.states(spark, folder).select(
+        F.col("session_id").alias("source"), F.col("event_id").alias("at"), "state",
+        F.when(F.col("event_id") % 7 == 3, 404).otherwise(200).alias("status"),
+    )
+    return outcomes.follow_end(
+        polls.withColumn("at", F.col("poll") * 1000 + 999), logs.poll_delta(pages), observed
+    )
+
+
 @query(_DELTA_SQL)
 def poll_delta_streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Pages land in two drops; the stream stops in between and resumes."""

@@ -102,3 +102,27 @@ def expire_sessions(
         key, "born_at", "last_beat", "beats",
         (F.col("last_beat") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("dead_at"),
     )
+
+
+def follow_end(polls: DataFrame, delta: DataFrame, observed: DataFrame) -> DataFrame:
+    """For each source of ``polls(source, poll, at)`` the poll with which following it ends.
+
+    A source stops at the first of ``observed(source, at, state, status)`` whose state is terminal;
+    a 404 counts as ``dead``. What is observed later changes nothing. The first poll at or after
+    that time without a line in ``delta(source, poll)`` ends it, as lines may still come before.
+    ``end_poll`` is null while it goes on, ``final_state`` and ``stopped_at`` while it runs.
+    Only aggregations and joins by key; sources are not null.
+    """
+    state = F.when(F.col("status") == 404, "dead").otherwise(F.col("state"))
+    stopped = classify_state(state, "follow") == "stopped"
+    stops = observed.groupBy("source").agg(
+        F.min(F.when(stopped, F.struct("at", state.alias("state")))).alias("stop")
+    )
+    fresh = delta.groupBy("source", "poll").agg(F.lit(True).alias("fresh"))
+    seen = polls.join(fresh, ["source", "poll"], "left").join(stops, "source", "left")
+    idle = F.col("fresh").isNull() & (F.col("at") >= F.col("stop.at"))
+    return seen.groupBy("source").agg(
+        F.min(F.when(idle, F.col("poll"))).alias("end_poll"),
+        F.max("stop.state").alias("final_state"),
+        F.max("stop.at").alias("stopped_at"),
+    )

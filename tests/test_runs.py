@@ -166,3 +166,24 @@ def test_missing_refs(spark, rows):
     tasks = spark.createDataFrame([(1, "A"), (2, "B")], "id int, class_name string")
     registry = spark.createDataFrame([("A",)], "class_name string")
     assert rows(objects.missing_refs(tasks, registry).select("id", "class_name")) == [(2, "B")]
+
+
+def test_follow_end(spark):
+    polls = spark.createDataFrame([(s, p, 10 * p + 9) for s in "abcde" for p in range(5)], "source string, poll long, at long")
+    delta = spark.createDataFrame([("a", 0), ("a", 0), ("a", 1), ("a", 3), ("b", 0), ("d", 4)], "source string, poll long")
+    observed = spark.createDataFrame(
+        [
+            ("a", 5, "busy", 200), ("a", 12, "success", 200), ("a", 30, "busy", 200),  # lines in poll 1, none in 2
+            ("b", 20, None, 404),  # gone
+            ("c", 5, "idle", 200), ("c", 6, None, 200),  # never stops
+            ("d", 41, "killed", 200),  # lines in the last poll
+            ("z", 1, "dead", 200),  # never polled
+        ],
+        "source string, at long, state string, status int",
+    )
+    rows = {r.source: tuple(r)[1:] for r in outcomes.follow_end(polls, delta, observed).collect()}
+    assert rows == {
+        "a": (2, "success", 12), "b": (2, "dead", 20), "c": (None, None, None),
+        "d": (None, "killed", 41), "e": (None, None, None),
+    }
+    assert outcomes.follow_end(polls.limit(0), delta, observed).count() == 0
