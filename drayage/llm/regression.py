@@ -1,28 +1,24 @@
 """Logistic regression with a square penalty on sparse yes-or-no features, with array operations.
 
 The loss is the mean over the rows plus half the penalty times the square of the weights. It is
-solved in its dual, where each row has one multiplier: row by row, each is put at its best for the
-others. The gap to the dual tells how near the least loss is. Rows whose multiplier hardly moves
-are left out until the next pass over all of them; only such a pass can end the fit.
+lowered by limited-memory quasi-Newton steps; each takes the loss and its slope from one pass of
+array operations over all rows. The loss bends at least as much as the penalty, so it is at most
+the slope's square over twice the penalty above the least one, which tells when to end.
 
-Features are numbered anew, those of most rows first, since a pass spends its time in reading and
-writing their weights: the ones that it needs most often then stay in the processor's cache. Rows
-are kept in about two bytes for each feature.
+Features are numbered anew, those of most rows first, so that the weights needed most often lie
+together in the processor's cache. Rows are kept in about two bytes for each feature.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 
-#: Share of a multiplier's range by which it must move for the row to be taken again at once.
-MOVED = 1e-3
-#: Passes over such rows between two over all.
-BETWEEN = 4
-#: A pass ends the fit if the gap is small enough; so many passes over all rows end it anyway.
-PASSES = 50
-
+#: Steps whose effect on the slope is remembered.
+REMEMBERED = 8
+#: The fit ends within its gap, or after so many steps.
+STEPS = 1000
+#: Features of rows that are taken at once.
+BLOCK_FEATURES = 1 << 21
 
 #: There are at most so many features.
 MOST_FEATURES = 1 << 20
@@ -53,65 +49,82 @@ def fit(rows: list[bytes], labels: np.ndarray, scales: np.ndarray, penalty: floa
     for i, row in enumerate(rows):
         # Ascending places: the weights are read from front to back.
         rows[i] = shortened(np.sort(place[lengthened(row)]))
-    weights, intercept = _solved(rows, np.where(labels > 0, 1.0, -1.0), scales[used] ** 2, penalty, bias**2, gap)
+    weights, intercept = _solved(_blocks(rows), np.where(labels > 0, 1.0, -1.0), scales[used], penalty, bias, gap)
     out = np.zeros(len(scales))
     out[used] = weights
     return out, intercept
 
 
-def _solved(rows: list[bytes], signs: np.ndarray, squares: np.ndarray, penalty: float, bias: float, gap: float) -> tuple[np.ndarray, float]:
-    """``fit`` for rows of numbered features with the squares of their scales."""
-    n = len(rows)
-    most = 1 / (penalty * n)
-    lengths = [float(squares[lengthened(r)].sum()) + bias for r in rows]
-    weights, intercept = np.zeros(len(squares)), 0.0
-    held = np.full(n, 1e-3 * most)
-    for row, step in zip(rows, held * signs):
-        at = lengthened(row)
-        weights[at] += step * squares[at]
-        intercept += step * bias
-    sign_of = signs.tolist()
-    order = np.random.default_rng(0)
-    every = np.arange(n)
-    for _ in range(PASSES):
-        due = every
-        for _ in range(1 + BETWEEN):
-            moved = []
-            for i in order.permutation(due).tolist():
-                at, sign, was = lengthened(rows[i]), sign_of[i], float(held[i])
-                here = weights[at]
-                best = _multiplier(most, was, sign * (float(here.sum()) + intercept), lengths[i])
-                if best == was:
-                    continue
-                step = (best - was) * sign
-                weights[at] = here + step * squares[at]
-                intercept += step * bias
-                held[i] = best
-                if abs(best - was) > MOVED * most:
-                    moved.append(i)
-            due = np.array(moved, np.int64)
-            if not moved:
-                break
-        margins = np.array([weights[lengthened(r)].sum() for r in rows]) + intercept
-        share = held / most
-        entropy = share * np.log(share) + (1 - share) * np.log1p(-share)
-        if np.mean(np.logaddexp(0, -signs * margins) + entropy) + penalty * np.sum(held * signs * margins) < gap:
+def _blocks(rows: list[bytes]) -> list[tuple[list[bytes], int, int]]:
+    """Neighbouring rows, and the range they are, with about ``BLOCK_FEATURES`` features each."""
+    ends = np.cumsum([len(r) // 2 for r in rows])
+    cuts = [0, *(np.flatnonzero(np.diff(ends // BLOCK_FEATURES)) + 1).tolist(), len(rows)]
+    return [(rows[a:b], a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def _joined(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of all ``rows`` and how many each has."""
+    heads = np.frombuffer(b"".join([r[: 4 * len(_HIGH)] for r in rows]), "<i4")
+    lows = np.frombuffer(b"".join([r[4 * len(_HIGH) :] for r in rows]), "<u2")
+    found = np.repeat(np.tile(_HIGH, len(rows)), heads)
+    found += lows
+    return found, heads.reshape(len(rows), -1).sum(1)
+
+
+def _solved(blocks: list, signs: np.ndarray, scales: np.ndarray, penalty: float, bias: float, gap: float) -> tuple[np.ndarray, float]:
+    """``fit`` for rows of numbered features, in blocks."""
+    n = len(signs)
+
+    def judged(at: np.ndarray) -> tuple[float, np.ndarray]:
+        """The loss and its slope; the intercept's weight comes last."""
+        weights, total = at[:-1] * scales, 0.0
+        slope = np.zeros(len(at))
+        for rows, start, end in blocks:
+            found, lengths = _joined(rows)
+            edges = np.r_[0, np.cumsum(lengths)]
+            sums = np.add.reduceat(np.r_[weights[found], 0.0], edges[:-1])
+            sums[lengths == 0] = 0.0
+            sign = signs[start:end]
+            margins = sign * (sums + at[-1] * bias)
+            total += np.logaddexp(0, -margins).sum()
+            pulls = -sign * np.exp(-np.logaddexp(0, margins))
+            slope[:-1] += np.bincount(found, np.repeat(pulls, lengths), len(scales))
+            slope[-1] += pulls.sum() * bias
+        slope[:-1] *= scales
+        return total / n + penalty / 2 * (at @ at), slope / n + penalty * at
+
+    at = np.zeros(len(scales) + 1)
+    loss, slope = judged(at)
+    moves, turns = [], []
+    for _ in range(STEPS):
+        if slope @ slope <= 2 * penalty * gap:
             break
-    return weights, float(intercept)
-
-
-def _multiplier(most: float, held: float, margin: float, length: float) -> float:
-    """The x between 0 and ``most`` with log(x / (most - x)) + margin + (x - held) * length = 0."""
-    at = math.log(held / (most - held))
-    low, high = -30.0, 30.0
-    for _ in range(100):
-        x = most / (1 + math.exp(-at))
-        off = at + margin + (x - held) * length
-        if abs(off) < 1e-6:
-            break
-        low, high = (low, at) if off > 0 else (at, high)
-        # Newton's steps, halving what is left where one would leave it.
-        at -= off / (1 + length * x * (1 - x / most))
-        if not low < at < high:
-            at = (low + high) / 2
-    return min(max(x, 1e-12 * most), (1 - 1e-12) * most)
+        step = -_unbent(slope, moves, turns)
+        size = 1.0
+        while True:
+            next_loss, next_slope = judged(at + size * step)
+            if next_loss <= loss + 1e-4 * size * (slope @ step):
+                break
+            size /= 2
+            if size < 1e-12:
+                # No number that floats can hold is lower.
+                return at[:-1] * scales, float(at[-1] * bias)
+        moves.append(size * step)
+        turns.append(next_slope - slope)
+        del moves[:-REMEMBERED], turns[:-REMEMBERED]
+        at, loss, slope = at + moves[-1], next_loss, next_slope
+    return at[:-1] * scales, float(at[-1] * bias)
+
+
+def _unbent(slope: np.ndarray, moves: list[np.ndarray], turns: list[np.ndarray]) -> np.ndarray:
+    """The slope times the inverse of the loss's bend, as the remembered steps tell it."""
+    if not moves:
+        return slope / (10 * np.sqrt(slope @ slope))
+    shares = []
+    for move, turn in zip(reversed(moves), reversed(turns)):
+        shares.append((move @ slope) / (move @ turn))
+        slope = slope - shares[-1] * turn
+    slope = slope * ((moves[-1] @ turns[-1]) / (turns[-1] @ turns[-1]))
+    for move, turn, share in zip(moves, turns, reversed(shares)):
+        slope = slope + (share - (turn @ slope) / (move @ turn)) * move
+    return slope
