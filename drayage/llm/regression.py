@@ -1,24 +1,29 @@
-"""Logistic regression with a square penalty on sparse yes-or-no features, with array operations.
+"""Logistic regression with a square penalty on sparse yes-or-no features, fitted by Spark jobs.
 
 The loss is the mean over the rows plus half the penalty times the square of the weights. It is
-lowered by limited-memory quasi-Newton steps; each takes the loss and its slope from one pass of
-array operations over all rows. The loss bends at least as much as the penalty, so it is at most
-the slope's square over twice the penalty above the least one, which tells when to end.
+lowered by limited-memory quasi-Newton steps; each takes the loss and its slope from one job over
+all rows, whose tasks send one vector each. The driver holds vectors of one number a feature and
+no row. The loss bends at least as much as the penalty, so it is at most the slope's square over
+twice the penalty above the least one, which tells when to end.
 
-Features are numbered anew, those of most rows first, so that the weights needed most often lie
-together in the processor's cache. Rows are kept in about two bytes for each feature.
+A row is kept in about two bytes for each feature. A row's ``weight`` says how often it counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from drayage.llm.frames import pieces
 
 #: Steps whose effect on the slope is remembered.
 REMEMBERED = 8
 #: The fit ends within its gap, or after so many steps.
 STEPS = 1000
-#: Features of rows that are taken at once.
-BLOCK_FEATURES = 1 << 21
 
 #: There are at most so many features.
 MOST_FEATURES = 1 << 20
@@ -35,33 +40,6 @@ def lengthened(data: bytes) -> np.ndarray:
     return np.repeat(_HIGH, counts) + np.frombuffer(data, "<u2", offset=4 * len(_HIGH))
 
 
-def fit(rows: list[bytes], labels: np.ndarray, scales: np.ndarray, penalty: float, bias: float, gap: float) -> tuple[np.ndarray, float]:
-    """Weights of the unscaled features, zero for those in no row, and the intercept, with a loss
-    within ``gap`` of the least. ``bias`` is the scale of the intercept's feature. The shortened
-    ``rows`` are replaced by those with the new numbers."""
-    seen = np.zeros(len(scales), np.int64)
-    for row in rows:
-        seen[lengthened(row)] += 1
-    used = np.flatnonzero(seen)
-    used = used[np.argsort(-seen[used], kind="stable")]
-    place = np.zeros(len(scales), np.int32)
-    place[used] = np.arange(len(used))
-    for i, row in enumerate(rows):
-        # Ascending places: the weights are read from front to back.
-        rows[i] = shortened(np.sort(place[lengthened(row)]))
-    weights, intercept = _solved(_blocks(rows), np.where(labels > 0, 1.0, -1.0), scales[used], penalty, bias, gap)
-    out = np.zeros(len(scales))
-    out[used] = weights
-    return out, intercept
-
-
-def _blocks(rows: list[bytes]) -> list[tuple[list[bytes], int, int]]:
-    """Neighbouring rows, and the range they are, with about ``BLOCK_FEATURES`` features each."""
-    ends = np.cumsum([len(r) // 2 for r in rows])
-    cuts = [0, *(np.flatnonzero(np.diff(ends // BLOCK_FEATURES)) + 1).tolist(), len(rows)]
-    return [(rows[a:b], a, b) for a, b in zip(cuts, cuts[1:])]
-
-
 def _joined(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The features of all ``rows`` and how many each has."""
     heads = np.frombuffer(b"".join([r[: 4 * len(_HIGH)] for r in rows]), "<i4")
@@ -71,33 +49,60 @@ def _joined(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found, heads.reshape(len(rows), -1).sum(1)
 
 
-def _solved(blocks: list, signs: np.ndarray, scales: np.ndarray, penalty: float, bias: float, gap: float) -> tuple[np.ndarray, float]:
-    """``fit`` for rows of numbered features, in blocks."""
-    n = len(signs)
+def _judged(rows: DataFrame, weights: np.ndarray, intercept: float) -> tuple[float, np.ndarray, float]:
+    """The sums over all rows of the loss and of its slopes in the weights and in the intercept."""
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
 
-    def judged(at: np.ndarray) -> tuple[float, np.ndarray]:
-        """The loss and its slope; the intercept's weight comes last."""
-        weights, total = at[:-1] * scales, 0.0
-        slope = np.zeros(len(at))
-        for rows, start, end in blocks:
-            found, lengths = _joined(rows)
-            edges = np.r_[0, np.cumsum(lengths)]
-            sums = np.add.reduceat(np.r_[weights[found], 0.0], edges[:-1])
+    def run(batches):
+        weights = sent.value
+        total = pull = 0.0
+        slope = np.zeros(len(weights))
+        for piece in pieces(batches):
+            found, lengths = _joined(piece.column(0).to_pylist())
+            sums = np.add.reduceat(np.r_[weights[found], 0.0], np.r_[0, np.cumsum(lengths)[:-1]])
             sums[lengths == 0] = 0.0
-            sign = signs[start:end]
-            margins = sign * (sums + at[-1] * bias)
-            total += np.logaddexp(0, -margins).sum()
-            pulls = -sign * np.exp(-np.logaddexp(0, margins))
-            slope[:-1] += np.bincount(found, np.repeat(pulls, lengths), len(scales))
-            slope[-1] += pulls.sum() * bias
-        slope[:-1] *= scales
-        return total / n + penalty / 2 * (at @ at), slope / n + penalty * at
-
-    at = np.zeros(len(scales) + 1)
+            signs = np.where(np.asarray(piece.column(1)) > 0, 1.0, -1.0)
+            shares = np.asarray(piece.column(2))
+            margins = signs * (sums + intercept)
+            total += shares @ np.logaddexp(0, -margins)
+            pulls = -signs * shares * np.exp(-np.logaddexp(0, margins))
+            slope += np.bincount(found, np.repeat(pulls, lengths), len(weights))
+            pull += pulls.sum()
+        yield pa.RecordBatch.from_pydict(
+            {"node": [TaskContext.get().partitionId()], "total": [total], "pull": [pull], "slope": [slope.astype("<f4").tobytes()]}
+        )
+
+    total, slope, pull = 0.0, np.zeros(len(weights)), 0.0
+    # Always added up in the same order.
+    for r in sorted(rows.mapInArrow(run, "node long, total double, pull double, slope binary").collect()):
+        total, pull = total + r["total"], pull + r["pull"]
+        slope += np.frombuffer(r["slope"], "<f4")
+    sent.destroy()
+    return total, slope, pull
+
+
+def fit(rows: DataFrame, n: int, scales: np.ndarray, penalty: float, bias: float, gap: float) -> tuple[np.ndarray, float]:
+    """Weights of the unscaled features and the intercept, with a loss within ``gap`` of the least.
+
+    ``rows`` holds ``found`` (shortened features), ``label`` and ``weight``, ``n`` being the sum of
+    the weights; it is read once a step, so it should be a table of few partitions. ``bias`` is the
+    scale of the intercept's feature."""
+    rows = rows.selectExpr("found", "label", "cast(weight as double) as weight")
+
+    def judged(at: np.ndarray) -> tuple[float, np.ndarray]:
+        total, slope, pull = _judged(rows, at[:-1] * scales, float(at[-1] * bias))
+        return total / n + penalty / 2 * (at @ at), np.append(slope * scales, pull * bias) / n + penalty * at
+
+    least = _least(judged, np.zeros(len(scales) + 1), 2 * penalty * gap)
+    return least[:-1] * scales, float(least[-1] * bias)
+
+
+def _least(judged: Callable[[np.ndarray], tuple[float, np.ndarray]], at: np.ndarray, flat: float) -> np.ndarray:
+    """Where the loss is least, up to a slope whose square is ``flat``."""
     loss, slope = judged(at)
     moves, turns = [], []
     for _ in range(STEPS):
-        if slope @ slope <= 2 * penalty * gap:
+        if slope @ slope <= flat:
             break
         step = -_unbent(slope, moves, turns)
         size = 1.0
@@ -108,12 +113,12 @@ def _solved(blocks: list, signs: np.ndarray, scales: np.ndarray, penalty: float,
             size /= 2
             if size < 1e-12:
                 # No number that floats can hold is lower.
-                return at[:-1] * scales, float(at[-1] * bias)
+                return at
         moves.append(size * step)
         turns.append(next_slope - slope)
         del moves[:-REMEMBERED], turns[:-REMEMBERED]
         at, loss, slope = at + moves[-1], next_loss, next_slope
-    return at[:-1] * scales, float(at[-1] * bias)
+    return at
 
 
 def _unbent(slope: np.ndarray, moves: list[np.ndarray], turns: list[np.ndarray]) -> np.ndarray:

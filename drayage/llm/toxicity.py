@@ -37,6 +37,8 @@ BLOCK = 1 << 14
 #: Standard errors between a log-count ratio and none at which it is taken as it is.
 APART = 4.0
 FIT_ROWS = 20_000
+#: Rows of a task of the fit, about.
+PART_ROWS = 1_250
 SMOOTHING = 1.0
 PENALTY = 1e-4
 #: The fit ends when its loss is this near the least one.
@@ -124,28 +126,39 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         toxic[r["block"] : r["block"] + BLOCK] = from_planes(r["toxic"], np.int64)
     scales = _scales(other, toxic, totals)
 
+    # Features numbered by how many rows hold them: the weights needed most lie together.
+    used = np.flatnonzero(other + toxic)
+    used = used[np.argsort(-(other + toxic)[used], kind="stable")]
+    place = np.zeros(1 << HASH_BITS, np.int32)
+    place[used] = np.arange(len(used))
+    places = texts.sparkSession.sparkContext.broadcast(place)
+
     def found(batches):
         for piece in pieces(batches):
-            rows = [shortened(features(text)) for text in piece.column(2).to_pylist()]
+            rows = [shortened(np.sort(places.value[features(text)])) for text in piece.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns[:2], pa.array(rows, pa.binary()), piece.column(3)], ["a", "b", "found", "label"]
+                [*piece.columns[:2], pa.array(rows, pa.binary()), *piece.columns[3:]], ["a", "b", "found", "label", "weight"]
             )
 
     # A few more rows than wanted by a hash, of which the first in its order are taken.
     hashed = texts.select(
-        F.xxhash64(F.col("doc_id").cast("string")).alias("a"), F.xxhash64("text").alias("b"), "text", "label"
+        F.xxhash64(F.col("doc_id").cast("string")).alias("a"), F.xxhash64("text").alias("b"), "text", "label", F.lit(1).alias("weight")
     )
     share = min(1.0, 1.2 * fit_rows / sum(totals.values()))
     near = hashed.filter(F.pmod(F.xxhash64("a"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
     keys = near.select("a", "b", "label").orderBy("a", "b", "label").limit(fit_rows).collect()
     if len(keys) == fit_rows:
-        # Up to the last key wanted; only the keys are sorted, not what was found.
-        to = [F.lit(keys[-1][c]).cast(t).alias(c) for c, t in (("a", "long"), ("b", "long"), ("label", "int"))]
-        near = near.filter(F.struct("a", "b", "label") <= F.struct(*to))
-    chosen = stored(near.mapInArrow(found, "a long, b long, found binary, label int"), "fit-rows")
-    rows = sorted((r["a"], r["b"], r["label"], r["found"]) for r in chosen.toLocalIterator())[:fit_rows]
-    marks = np.array([r[2] for r in rows])
-    return Model(*fit([r[3] for r in rows], marks, scales, PENALTY, BIAS, GAP))
+        # Up to the last key wanted; only the keys are sorted, not what was found. Of rows equal in
+        # the last key one is taken, and counts for as many as are wanted.
+        of = F.struct("a", "b", "label")
+        last = F.struct(*[F.lit(keys[-1][c]).cast(t).alias(c) for c, t in (("a", "long"), ("b", "long"), ("label", "int"))])
+        near = near.filter(of < last).unionByName(near.filter(of == last).limit(1).withColumn("weight", F.lit(keys.count(keys[-1]))))
+    rows = stored(near.mapInArrow(found, "a long, b long, found binary, label int, weight int"), "found-rows")
+    # As few parts as there are vectors to be added up, always the same rows in each, in order.
+    parts = -(-len(keys) // PART_ROWS)
+    rows = stored(rows.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "label"), "fit-rows")
+    weights[used], intercept = fit(rows, len(keys), scales[used], PENALTY, BIAS, GAP)
+    return Model(weights, intercept)
 
 
 def _scales(other: np.ndarray, toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
