@@ -7,7 +7,7 @@ occurs. From these counts comes the log-count ratio of every feature that occurs
 of the standard errors by which it differs from none, so that the penalty of the regression weighs
 more on what the counts tell less surely; no feature is left out. A logistic
 regression on the features so scaled is fitted on ``FIT_ROWS`` training rows at most, drawn by a
-hash of the id. The scores read whole texts and nothing else; the model is a table of fixed size.
+hash of the id, in one task, which keeps two bytes for each feature of these rows. The scores read whole texts and nothing else; the model is a table of fixed size.
 
 A null text counts as empty; texts without features of the training texts get the score of the
 intercept.
@@ -37,8 +37,6 @@ BLOCK = 1 << 14
 #: Standard errors between a log-count ratio and none at which it is taken as it is.
 APART = 4.0
 FIT_ROWS = 20_000
-#: Rows of a task of the fit, about.
-PART_ROWS = 1_250
 SMOOTHING = 1.0
 PENALTY = 1e-4
 #: The fit ends when its loss is this near the least one.
@@ -126,16 +124,11 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         toxic[r["block"] : r["block"] + BLOCK] = from_planes(r["toxic"], np.int64)
     scales = _scales(other, toxic, totals)
 
-    # Features numbered by how many rows hold them: the weights needed most lie together.
-    used = np.flatnonzero(other + toxic)
-    used = used[np.argsort(-(other + toxic)[used], kind="stable")]
-    place = np.zeros(1 << HASH_BITS, np.int32)
-    place[used] = np.arange(len(used))
-    places = texts.sparkSession.sparkContext.broadcast(place)
+    del counts, other, toxic
 
     def found(batches):
         for piece in pieces(batches):
-            rows = [shortened(np.sort(places.value[features(text)])) for text in piece.column(2).to_pylist()]
+            rows = [shortened(features(text)) for text in piece.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[:2], pa.array(rows, pa.binary()), *piece.columns[3:]], ["a", "b", "found", "label", "weight"]
             )
@@ -153,12 +146,19 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         of = F.struct("a", "b", "label")
         last = F.struct(*[F.lit(keys[-1][c]).cast(t).alias(c) for c, t in (("a", "long"), ("b", "long"), ("label", "int"))])
         near = near.filter(of < last).unionByName(near.filter(of == last).limit(1).withColumn("weight", F.lit(keys.count(keys[-1]))))
-    rows = stored(near.mapInArrow(found, "a long, b long, found binary, label int, weight int"), "found-rows")
-    # As few parts as there are vectors to be added up, always the same rows in each, in order.
-    parts = -(-len(keys) // PART_ROWS)
-    rows = stored(rows.repartition(parts, "a", "b").sortWithinPartitions("a", "b", "label"), "fit-rows")
-    weights[used], intercept = fit(rows, len(keys), scales[used], PENALTY, BIAS, GAP)
-    return Model(weights, intercept)
+    chosen = stored(near.mapInArrow(found, "a long, b long, found binary, label int, weight int"), "fit-rows")
+
+    def fitted(batches):
+        rows = [tuple(r.values()) for batch in batches for r in batch.to_pylist() for _ in range(r["weight"])]
+        rows.sort(key=lambda r: r[:2] + r[3:])
+        marks = np.array([r[3] for r in rows])
+        rows = [r[2] for r in rows]
+        weights, intercept = fit(rows, marks, scales, PENALTY, BIAS, GAP)
+        yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "intercept": [intercept]})
+
+    # So many rows fit one task, which spares the driver their memory.
+    one = chosen.coalesce(1).mapInArrow(fitted, "weights binary, intercept double").first()
+    return Model(np.frombuffer(one["weights"]), one["intercept"])
 
 
 def _scales(other: np.ndarray, toxic: np.ndarray, totals: dict[int, int]) -> np.ndarray:
