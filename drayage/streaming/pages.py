@@ -5,52 +5,55 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 # Consecutive polls of a source that share a state key, and so a task.
 BLOCK = 16
 
 
-class PageDelta(StatefulProcessor):
-    """State of (source, block of polls): the lines of the latest page."""
+def _page_delta(keep_ms: int | None):
+    """The deltas of a (bucket of sources, block of polls), whose state is the latest page of each source."""
 
-    def __init__(self, keep_ms: int | None):
-        self.keep_ms = keep_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", "poll long, lines array<string>", self.keep_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        block = int(key[1])
-        pages: dict[int, list[tuple[int, str]]] = {}
-        for batch in rows:
-            for poll, pos, line in zip(batch["poll"], batch["pos"], batch["line"]):
-                pages.setdefault(poll, []).append((pos, line))
-        lines = {poll: {line for _, line in page} for poll, page in pages.items()}
-        stored = self.latest.get()
-        if stored is not None:
-            lines.setdefault(stored[0], set()).update(stored[1])
+    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        block, now = int(key[1]), state.getCurrentProcessingTimeMs()
+        latest = {
+            source: (poll, at, lines) for source, poll, at, lines in zip(*(state.getOption or ((), (), (), ())))
+            if keep_ms is None or now - at < keep_ms
+        }
+        pages: dict[tuple, list[tuple[int, str]]] = {}
+        for batch in frames:
+            for source, poll, pos, line in zip(*(batch[c].tolist() for c in ("source", "poll", "pos", "line"))):
+                pages.setdefault((source, poll), []).append((pos, line))
+        lines = {page: {line for _, line in shown} for page, shown in pages.items()}
+        for source, (poll, _, seen) in latest.items():
+            lines.setdefault((source, poll), set()).update(seen)
 
         fresh = []
-        for poll, page in pages.items():
+        for (source, poll), page in pages.items():
             if poll // BLOCK == block:  # else the last page of the block before
-                seen = lines.get(poll - 1, ())
+                seen = lines.get((source, poll - 1), ())
                 cut = min((pos for pos, line in page if line not in seen), default=None)
                 if cut is not None:
-                    fresh += [(key[0], poll, pos, line) for pos, line in page if pos >= cut]
-
-        last = max(lines)
-        if last % BLOCK == BLOCK - 1 and last // BLOCK == block:
-            self.latest.clear()  # the next page belongs to the next block
-        elif stored is None or last != stored[0]:
-            self.latest.update((last, list(lines[last])))
+                    fresh += [(source, poll, pos, line) for pos, line in page if pos >= cut]
+            if source not in latest or poll > latest[source][0]:
+                latest[source] = (poll, now, list(lines[source, poll]))
+
+        # After the last page of a block the next one belongs to the next block.
+        closing = (block + 1) * BLOCK - 1
+        kept = [(source, *page) for source, page in latest.items() if page[0] != closing]
+        if kept:
+            state.update(tuple(map(list, zip(*kept))))
+            if keep_ms is not None:
+                state.setTimeoutDuration(max(1, keep_ms - now + min(at for _, _, at, _ in kept)))
+        elif state.exists:
+            state.remove()
         if fresh:
             yield pd.DataFrame(fresh, columns=["source", "poll", "pos", "line"])
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 class PageAssembly(StatefulProcessor):
@@ -166,13 +169,14 @@ def assembled_delta_stream(
     })
 
 
-def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataFrame:
+def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None, buckets: int = 256) -> DataFrame:
     """Streaming :func:`drayage.operators.logs.poll_delta`.
 
     A page must arrive whole in one micro-batch, and not before the page that
     precedes it; :func:`assembled_delta_stream` takes pages in parts and in any order. State and work are keyed by short blocks of polls and not by
-    source, so a busy source, which has many pages, is spread over all tasks and
-    a group never exceeds ``BLOCK`` + 1 pages. The last page of a block is sent
+    source, so a busy source, which has many pages, is spread over all tasks. The sources
+    share ``buckets`` keys in each block, so that many sources with few lines make few groups; a group
+    holds what a ``buckets``-th of the sources show in ``BLOCK`` + 1 polls. The last page of a block is sent
     to the next block too, as what was seen before.
 
     The latest page of a source stays in the state, unless ``keep_ms`` lets it
@@ -183,9 +187,10 @@ def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataF
     poll = F.col("poll").cast("long")
     block = F.floor(poll / BLOCK)
     closes = F.pmod(poll, F.lit(BLOCK)) == BLOCK - 1
-    # Text keys: one null among numbers would make pandas read them all as floats.
+    # Text: one null among numbers would make pandas read them all as floats.
     shown = snapshots.select(
         F.col("source").cast("string").alias("source"),
+        _bucket(buckets),
         F.explode(
             F.when(closes, F.array(block, block + 1)).otherwise(F.array(block)).cast("array<string>")
         ).alias("block"),
@@ -193,12 +198,17 @@ def poll_delta_stream(snapshots: DataFrame, keep_ms: int | None = None) -> DataF
         F.col("pos").cast("long").alias("pos"),
         "line",
     )
-    return shown.groupBy("source", "block").transformWithStateInPandas(
-        statefulProcessor=PageDelta(keep_ms),
+    return shown.groupBy("bucket", "block").applyInPandasWithState(
+        _page_delta(keep_ms),
         outputStructType="source string, poll long, pos long, line string",
+        stateStructType="sources array<string>, polls array<long>, at array<long>, lines array<array<string>>",
         outputMode="append",
-        timeMode="None" if keep_ms is None else "ProcessingTime",
+        timeoutConf="NoTimeout" if keep_ms is None else "ProcessingTimeTimeout",
     ).withColumns({
         "source": F.col("source").cast(source),
         "poll": F.col("poll").cast(snapshots.schema["poll"].dataType),
     })
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("source").cast("string")), F.lit(buckets)).cast("string").alias("bucket")

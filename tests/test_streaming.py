@@ -35,6 +35,19 @@ def test_poll_delta_stream(spark, tmp_path, rows):
     assert rows(result(spark, target).select("source", "poll", "pos", "line")) == rows(logs.poll_delta(pages))
 
 
+def test_many_sources_share_few_groups(spark, tmp_path, rows):
+    """As many state rows as buckets and open blocks, not as sources; each source keeps its own page."""
+    landing, target = str(tmp_path / "in"), str(tmp_path / "out")
+    data = [(f"s{s}", p, i, f"{(i + p * (s % 3)) // 2}") for s in range(200) for p in range(BLOCK - 2, BLOCK + 2) for i in range(p, p + 3)]
+    pages = spark.createDataFrame(data, SNAPSHOTS)
+    for low, high in ((0, BLOCK - 1), (BLOCK, BLOCK), (BLOCK + 1, 2 * BLOCK)):
+        land(pages.filter(f"poll BETWEEN {low} AND {high}"), landing)
+        run(poll_delta_stream(spark.readStream.schema(pages.schema).parquet(landing), buckets=8), target)
+    assert rows(result(spark, target).select("source", "poll", "pos", "line")) == rows(logs.poll_delta(pages))
+    left = spark.read.format("statestore").option("path", f"{target}-checkpoint").load()
+    assert 0 < left.count() <= 8
+
+
 def test_pages_in_parts_and_out_of_order(spark, tmp_path, rows):
     """Lines of a page, and what is stated of it, come over several micro-batches, later polls first."""
     landing, stated, target = (str(tmp_path / n) for n in ("in", "sizes", "out"))
