@@ -18,19 +18,22 @@ from pyspark.sql import types as T
 
 # Sampled rows for each range of a hot key.
 SAMPLE_PER_RANGE = 64
+# Rows of the sample at most; they are sorted by Spark and pass through the driver.
+SAMPLE_ROWS = 131_072
 ROWS_PER_TASK = 4_000_000
-# Tables with up to this many cut points are broadcast; longer ones are joined as Spark sees fit.
+# Cut points at most, in all keys together; their tables are broadcast.
 BROADCAST_POINTS = 8_192
 
 _RANGE = "__range"
 _CUTS = "__cuts"
+_PART = "__part"
 
 
 @dataclass(frozen=True)
 class Cuts:
     """Sorted order cut points of each key that has too many rows for one task.
 
-    There is about one for each ``rows_per_task`` rows of such keys.
+    There is about one for each ``rows_per_task`` rows of such keys, or less.
     """
 
     keys: tuple[str, ...]
@@ -52,19 +55,24 @@ def plan_cuts(
     """Cut points for the keys of ``df`` with more than ``rows_per_task`` rows; None if there are none.
 
     Counts the rows of each key, combined before the shuffle, and samples the key and order
-    columns of the hot keys alone. (keys, order) must identify a row.
+    columns of the hot keys alone. (keys, order) must identify a row. Where ranges of ``rows_per_task``
+    rows would be more than ``BROADCAST_POINTS``, they are longer, so that cut points and sample
+    stay bounded however long the table.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_task)
-    hot = {tuple(r[k] for k in keys): r["__n"] for r in counts.collect()}
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    # A key with more rows than this has less than two ranges for each so many.
+    per_range = max(rows_per_task, -(-2 * total // BROADCAST_POINTS))
+    hot = {tuple(r[k] for k in keys): r["__n"] for r in counts.filter(F.col("__n") > per_range).collect()}
     if not hot:
         return None
-    ranges = {key: -(-n // rows_per_task) for key, n in hot.items()}
+    ranges = {key: -(-n // per_range) for key, n in hot.items()}
     fields = T.StructType([df.schema[k] for k in keys])
     table = df.sparkSession.createDataFrame(list(hot), fields)
     picked = _lookup(
-        df.select(*keys, *order), table.withColumn("__hot", F.lit(True)), keys, len(hot) <= BROADCAST_POINTS
+        df.select(*keys, *order), table.withColumn("__hot", F.lit(True)), keys, True
     ).filter("__hot").drop("__hot")
-    wanted, rows = SAMPLE_PER_RANGE * sum(ranges.values()), sum(hot.values())
+    wanted, rows = min(SAMPLE_PER_RANGE * sum(ranges.values()), SAMPLE_ROWS), sum(hot.values())
     if rows > wanted:
         picked = picked.sample(wanted / rows, seed=7)
 
@@ -76,6 +84,7 @@ def plan_cuts(
         step = len(sample) / ranges[key]
         chosen = [sample[int(k * step)] for k in range(1, ranges[key])]
         points[key] = [p for n, p in enumerate(chosen) if n == 0 or p != chosen[n - 1]]
+    points = {key: chosen for key, chosen in points.items() if chosen}
     return Cuts(tuple(keys), tuple(order), points) if points else None
 
 
@@ -83,33 +92,46 @@ def with_range(df: DataFrame, cuts: Cuts) -> DataFrame:
     """Add ``__range``, the number of cut points of its key at or before a row,
     and ``__cut``, whether its key has any.
 
-    The binary search is one projection per step, which Spark compiles into the
-    stage that reads the rows.
+    Two binary searches, among every so many cut points and then among those up to the next of them,
+    so that no row meets all cut points of its key.
     """
-    arrays = [f"{_CUTS}{n}" for n in range(len(cuts.order))]
-    fields = [df.schema[c] for c in cuts.keys]
-    lists = [
-        T.StructField(name, T.ArrayType(df.schema[c].dataType)) for name, c in zip(arrays, cuts.order)
+    order = T.StructType([T.StructField(f"c{n}", df.schema[c].dataType) for n, c in enumerate(cuts.order)])
+    lists = T.ArrayType(order)
+    keys = [df.schema[c] for c in cuts.keys]
+    longest = max(len(points) for points in cuts.points.values())
+    step = max(1, int(longest**0.5))
+    parts = [
+        (*key, n, points[at : at + step])
+        for key, points in cuts.points.items()
+        # Part n lies behind n of the points in the first list.
+        for n, at in enumerate(range(0, len(points) + 1, step))
     ]
-    table = df.sparkSession.createDataFrame(
-        [(*key, *map(list, zip(*points))) for key, points in cuts.points.items()],
-        T.StructType([*fields, *lists]),
+    spark = df.sparkSession
+    first = spark.createDataFrame(
+        [(*key, points[step - 1 :: step]) for key, points in cuts.points.items()],
+        T.StructType([*keys, T.StructField(_CUTS, lists)]),
     )
-    found = _lookup(df, table, cuts.keys, cuts.small)
-    found = found.withColumns({_RANGE: F.lit(0), "__cut": F.col(arrays[0]).isNotNull()})
-    longest = max(len(points) for points in cuts.points.values())
-    for step in (1 << b for b in reversed(range(longest.bit_length()))):
-        at = F.col(_RANGE) + (step - 1)
-        passed = F.lit(True)
-        for name, column in reversed(list(zip(arrays, cuts.order))):
-            cut, value = F.get(F.col(name), at), F.col(column)
-            less = F.when(cut.isNull(), value.isNotNull()).otherwise(F.coalesce(cut < value, F.lit(False)))
-            passed = less | (cut.eqNullSafe(value) & passed)
-        found = found.withColumn(
-            _RANGE,
-            F.when((at < F.size(arrays[0])) & passed, F.col(_RANGE) + step).otherwise(F.col(_RANGE)),
-        )
-    return found.drop(*arrays)
+    second = spark.createDataFrame(parts, T.StructType([*keys, T.StructField(_PART, T.IntegerType()), T.StructField(_CUTS, lists)]))
+    found = _lookup(df, first, cuts.keys, cuts.small).withColumn("__cut", F.col(_CUTS).isNotNull())
+    found = found.withColumn(_PART, _passed(cuts.order, longest // step)).drop(_CUTS)
+    found = _lookup(found, second, [*cuts.keys, _PART], cuts.small)
+    return found.withColumn(
+        _RANGE, F.coalesce(F.col(_PART) * step + _passed(cuts.order, step), F.lit(0))
+    ).drop(_PART, _CUTS)
+
+
+def _passed(order: Sequence[str], most: int) -> Column:
+    """How many of the sorted points in ``__cuts``, ``most`` at most, are at or before a row."""
+    row = F.struct(*[F.col(c).alias(f"c{n}") for n, c in enumerate(order)])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))])
+
+    def further(at: Column, by: Column) -> Column:
+        # Structs compare as rows sort, nulls first.
+        return F.when(
+            (at + by <= F.size(_CUTS)) & (F.get(F.col(_CUTS), at + by - 1) <= row), at + by
+        ).otherwise(at)
+
+    return F.when(F.col(_CUTS).isNotNull(), F.aggregate(steps, F.lit(0), further))
 
 
 def _lookup(df: DataFrame, small: DataFrame, keys: Sequence[str], few: bool) -> DataFrame:

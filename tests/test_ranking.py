@@ -65,6 +65,19 @@ def test_many_cut_points_are_not_broadcast(skewed, monkeypatch):
     assert same(ranking.positions(skewed, ["k"], ["t", "n"], "pos", 700), expected)
 
 
+def test_cut_points_stay_bounded(skewed, monkeypatch):
+    monkeypatch.setattr(ranking, "BROADCAST_POINTS", 8)
+    cuts = ranking.plan_cuts(skewed, ["k"], ["t", "n"], 100)
+    assert cuts.small and 2 <= len(cuts.points[(7,)]) <= 8
+
+
+def test_many_ranges_of_one_table(spark):
+    """A thousand cut points are planned and searched; nulls sort first."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 5 > 0, F.hash("id") % 100).alias("t"), "id")
+    expected = df.withColumn("pos", F.row_number().over(Window.orderBy("t", "id")).cast("long"))
+    assert same(ranking.positions(df, [], ["t", "id"], "pos", 20), expected)
+
+
 def test_previous_value_and_running_sum(skewed):
     cuts = ranking.plan_cuts(skewed, ["k"], ["t", "n"], 500)
     ranged = ranking.with_range(skewed, cuts)
