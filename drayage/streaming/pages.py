@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import astuple, dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,109 +57,159 @@ def _page_delta(keep_ms: int | None):
     return run
 
 
+@dataclass
+class _Page:
+    """What is known of a page: lines due (-1: not stated) and come, whether the polls just before and
+    after it are said to be empty, and whether its delta is out."""
+
+    due: int = -1
+    have: int = 0
+    alone: bool = False
+    ended: bool = False
+    done: bool = False
+
+    @property
+    def complete(self) -> bool:
+        return self.done or 0 <= self.due <= self.have
+
+
 class PageAssembly(StatefulProcessor):
-    """State of (source, block of polls): pages that are not complete, or not yet compared.
+    """State of (bucket of sources, block of polls): pages that are not complete, or not yet compared.
 
-    ``pages`` tells of each poll how many lines are due, have come and in how many parts, and
-    whether its delta is out; ``parts`` holds the lines as they came, so that adding to a page
-    never rewrites what it has.
+    ``pages`` holds a :class:`_Page` of each in one value; ``parts`` holds the lines as they came, one
+    part for each poll and micro-batch, so that adding to a page never rewrites what it has.
     """
 
     def __init__(self, first_poll: int, keep_ms: int | None):
         self.first_poll, self.keep_ms = first_poll, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pages = handle.getMapState("pages", "poll long", "due long, have long, parts long, done boolean", self.keep_ms)
-        self.parts = handle.getMapState("parts", "poll long, part long", "pos array<long>, line array<string>", self.keep_ms)
+        self.pages = handle.getValueState(
+            "pages", "part long, source array<string>, poll array<long>, due array<long>, have array<long>, "
+            "alone array<boolean>, ended array<boolean>, done array<boolean>", self.keep_ms)
+        self.parts = handle.getMapState(
+            "parts", "poll long, part long", "source array<string>, pos array<long>, line array<string>", self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         low = int(key[1]) * BLOCK
-        touched: set[int] = set()
+        part, *columns = self.pages.get() or (0, *[()] * 7)
+        pages = {(source, poll): _Page(*page) for source, poll, *page in zip(*columns)}
+        came: dict[int, list[tuple]] = {}
+        touched, ended = set(), False
         for batch in rows:
-            for poll, page in batch.groupby("poll", sort=False):
-                poll = int(poll)
-                touched.add(poll)
-                due, have, parts, done = self._page(poll)
-                stated = page["due"].max()
-                lines = page[page["due"] < 0]
-                if len(lines) and not done:
-                    texts = [None if pd.isna(line) else line for line in lines["line"]]
-                    self.parts.updateValue((poll, parts), (lines["pos"].astype(int).tolist(), texts))
-                    have, parts = have + len(lines), parts + 1
-                self.pages.updateValue((poll,), (max(due, int(stated)), have, parts, done))
-        for poll in sorted(touched | {poll + 1 for poll in touched}):
-            # The page before the block only says what was seen; its own delta is another block's.
-            if low <= poll < low + BLOCK and self._complete(poll) and not self._page(poll)[3]:
-                if poll == self.first_poll or self._complete(poll - 1):
-                    fresh = self._delta(poll)
-                    self._finish(poll, low)
-                    if len(fresh):
-                        yield fresh.assign(source=key[0], poll=poll)[["source", "poll", "pos", "line"]]
-
-    def _page(self, poll: int) -> tuple[int, int, int, bool]:
-        found = self.pages.getValue((poll,)) if self.pages.containsKey((poll,)) else None
-        return (-1, 0, 0, False) if found is None else tuple(found)
-
-    def _complete(self, poll: int) -> bool:
-        due, have, _, done = self._page(poll)
-        return done or 0 <= due <= have
-
-    def _lines(self, poll: int) -> pd.DataFrame:
-        found = [self.parts.getValue((poll, part)) for part in range(self._page(poll)[2])]
-        return pd.DataFrame({
-            "pos": pd.Series([p for pos, _ in found for p in pos], dtype="int64"),
-            "line": pd.Series([x for _, lines in found for x in lines], dtype="object"),
-        })
-
-    def _delta(self, poll: int) -> pd.DataFrame:
-        page = self._lines(poll)
-        before = set() if poll == self.first_poll else set(self._lines(poll - 1)["line"])
-        cut = page["pos"][~page["line"].isin(before)].min()
-        return page[page["pos"] >= cut] if pd.notna(cut) else page[:0]
-
-    def _finish(self, poll: int, low: int) -> None:
-        """Keeps of a page what its successor in the block still needs, and of a whole block nothing."""
-        due, have, parts, _ = self._page(poll)
-        self.pages.updateValue((poll,), (due, have, parts, True))
-        for of, over in ((poll - 1, True), (poll, poll == low + BLOCK - 1 or self._page(poll + 1)[3])):
-            if over and self.pages.containsKey((of,)):
-                for part in range(self._page(of)[2]):
-                    self.parts.removeKey((of, part))
-                self.pages.updateValue((of,), (*self._page(of)[:2], 0, of >= low))
-        if all(self._page(p)[3] for p in range(max(low, self.first_poll), low + BLOCK)):
+            for source, poll, pos, line, due, idle in zip(*(
+                batch[c].tolist() for c in ("source", "poll", "pos", "line", "due", "idle")
+            )):
+                # The page before the block only says what was seen; its own delta is another block's.
+                if low - 1 <= poll < low + BLOCK:
+                    page = pages.setdefault((source, poll), _Page())
+                    touched.add((source, poll))
+                    if due >= 0:
+                        page.due, page.alone = max(page.due, due), page.alone or idle > 0
+                    elif not page.done:
+                        page.have += 1
+                        came.setdefault(poll, []).append((source, pos, line))
+                last = poll - idle - 1
+                if idle > 0 and last >= self.first_poll and low - 1 <= last < low + BLOCK - 1:
+                    pages.setdefault((source, last), _Page()).ended = ended = True
+
+        ready = [
+            (source, poll) for source, poll in touched | {(source, poll + 1) for source, poll in touched}
+            if poll >= low and self._ready(pages, source, poll)
+        ]
+        stored = {tuple(at): list(zip(*held)) for at, held in self.parts.iterator()} if part and (ready or ended) else {}
+        lines: dict[tuple, list[tuple[int, str]]] = {}
+        for poll, held in [*((poll, held) for (poll, _), held in stored.items()), *came.items()]:
+            for source, pos, line in held:
+                lines.setdefault((source, poll), []).append((pos, line))
+        fresh = []
+        for source, poll in ready:
+            page, shown = pages[source, poll], lines.get((source, poll), ())
+            first = page.alone or poll == self.first_poll
+            before = set() if first else {line for _, line in lines.get((source, poll - 1), ())}
+            cut = min((pos for pos, line in shown if line not in before), default=None)
+            if cut is not None:
+                fresh += [(source, poll, pos, line) for pos, line in shown if pos >= cut]
+        for page in ready:
+            pages[page].done = True
+        self._keep(pages, part, came, stored, low)
+        if fresh:
+            yield pd.DataFrame(fresh, columns=["source", "poll", "pos", "line"])
+
+    def _ready(self, pages: dict, source: str, poll: int) -> bool:
+        page, before = pages.get((source, poll)), pages.get((source, poll - 1))
+        if page is None or page.done or not page.complete:
+            return False
+        return page.alone or poll == self.first_poll or (before is not None and before.complete)
+
+    def _keep(self, pages: dict, part: int, came: dict, stored: dict, low: int) -> None:
+        """Keeps of a page what it or its successor in the block still needs, and of a whole block nothing."""
+
+        def needed(source: str, poll: int) -> bool:
+            page, after = pages[source, poll], pages.get((source, poll + 1))
+            if poll >= low and not page.done:
+                return True
+            return poll < low + BLOCK - 1 and not page.ended and not (after is not None and after.done)
+
+        wanted = {page for page in pages if needed(*page)}
+        for at, held in stored.items():
+            left = [row for row in held if (row[0], at[0]) in wanted]
+            if not left:
+                self.parts.removeKey(at)
+            elif len(left) < len(held):
+                self.parts.updateValue(at, tuple(map(list, zip(*left))))
+        for poll, held in came.items():
+            left = [row for row in held if (row[0], poll) in wanted]
+            if left:
+                self.parts.updateValue((poll, part), tuple(map(list, zip(*left))))
+        # That a page is out matters to the one before, while that is not.
+        known = [
+            (source, poll, *astuple(page)) for (source, poll), page in pages.items()
+            if (source, poll) in wanted
+            or (poll > low and (source, poll - 1) in pages and not pages[source, poll - 1].done)
+        ]
+        if known:
+            self.pages.update((part + bool(came), *map(list, zip(*known))))
+        else:
             self.pages.clear()
-            self.parts.clear()
 
     def close(self) -> None:
         pass
 
 
 def assembled_delta_stream(
-    snapshots: DataFrame, sizes: DataFrame, first_poll: int = 0, keep_ms: int | None = None
+    snapshots: DataFrame, sizes: DataFrame, first_poll: int = 0, keep_ms: int | None = None, buckets: int = 256
 ) -> DataFrame:
     """Streaming :func:`drayage.operators.logs.poll_delta` of pages that come in parts, in any order.
 
     ``sizes(source, poll, n_lines)`` says of every poll from ``first_poll`` on how many lines its
-    page has, none included; it may come before or after the lines. A page waits in the state
+    page has, none included; it may come before or after the lines. With a further column ``idle``, the
+    number of polls just before this one that have none, those need no row of their own.
+    A page waits in the state
     until all its lines and those of the page before are there, however many micro-batches and
     whichever polls come between; a poll never stated holds back the one after it. Work and state
-    are keyed by blocks of ``BLOCK`` polls as in :func:`poll_delta_stream`, and a block that is out
+    are keyed by blocks of ``BLOCK`` polls and ``buckets`` as in :func:`poll_delta_stream`, and a block that is out
     leaves nothing behind. Rows must not repeat. ``keep_ms`` ends the wait for what never comes.
     """
     source = snapshots.schema["source"].dataType
-    lines = snapshots.select("source", "poll", F.col("pos").cast("long").alias("pos"), "line", F.lit(-1).cast("long").alias("due"))
+    none = F.lit(0).cast("long")
+    lines = snapshots.select("source", "poll", F.col("pos").cast("long").alias("pos"), "line", F.lit(-1).cast("long").alias("due"), none.alias("idle"))
     stated = sizes.select(
-        "source", "poll", F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("line"), F.col("n_lines").cast("long").alias("due")
+        "source", "poll", F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("line"), F.col("n_lines").cast("long").alias("due"),
+        (F.coalesce(F.col("idle").cast("long"), none) if "idle" in sizes.columns else none).alias("idle"),
     )
-    poll = F.col("poll").cast("long")
-    block = F.floor(poll / BLOCK)
-    closes = F.pmod(poll, F.lit(BLOCK)) == BLOCK - 1
+    poll, last = F.col("poll").cast("long"), F.col("poll").cast("long") - F.col("idle") - 1
+    # The last page of a block goes to the next one too, and both learn that no page follows a page.
+    blocks = F.array_distinct(F.array(
+        F.floor(poll / BLOCK), F.floor((poll + 1) / BLOCK),
+        *[F.when((F.col("idle") > 0) & (last >= first_poll), F.floor(at / BLOCK)) for at in (last, last + 1)],
+    ))
     shown = lines.unionByName(stated).select(
-        F.col("source").cast("string").alias("source"),
-        F.explode(F.when(closes, F.array(block, block + 1)).otherwise(F.array(block)).cast("array<string>")).alias("block"),
-        poll.alias("poll"), "pos", "line", "due",
+        F.col("source").cast("string").alias("source"), _bucket(buckets),
+        F.explode(F.array_compact(blocks).cast("array<string>")).alias("block"),
+        poll.alias("poll"), "pos", "line", "due", "idle",
     )
-    return shown.groupBy("source", "block").transformWithStateInPandas(
+    return shown.groupBy("bucket", "block").transformWithStateInPandas(
         statefulProcessor=PageAssembly(first_poll, keep_ms),
         outputStructType="source string, poll long, pos long, line string",
         outputMode="append",

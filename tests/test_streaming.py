@@ -83,6 +83,28 @@ def test_pages_in_parts_and_out_of_order(spark, tmp_path, rows):
     assert {r[0] for r in held.collect()} <= set(last.values()) | {2 * BLOCK - 1, BLOCK - 1}
 
 
+def test_pages_held_back_by_an_early_one_are_not_lost(spark, tmp_path, rows):
+    """Polls 1 to 3 are whole before poll 0; polls 4 and 5 are empty without a row that says so."""
+    landing, stated, target = (str(tmp_path / n) for n in ("in", "sizes", "out"))
+    shown = [p for p in range(2 * BLOCK) if p not in (4, 5, BLOCK - 1, BLOCK)]
+    data = [(s, p, i, f"{(i + p) // 2}") for s in ("a", "b") for p in shown for i in range(p, p + 3)]
+    pages = spark.createDataFrame(data, SNAPSHOTS)
+    sizes = spark.createDataFrame(
+        [(s, p, 3, p - max([q for q in shown if q < p], default=-1) - 1) for s in ("a", "b") for p in shown],
+        "source string, poll int, n_lines long, idle long")
+    pages.limit(0).write.parquet(landing)
+    for said in (sizes.filter("poll > 0"), sizes.filter("poll = 0")):
+        land(pages.join(said.select("source", "poll"), ["source", "poll"]).select(pages.columns), landing)
+        land(said, stated)
+        run(assembled_delta_stream(
+            spark.readStream.schema(pages.schema).parquet(landing),
+            spark.readStream.schema(sizes.schema).parquet(stated), buckets=1), target)
+    expected = logs.poll_delta(pages)
+    assert rows(result(spark, target).select(expected.columns)) == rows(expected)
+    left = spark.read.format("statestore").option("path", f"{target}-checkpoint").option("stateVarName", "parts").load()
+    assert {r[0] for r in left.select(F.col("user_map_key.poll")).collect()} <= {2 * BLOCK - 1}
+
+
 def test_drain_stream_holds_the_code_back(spark, tmp_path, rows):
     t0 = datetime(2024, 1, 1)
     output = spark.createDataFrame(
