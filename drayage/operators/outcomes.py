@@ -113,11 +113,7 @@ def follow_end(polls: DataFrame, delta: DataFrame, observed: DataFrame) -> DataF
     ``end_poll`` is null while it goes on, ``final_state`` and ``stopped_at`` while it runs.
     Only aggregations and joins by key; sources are not null.
     """
-    state = F.when(F.col("status") == 404, "dead").otherwise(F.col("state"))
-    stopped = classify_state(state, "follow") == "stopped"
-    stops = observed.groupBy("source").agg(
-        F.min(F.when(stopped, F.struct("at", state.alias("state")))).alias("stop")
-    )
+    stops = _stops(observed)
     fresh = delta.groupBy("source", "poll").agg(F.lit(True).alias("fresh"))
     seen = polls.join(fresh, ["source", "poll"], "left").join(stops, "source", "left")
     idle = F.col("fresh").isNull() & (F.col("at") >= F.col("stop.at"))
@@ -126,3 +122,44 @@ def follow_end(polls: DataFrame, delta: DataFrame, observed: DataFrame) -> DataF
         F.max("stop.state").alias("final_state"),
         F.max("stop.at").alias("stopped_at"),
     )
+
+
+def follow_end_regular(
+    polls: DataFrame, delta: DataFrame, observed: DataFrame, start: int, every: int
+) -> DataFrame:
+    """:func:`follow_end` for polls at regular times, without a row for each of them.
+
+    ``polls(source, first, last)`` has one row per source; its poll ``p`` is at ``start + p * every``.
+    Following can only end with the first poll from the stop on or with one right after a poll that
+    shows something, so the rows grow with ``delta`` and not with the polls of all sources.
+    """
+    stops = _stops(observed)
+    # ceil((at - start) / every) in whole numbers.
+    due = F.expr(f"(stop.at - {start}) div {every}") + F.when(
+        F.expr(f"(stop.at - {start}) % {every}") > 0, 1
+    ).otherwise(0)
+    begun = polls.join(stops, "source", "left").withColumn("due", F.greatest("first", due))
+    begun = begun.withColumn("due", F.when(F.col("stop.at").isNotNull(), F.col("due")))
+    shown = delta.select("source", "poll").distinct().select(
+        "source", F.explode(F.array(
+            F.struct("poll", F.lit(True).alias("fresh")),
+            F.struct((F.col("poll") + 1).alias("poll"), F.lit(False).alias("fresh")),
+        )).alias("at"),
+    ).select("source", "at.*")
+    starts = begun.filter(F.col("due").isNotNull()).select("source", F.col("due").alias("poll"), F.lit(False).alias("fresh"))
+    idle = shown.unionByName(starts).groupBy("source", "poll").agg(F.max("fresh").alias("fresh")).filter("NOT fresh")
+    ended = idle.join(begun.select("source", "due", "last"), "source").filter(
+        F.col("poll").between(F.col("due"), F.col("last"))
+    ).groupBy("source").agg(F.min("poll").alias("end_poll"))
+    return begun.join(ended, "source", "left").select(
+        "source", "end_poll", F.col("stop.state").alias("final_state"), F.col("stop.at").alias("stopped_at")
+    )
+
+
+def _stops(observed: DataFrame) -> DataFrame:
+    """``stop``, the time and state of the first terminal observation of each source, null without one."""
+    state = F.when(F.col("status") == 404, "dead").otherwise(F.col("state"))
+    stopped = classify_state(state, "follow") == "stopped"
+    return observed.groupBy("source").agg(
+        F.min(F.when(stopped, F.struct("at", state.alias("state")))).alias("stop")
+    )

@@ -187,3 +187,16 @@ def test_follow_end(spark):
         "d": (None, "killed", 41), "e": (None, None, None),
     }
     assert outcomes.follow_end(polls.limit(0), delta, observed).count() == 0
+    # The same from one row per source, as the polls are regular.
+    spans = polls.groupBy("source").agg(F.min("poll").alias("first"), F.max("poll").alias("last"))
+    regular = outcomes.follow_end_regular(spans, delta, observed, start=9, every=10)
+    assert {r.source: tuple(r)[1:] for r in regular.collect()} == rows
+
+
+def test_regular_polls_take_no_row_each(spark):
+    """A thousand million polls, one line; the stop comes before the first poll."""
+    spans = spark.createDataFrame([("a", 0, 10**9), ("b", 3, 10**9)], "source string, first long, last long")
+    delta = spark.createDataFrame([("a", 0), ("a", 1), ("b", 10**9)], "source string, poll long")
+    observed = spark.createDataFrame([("a", -5, "dead", 200), ("b", 10**12, "killed", 200)], "source string, at long, state string, status int")
+    found = outcomes.follow_end_regular(spans, delta, observed, start=0, every=1000)
+    assert {tuple(r) for r in found.collect()} == {("a", 2, "dead", -5), ("b", None, "killed", 10**12)}
