@@ -8,8 +8,9 @@ document. How short is too short comes from rows labelled good or bad: between t
 paths of the good rows, but for the ``1 - KEEP_GOOD`` shortest, and the longest path of the
 bad rows below that.
 
-Trees and threshold are made from ``LABELLED_ROWS`` labelled rows at most that pass the base
-rules, drawn by a hash of the id, and each tree from ``TREE_ROWS`` of the good ones.
+The threshold is made from the paths of all labelled rows that pass the base rules. A tree is grown
+from ``TREE_ROWS`` good ones, as the method has it; where there are more than all trees take, the rows for
+them are drawn by a hash of the id.
 Statistics, their ranges and the scores cover every text in full.
 
 A null text has no words and is rejected by the base rules; so is an empty one. Rows
@@ -33,7 +34,6 @@ from drayage.llm.frames import numbered, pieces, stored
 
 TREES = 100
 TREE_ROWS = 256
-LABELLED_ROWS = 20_000
 KEEP_GOOD = 0.999
 SEED = 7
 
@@ -158,14 +158,11 @@ def grow(good: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TREES
     return Forest(padded[0].astype(int), padded[1].astype(float), padded[2].astype(int), padded[3].astype(float), -1.0)
 
 
-def calibrated(forest: Forest, good: np.ndarray, bad: np.ndarray, keep_good: float = KEEP_GOOD) -> Forest:
-    """Sets the threshold half way between the good rows that are to pass and the bad rows below."""
-    if len(good) and len(bad) and len(forest.feature):
-        passing = np.sort(forest.scores(good))
-        least = passing[int((1 - keep_good) * len(passing))]
-        below = forest.scores(bad)
-        below = below[below < least]
-        forest.threshold = float((least + below.max()) / 2) if len(below) else -1.0
+def calibrated(forest: Forest, least: float | None, below: float | None) -> Forest:
+    """Sets the threshold half way between ``least``, the shortest path of the good rows that are to
+    pass, and ``below``, the longest of the bad rows under it."""
+    if least is not None and below is not None and len(forest.feature):
+        forest.threshold = float((least + below) / 2)
     return forest
 
 
@@ -197,16 +194,31 @@ def fit(described_: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_
         f(F.col("features")[i]).alias(f"{n}{i}") for i in range(len(FEATURES)) for n, f in (("low", F.min), ("high", F.max))
     ]).first()
     marks = labels.select(F.col(id_col).alias("of"), F.col(label_col).alias("label")).filter("label IS NOT NULL")
-    marked = passing.join(marks, F.col("doc_id") == F.col("of")).select(
+    marked = stored(passing.join(marks, F.col("doc_id") == F.col("of")).select(
         F.xxhash64(F.col("doc_id").cast("string")).alias("drawn"), "features", "label"
-    )
-    marked = first_drawn(stored(marked, "marked"), LABELLED_ROWS)
-    good, bad = (
-        np.array([r.features for r in marked if (r.label == 1) == is_good]).reshape(-1, len(FEATURES))
-        for is_good in (True, False)
-    )
+    ), "marked")
+    good = marked.filter("label = 1").select("drawn", "features")
+    drawn = np.array([r.features for r in first_drawn(good, TREES * TREE_ROWS)]).reshape(-1, len(FEATURES))
     low, high = (np.array([bounds[f"{n}{i}"] or 0.0 for i in range(len(FEATURES))]) for n in ("low", "high"))
-    return calibrated(grow(good, low, high), good, bad)
+    forest = grow(drawn, low, high)
+    if not len(drawn):
+        return forest
+    paths = stored(scored(marked.select("label", "features"), forest), "paths")
+    n = paths.filter("label = 1").count()
+    least = paths.filter("label = 1").orderBy("path").limit(int((1 - KEEP_GOOD) * n) + 1).agg(F.max("path")).first()[0]
+    below = paths.filter(~(F.col("label") == 1) & (F.col("path") < F.lit(least))).agg(F.max("path")).first()[0]
+    return calibrated(forest, least, below)
+
+
+def scored(rows: DataFrame, forest: Forest) -> DataFrame:
+    """``label`` and ``path`` of each row."""
+
+    def run(batches):
+        for piece in pieces(batches, 8192):
+            features = piece.column(1).flatten().to_numpy(zero_copy_only=False).reshape(piece.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(forest.scores(features))], ["label", "path"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema["label"], T.StructField("path", T.DoubleType())]))
 
 
 def first_drawn(rows: DataFrame, most: int) -> list[Row]:

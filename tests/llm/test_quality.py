@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from fixtures import SCHEMA, TEXTS, awkward, words
 from pyspark.sql import functions as F
@@ -75,6 +76,20 @@ def test_first_rows_by_hash_are_the_same_behind_a_threshold(spark):
     assert quality.first_drawn(same.limit(0), 20) == []
 
 
+def test_threshold_comes_from_all_labelled_rows(spark, monkeypatch):
+    """Trees see few rows; the threshold lies where the rows of both labels have it."""
+    monkeypatch.setattr(quality, "LABELLED_ROWS", 50, raising=False)
+    monkeypatch.setattr(quality, "TREE_ROWS", 1)
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.random(len(quality.FEATURES)) ** (3 if i % 5 else 1), int(i % 5 > 0)) for i in range(4000)]
+    found = spark.createDataFrame([(i, f.tolist(), False) for i, f, _ in rows], "doc_id long, features array<double>, base_failed boolean")
+    marks = spark.createDataFrame([(i, label) for i, _, label in rows], "doc_id long, quality int")
+    forest = quality.fit(found, marks)
+    good, bad = (forest.scores(np.array([f for _, f, label in rows if label == of])) for of in (1, 0))
+    least = np.sort(good)[int((1 - quality.KEEP_GOOD) * len(good))]
+    assert forest.threshold == pytest.approx((least + bad[bad < least].max()) / 2)
+
+
 def test_other_names_of_the_id(spark):
     docs = awkward(spark).withColumnRenamed("doc_id", "number")
     marks = spark.createDataFrame([(1, 1), (7, 0), (None, 1)], "number long, quality int")
