@@ -5,6 +5,11 @@ Every fixture covers its whole table.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import accumulate
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -244,3 +249,30 @@ def write_logs(lines: DataFrame, folder: str) -> None:
     lines.select("line").write.mode("append").options(
         extension="log", sep="\u0001", quote="", compression="none"
     ).csv(folder)
+
+
+class PagedFile:
+    """Serves a Parquet file in pages by offset. A process that asks for one page after the other opens
+    the file once and decodes each row group once, whatever the length of the pages."""
+
+    def __init__(self, path: str, columns: list[str]):
+        self.path, self.columns = path, columns
+        self.file, self.starts, self.group, self.rows = None, [], None, None
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "columns": self.columns, "file": None, "starts": [], "group": None, "rows": None}
+
+    def __call__(self, offset: int, size: int) -> pa.Table:
+        if self.file is None:
+            self.file = pq.ParquetFile(self.path)
+            meta = self.file.metadata
+            self.starts = list(accumulate((meta.row_group(g).num_rows for g in range(meta.num_row_groups)), initial=0))
+        served = []
+        while size > 0 and offset < self.starts[-1]:
+            group = bisect_right(self.starts, offset) - 1
+            if group != self.group:
+                self.rows = self.file.read_row_group(group, self.columns, use_threads=False)
+                self.group = group
+            served.append(self.rows.slice(offset - self.starts[group], size))
+            offset, size = offset + served[-1].num_rows, size - served[-1].num_rows
+        return pa.concat_tables(served) if served else self.file.schema_arrow.empty_table().select(self.columns)

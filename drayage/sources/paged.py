@@ -10,6 +10,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Provider = Callable[[int, int], pa.Table]
 
+# Tasks of one scan at most; each costs the provider a start of its own.
+MOST_TASKS = 1_024
+
 
 class PageRange(InputPartition):
     """Pages from offset ``start`` on; ``stop`` is None for the last range, which
@@ -33,13 +36,14 @@ def scan_paged(
 
     ``provider(offset, size)`` returns a page as an Arrow table and must be
     picklable. Where the total is unknown, single-row requests find it by
-    doubling and halving, so the pages can still be read in parallel.
+    doubling and halving, so the pages can still be read in parallel. A task takes
+    ``pages_per_task`` pages, or more where that would make over ``MOST_TASKS`` tasks.
     """
 
     class Reader(DataSourceReader):
         def partitions(self) -> list[PageRange]:
             known = _find_total(provider) if total is None else total
-            step = page_size * pages_per_task
+            step = page_size * max(pages_per_task, -(-known // (page_size * MOST_TASKS)))
             starts = list(range(0, max(known, 1), step))
             return [PageRange(s, s + step) for s in starts[:-1]] + [PageRange(starts[-1], None)]
 

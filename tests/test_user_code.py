@@ -1,8 +1,10 @@
 import time
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from drayage.catalog import fixtures
 from drayage.operators import user_code
 from drayage.sources import paged
 
@@ -104,3 +106,25 @@ def test_pages_shorter_than_asked_for(spark):
 
     df = paged.scan_paged(spark, "short_pages", provider, "n long", page_size=20, pages_per_task=2)
     assert sorted(r.n for r in df.collect()) == list(range(200))
+
+
+def test_long_listings_take_a_bounded_number_of_tasks(spark, monkeypatch):
+    monkeypatch.setattr(paged, "MOST_TASKS", 4)
+
+    def provider(offset, size):
+        return pa.table({"n": pa.array(range(offset, min(offset + size, 205)), pa.int64())})
+
+    df = paged.scan_paged(spark, "long_listing", provider, "n long", page_size=5, total=205, pages_per_task=1)
+    assert df.rdd.getNumPartitions() <= 5
+    assert sorted(r.n for r in df.collect()) == list(range(205))
+
+
+def test_paged_file_decodes_a_row_group_once(tmp_path, monkeypatch):
+    path = str(tmp_path / "rows.parquet")
+    pq.write_table(pa.table({"n": list(range(100)), "m": [0] * 100}), path, row_group_size=40)
+    provider, decoded = fixtures.PagedFile(path, ["n"]), []
+    read = pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda *a, **k: decoded.append(a[1]) or read(*a, **k))
+    served = [provider(at, 7)["n"].to_pylist() for at in range(0, 112, 7)]
+    assert [n for page in served for n in page] == list(range(100)) and served[-1] == []
+    assert decoded == [0, 1, 2]
