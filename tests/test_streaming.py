@@ -132,6 +132,30 @@ def test_drain_stream_holds_the_code_back(spark, tmp_path, rows):
     assert rows(result(spark, target).select(columns)) == rows(expected.select(columns))
 
 
+def test_many_processes_share_few_groups(spark, tmp_path, rows):
+    """Codes come at different times, in several runs; no more state keys than buckets are left."""
+    t0 = datetime(2024, 1, 1)
+    output = spark.createDataFrame(
+        [(p, i, f"{p}.{i}", t0 + timedelta(seconds=p % 40 + 100 * i)) for p in range(120) for i in range(p % 4)],
+        "pid int, pos long, line string, ts timestamp")
+    exits = spark.createDataFrame(
+        [(p, p - 60, t0 + timedelta(seconds=p % 40 + 100 * (p % 4))) for p in range(120)],
+        "pid int, returncode int, ts timestamp")
+    out, end, target = str(tmp_path / "out"), str(tmp_path / "end"), str(tmp_path / "drained")
+    at = "ts < timestamp'2024-01-01 00:{}:00'"
+    for now in (at.format("02"), f"NOT {at.format('02')}"):
+        land(output.filter(now), out)
+        land(exits.filter(now), end)
+        run(drain_stream(
+            spark.readStream.schema(output.schema).parquet(out),
+            spark.readStream.schema(exits.schema).parquet(end), 2, delay="0 seconds", buckets=4), target)
+        left = spark.read.format("statestore").option("path", f"{target}-checkpoint").option("stateVarName", "size").load()
+        assert left.count() <= 4
+    columns = ["pid", "poll", "pos", "line", "returncode"]
+    expected = logs.drain_batches(output.drop("ts"), exits.drop("ts"), 2)
+    assert rows(result(spark, target).select(columns)) == rows(expected.select(columns))
+
+
 def test_tail_follows_growth_and_restarts(spark, tmp_path):
     folder, target = tmp_path / "logs", str(tmp_path / "out")
     folder.mkdir()
