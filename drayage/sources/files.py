@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 
+# Parts of Spark's own split of a tree that one task reads.
+SCANS_PER_TASK = 16
+
+
 def scan_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Every file under ``root``: rel_path, length, mtime and content.
 
@@ -22,7 +26,12 @@ def scan_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFr
         reader = reader.option("pathGlobFilter", glob)
     prefix = urlparse(root).path.rstrip("/") + "/"
     start = F.instr("path", prefix) + len(prefix)
-    return reader.load(root).select(
+    found = reader.load(root)
+    # Spark counts each file as 4 MB, so a task takes few small ones; tasks cost more than these.
+    parts = found.select("path").rdd.getNumPartitions()
+    least = min(parts, 4 * spark.sparkContext.defaultParallelism)
+    found = found.coalesce(max(1, least, -(-parts // SCANS_PER_TASK)))
+    return found.select(
         F.substr("path", start).alias("rel_path"),
         "length",
         F.col("modificationTime").alias("mtime"),

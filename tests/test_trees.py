@@ -113,3 +113,11 @@ def test_replace_tree_leaves_other_partitions_alone(spark, tmp_path, rows):
     assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 9), ("b", 3)]
     files.replace_tree(old.filter("v = 3"), path)
     assert rows(spark.read.parquet(path).select("k", "v")) == [("b", 3)]
+
+
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    for n in range(32 * 40):
+        (tmp_path / f"{n}.bin").write_bytes(b"%d" % n)
+    found = files.scan_tree(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert {(r.rel_path, bytes(r.content)) for r in found.collect()} == {(f"{n}.bin", b"%d" % n) for n in range(32 * 40)}
