@@ -2,7 +2,9 @@
 
 The rank file is compiled into a nondeterministic transducer over bytes. Its
 configurations are starts of a possible next token: a node of the trie of tokens, the
-last token before the start, and the tokens up to it. At each byte, at most one token
+last token before the start, and the tokens up to it. Below nodes with few tokens, those of
+them that may follow the last token stand for it, so starts that go on alike are one, and a
+start that none may end is dropped at once. At each byte, at most one token
 that ends there goes with the token before its start: two tokens may stand side by
 side only if undoing their merges shows no merge across their border that comes
 earlier. So each prefix has exactly one encoding, and its end becomes a start too.
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import base64
 import codecs
-import re
+import gc
 import struct
 import sys
 import types
@@ -43,6 +45,8 @@ from drayage.llm.frames import numbered, pieces
 #: when the younger one is full, and its transitions, after which it starts anew.
 REMEMBERED_WORDS = 450_000
 REMEMBERED_STEPS = 400_000
+#: The tokens below a node of the trie, at most, that are tried at once with the token before.
+FEW_TOKENS = 16
 
 
 def read_ranks(lines: Iterator[bytes]) -> dict[bytes, int]:
@@ -72,6 +76,17 @@ class Vocabulary:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.merged[left, right] = rank
+        # The tokens behind each node where they are few; a node has a higher number than those before it.
+        self.below: list[tuple[int, ...] | None] = [()] * len(self.trie)
+        for node in range(len(self.trie) - 1, -1, -1):
+            behind: tuple[int, ...] | None = ()
+            for child in self.trie[node].values():
+                own = () if self.token_at[child] is None else (self.token_at[child],)
+                if self.below[child] is None or len(behind + own + self.below[child]) > FEW_TOKENS:
+                    behind = None
+                    break
+                behind += own + self.below[child]
+            self.below[node] = behind
 
     def _insert(self, token: bytes, rank: int) -> None:
         node = 0
@@ -126,43 +141,51 @@ def _merge(token: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
 class Transducer:
     """The transducer of a vocabulary, determinised as far as its input has led.
 
-    A configuration is a trie node and the last token before the start; it has a number.
-    A state is a tuple of configurations and the residue of each, oldest start first; the
-    last one is the start at the place reached.
+    A configuration is a trie node and what may end there: any token (None), those that go with
+    the last token before the start (its number), or one of a few (a tuple). It has a number.
+    A state maps each byte met to the tokens emitted and the next state; under ``_INSIDE`` it has
+    its configurations and the residue of each, oldest start first. The last one is the start at
+    the place reached.
     """
 
     def __init__(self, vocabulary: Vocabulary, remembered: int | None = None):
         self.vocabulary = vocabulary
         self.most = remembered or REMEMBERED_STEPS
+        self.first: dict = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.configurations: list[tuple[int, int | None]] = [(0, None)]
-        self.configuration_of: dict[tuple[int, int | None], int] = {(0, None): 0}
+        if self.first:
+            # States lead back to each other: without references they go, with the collector's help or not.
+            for state in self.states.values():
+                state.clear()
+        self.configurations: list[tuple[int, int | tuple[int, ...] | None]] = [(0, None)]
+        self.configuration_of: dict[tuple[int, int | tuple[int, ...] | None], int] = {(0, None): 0}
         self.starts: dict[int, int] = {}
         self.moves: dict[int, tuple[int, int]] = {}
-        self.states: list[tuple[tuple[int, ...], tuple[tuple[int, ...], ...]]] = [((0,), ((),))]
-        self.numbers = {self.states[0]: 0}
-        self.steps: dict[int, tuple[tuple[int, ...], int]] = {}
+        inside = ((0,), ((),))
+        self.first = {_INSIDE: inside}
+        self.states = {inside: self.first}
+        self.steps = 0
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one match of the pattern."""
-        if len(self.steps) > self.most or len(self.moves) > self.most:
+        if self.steps > self.most or len(self.moves) > self.most:
             self._forget()
-        state, out, steps = 0, [], self.steps
+        state, out = self.first, []
         for byte in word:
-            step = steps.get(state << 8 | byte)
+            step = state.get(byte)
             if step is None:
-                step = steps[state << 8 | byte] = self._step(self.states[state], byte)
+                step = state[byte] = self._step(state[_INSIDE], byte)
             emitted, state = step
             if emitted:
                 out += emitted
-        out += self.states[state][1][-1]
+        out += state[_INSIDE][1][-1]
         return out
 
-    def _step(self, state: tuple, byte: int) -> tuple[tuple[int, ...], int]:
+    def _step(self, inside: tuple, byte: int) -> tuple[tuple[int, ...], dict]:
         moves, alive, rests, token = self.moves, [], [], -1
-        for configuration, rest in zip(*state):
+        for configuration, rest in zip(*inside):
             move = moves.get(configuration << 8 | byte)
             if move is None:
                 move = moves[configuration << 8 | byte] = self._move(configuration, byte)
@@ -189,34 +212,46 @@ class Transducer:
         if emitted:
             rests = [rest[len(emitted) :] for rest in rests]
         reached = (tuple(alive), tuple(rests))
-        number = self.numbers.get(reached)
-        if number is None:
-            number = self.numbers[reached] = len(self.states)
-            self.states.append(reached)
-        return emitted, number
+        state = self.states.get(reached)
+        if state is None:
+            state = self.states[reached] = {_INSIDE: reached}
+        self.steps += 1
+        return emitted, state
 
     def _move(self, configuration: int, byte: int) -> tuple[int, int]:
         """The configuration after ``byte`` and the token that ends there, -1 for none."""
         v = self.vocabulary
-        node, last = self.configurations[configuration]
+        node, may = self.configurations[configuration]
         node = v.trie[node].get(byte)
         if node is None:
             return -1, -1
         token = v.token_at[node]
-        if token is None or not (last is None or v.side_by_side(last, token)):
+        if token is None or not (may is None or (token in may if isinstance(may, tuple) else v.side_by_side(may, token))):
             token = -1
-        return (self._number(node, last) if v.trie[node] else -1), token
-
-    def _number(self, node: int, last: int | None) -> int:
-        number = self.configuration_of.get((node, last))
+        return self._number(node, may) if v.trie[node] else -1, token
+
+    def _number(self, node: int, may: int | tuple[int, ...] | None) -> int:
+        """The number of a configuration, -1 if no token can end behind ``node``."""
+        below = self.vocabulary.below[node]
+        if may is not None and below is not None:
+            if isinstance(may, tuple):
+                left = tuple([token for token in below if token in may])
+            else:
+                left = tuple([token for token in below if self.vocabulary.side_by_side(may, token)])
+            if not left:
+                return -1
+            may = left if len(left) < len(below) else None
+        number = self.configuration_of.get((node, may))
         if number is None:
-            number = self.configuration_of[node, last] = len(self.configurations)
-            self.configurations.append((node, last))
+            number = self.configuration_of[node, may] = len(self.configurations)
+            self.configurations.append((node, may))
         return number
 
 
-#: White space at an end or beside a space: where it is, a match of the pattern may go across a space.
-_AWKWARD = re.compile(r"\A\s|\s | \s|\s\Z")
+#: Where a state has its configurations; no byte.
+_INSIDE = -1
+
+_MARKS = ".,;:!?"
 
 
 class Encoder:
@@ -232,25 +267,34 @@ class Encoder:
         self.matches = regex.compile(pattern).findall
         self.spaced: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.marks = {mark: self._encode("", mark) for mark in _MARKS}
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _AWKWARD.search(text):
-            return self._encode("", text)
         first, *parts = text.split(" ")
+        # Beside white space a match of the pattern may go across a space.
+        if not _plain(first):
+            return self._encode("", text)
         found = list(map(self.spaced.get, parts))
         if None in found:
-            found = [self._spaced(part) if ids is None else ids for part, ids in zip(parts, found)]
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                part = parts[at]
+                if not _plain(part):
+                    return self._encode("", text)
+                # A mark behind letters is a match of its own.
+                if part[-1] in _MARKS and part[:-1].isalpha():
+                    found[at] = (self.spaced.get(part[:-1]) or self._spaced(part[:-1])) + self.marks[part[-1]]
+                else:
+                    found[at] = self._spaced(part)
         return self._encode("", first) + b"".join(found)
 
     def _spaced(self, part: str) -> bytes:
         ids = self.spaced.get(part)
         if ids is None:
-            # A mark behind letters is a match of its own.
-            if part[-1] in ".,;:!?" and part[:-1].isalpha():
-                return self._spaced(part[:-1]) + self._encode("", part[-1])
             ids = self.older.get(part)
             if ids is None:
                 ids = self._encode(" ", part)
@@ -269,6 +313,11 @@ class Encoder:
         return struct.pack(f"<{len(found)}I", *found)
 
 
+def _plain(part: str) -> bool:
+    """Whether what lies between two spaces neither begins nor ends with white space, and is something."""
+    return part != "" and not part[0].isspace() and not part[-1].isspace()
+
+
 class Decoder:
     """Turns ids back into text as they come."""
 
@@ -295,6 +344,8 @@ def _worker_encoder(ranks_file: str, pattern: str, remembered: int | None = None
     if getattr(kept, "encoder_of", None) != (ranks_file, pattern, remembered):
         with open(ranks_file, "rb") as lines:
             kept.encoder = Encoder(read_ranks(lines), pattern, remembered)
+        # The small objects that are remembered are no garbage, and a collection looks at all of them.
+        gc.set_threshold(100_000, 50, 50)
         kept.encoder_of = (ranks_file, pattern, remembered)
     return kept.encoder
 

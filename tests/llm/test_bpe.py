@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from fixtures import SCHEMA, TEXTS, awkward
@@ -50,6 +51,27 @@ def test_memory_starts_anew(monkeypatch):
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
 
 
+def test_starts_that_go_on_alike_share_transitions(monkeypatch):
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    met, step = [], bpe.Transducer._step
+    monkeypatch.setattr(bpe.Transducer, "_step", lambda *a: met.append(1) or step(*a))
+    for text in texts:
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
+    # 81,912 transitions; 125,637 before tokens that cannot follow were left out.
+    assert len(met) < 100_000
+
+
+def test_marks_behind_known_words_are_looked_up(monkeypatch):
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    text = "a word, word. word, Word! word: word; word?"
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
+    met, encode = [], bpe.Transducer.encode
+    monkeypatch.setattr(bpe.Transducer, "encode", lambda *a: met.append(a[1]) or encode(*a))
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
+    assert met == [b"a"]
+
+
 def test_invalid_bytes_become_replacement_characters():
     ids = np.array([RANKS[b"\xff"], RANKS[b"a"]], "<u4").tobytes()
     assert "".join(DECODER.stream(ids)) == "�a"
