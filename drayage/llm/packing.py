@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drayage.llm.cached import UNIT, byte_encoder, kept
+from drayage.llm.cached import REMEMBERED_BYTES, UNIT, byte_encoder, kept
 from drayage.llm.frames import numbered
 from drayage.llm.frames import pieces as slices
 from drayage.llm.frames import stored
@@ -88,14 +88,14 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end:
     docs, names = numbered(docs)
 
     def run(batches):
-        known = kept("byte_encoder", (tokenizer_file,), lambda: byte_encoder(tokenizer_file))
+        known = kept("byte_encoder", (tokenizer_file,), lambda: byte_encoder(tokenizer_file, 2 * REMEMBERED_BYTES))
         last = struct.pack("<I", end)
         for batch in slices(batches, 128):
-            parts = [UNIT.findall(t or "") for t in batch.column(1).to_pylist()]
-            ids_of = known.of(parts)
+            found = known.values([UNIT.findall(t or "") for t in batch.column(1).to_pylist()])
             owner, rows = [], []
-            for i, chunks in enumerate(parts):
-                ids = b"".join([*map(ids_of.__getitem__, chunks), last])
+            for i, values in enumerate(found):
+                values.append(last)
+                ids = b"".join(values)
                 for k, (start, length) in enumerate(cuts(len(ids) // 4, capacity)):
                     owner.append(i)
                     rows.append((k, start, length, ids[4 * start : 4 * (start + length)]))

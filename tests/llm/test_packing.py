@@ -2,11 +2,12 @@ import random
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 from fixtures import SCHEMA, TEXTS, awkward
 from tokenizers import Tokenizer
 
-from drayage.llm import packing
+from drayage.llm import cached, packing
 from drayage.llm.cached import UNIT, byte_encoder
 from drayage.llm.queries import QUERIES
 
@@ -87,6 +88,41 @@ def test_units_encoded_together_keep_their_tokens():
         assert b"".join(ids_of[u] for u in units) == b"".join(i.to_bytes(4, "little") for i in ids[:-1])
 
 
+def test_values_make_each_unit_once():
+    texts = ["a word, a word and '{}", "", "x\ny  z", "word"]
+    for most, made in ((1 << 20, 1), (0, 3)):
+        known, given = byte_encoder(FILE, most), []
+        make = known.make
+        known.make = lambda units: given.extend(units) or make(units)
+        for _ in range(3):
+            parts = [UNIT.findall(t) for t in texts]
+            for values, ids in zip(known.values(parts), encode(texts)):
+                assert b"".join(values) == b"".join(i.to_bytes(4, "little") for i in ids[:-1])
+        assert len(given) <= made * len(set().union(*parts)) and len(set(given)) == len(set().union(*parts))
+
+
+def test_units_joined_without_line_feeds(monkeypatch):
+    """Each unit that begins with a blank costs the tokenizer its own tokens only."""
+    units = [" word", " a", " 12", " '{}", " é日\U0001f600", " ▁", " <|endoftext|>", "b", "\n", "  ", " x\ty"]
+    sent, made = [], cached.byte_tokenizer
+
+    class Sent:
+        def __init__(self, path):
+            self.of = made(path)
+
+        def __getattr__(self, name):
+            return getattr(self.of, name)
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return self.of.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(cached, "byte_tokenizer", Sent)
+    found = byte_encoder(FILE).make(units)
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [ids[:-1] for ids in encode(units)]
+    assert "".join(units[:7]) in sent
+
+
 def test_awkward_rows(spark):
     texts = [*TEXTS, *enumerate(ODD, 100)]
     for keep in (False, True):
