@@ -7,7 +7,7 @@ without anything trainable, so that nothing of a conversation is lost.
 Examples of a conversation share their beginnings, so they are kept by what each adds:
 ``added`` is the text from ``context_chars``, where the example before ended, to its own end.
 The whole text of an example is all that the examples up to it add, and ``expanded`` writes
-it out, which takes space in the square of the turns. The trainable part is
+it out, which takes time in the square of the turns; ``read_back`` reads these texts. The trainable part is
 ``loss_start`` to ``loss_end`` in the whole text, in code points, ends exclusive.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Backslashes in roles and texts are doubled,
@@ -26,7 +26,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ from drayage.llm.frames import numbered, pieces
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 TRAINABLE = "assistant"
+#: Characters of written examples that go on together, but for a longer one.
+HELD_CHARS = 1 << 22
 # Control strings of this and of other templates.
 CONTROLS = (
     "<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
@@ -113,10 +115,35 @@ _NONE = object()
 
 
 def expanded(found: DataFrame) -> DataFrame:
-    """``examples`` with ``text``, the context and the reply written out, in place of ``added``."""
-    upto = Window.partitionBy("conv_id").orderBy("example").rowsBetween(Window.unboundedPreceding, 0)
-    whole = found.withColumn("text", F.array_join(F.collect_list("added").over(upto), ""))
-    return whole.drop("added", "context_chars", "n_turns")
+    """``examples`` with ``text``, the context and the reply written out, in place of ``added``.
+
+    ``found`` is as :func:`examples` gives it, a conversation's rows in order; they are read as a stream,
+    of which the last text is held.
+    """
+    out = found.select("conv_id", "example", "context_chars", "added", "loss_start", "loss_end")
+    schema = T.StructType([out.schema["conv_id"]]).add("example", "long").add("text", "string")
+    schema = schema.add("loss_start", "long").add("loss_end", "long")
+
+    def run(batches):
+        conv, text = _NONE, ""
+        for piece in pieces(batches):
+            texts, held, first = [], 0, 0
+            for k, (of, context, added) in enumerate(zip(*(piece.column(n).to_pylist() for n in (0, 2, 3)))):
+                if of != conv:
+                    conv, text = of, ""
+                if context != len(text):
+                    raise ValueError("examples of a conversation are not in order")
+                text += added
+                texts.append(text)
+                held += len(text)
+                if held > HELD_CHARS or k == piece.num_rows - 1:
+                    rows = piece.slice(first, len(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column(0), rows.column(1), pa.array(texts, pa.string()), rows.column(4), rows.column(5)], schema.names
+                    )
+                    texts, held, first = [], 0, k + 1
+
+    return out.mapInArrow(run, schema)
 
 
 def read_turns(added: str) -> list[tuple[str, str]]:
@@ -129,9 +156,11 @@ def read_turns(added: str) -> list[tuple[str, str]]:
 
 
 def read_back(found: DataFrame) -> DataFrame:
-    """What the output of :func:`examples` holds, one row per conversation: ``n_turns`` and the digest
-    of its turns, ``loss_chars`` and the digest of the text under the loss masks, ``formatted_chars``
-    of the conversation, ``n_examples`` and ``example_chars`` of all examples written out."""
+    """What the examples of :func:`examples`, written out by :func:`expanded`, hold, one row per
+    conversation: ``n_turns`` and the digest of its turns, ``loss_chars`` and the digest of the text
+    under the loss masks, ``formatted_chars`` of the conversation, ``n_examples`` and
+    ``example_chars`` of all examples. Each text must begin with the one before it, as its context."""
+    written = expanded(found)
     fields = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples", "example_chars")
     schema = T.StructType([found.schema["conv_id"]])
     for name in fields:
@@ -142,7 +171,7 @@ def read_back(found: DataFrame) -> DataFrame:
         from pyspark.sql.pandas.types import to_arrow_type
 
         arrow = [to_arrow_type(kind), *[pa.string() if n.endswith("sha256") else pa.int64() for n in fields]]
-        conv, state, done = _NONE, None, []
+        conv, state, done, before = _NONE, None, [], ""
 
         def closed():
             n, turns, chars, loss, length, count, total = state
@@ -153,26 +182,29 @@ def read_back(found: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(zip(*rows), arrow)], ["conv_id", *fields]
             )
 
-        for piece in pieces(batches):
-            for of, context, added, start, end in zip(*(c.to_pylist() for c in piece.columns)):
+        for piece in pieces(batches, 64):
+            for of, text, start, end in zip(*(c.to_pylist() for c in piece.columns)):
                 if of != conv:
                     if state:
                         done.append(closed())
-                    conv, state = of, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-                for role, text in read_turns(added):
+                    conv, state, before = of, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0], ""
+                if not text.startswith(before):
+                    raise ValueError("an example does not begin with its context")
+                for role, said in read_turns(text[len(before) :]):
                     state[0] += 1
-                    state[1].update(f"{role}\n{text}\n".encode())
+                    state[1].update(f"{role}\n{said}\n".encode())
+                before = text
                 if start is not None:
-                    reply = unescaped(added[start - context : end - context])
+                    reply = unescaped(text[start:end])
                     state[2] += len(reply)
                     state[3].update(reply.encode())
-                state[4] += len(added)
+                state[4] = len(text)
                 state[5] += 1
-                state[6] += context + len(added)
+                state[6] += len(text)
             if done:
                 yield batch(done)
                 done = []
         if state:
             yield batch([closed()])
 
-    return found.select("conv_id", "context_chars", "added", "loss_start", "loss_end").mapInArrow(run, schema)
+    return written.select("conv_id", "text", "loss_start", "loss_end").mapInArrow(run, schema)

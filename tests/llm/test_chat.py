@@ -1,5 +1,7 @@
 import hashlib
 
+from pyspark.sql import functions as F
+
 from drayage.llm import chat
 
 SCHEMA = "conv_id long, turn int, role string, text string, example string, conv string"
@@ -67,3 +69,25 @@ def test_no_control_string_of_a_text_is_left(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert chat.read_back(chat.examples(empty)).count() == 0
+
+
+def test_written_examples_are_read_back(spark, monkeypatch):
+    """The digests come from the examples written out: with another text under them they change."""
+    found = chat.examples(frame(spark))
+    plain = {r.conv_id: r for r in chat.read_back(found).collect()}
+    write = chat.expanded
+    texts = write(found).collect()
+    for conv, r in plain.items():
+        own = [x for x in texts if x.conv_id == conv]
+        assert (r.n_examples, r.example_chars) == (len(own), sum(len(x.text) for x in own))
+        assert r.formatted_chars == max(len(x.text) for x in own)
+    monkeypatch.setattr(chat, "expanded", lambda f: write(f).withColumn("text", F.replace("text", F.lit("hello"), F.lit("HELLO"))))
+    changed = {r.conv_id: r for r in chat.read_back(found).collect()}
+    assert {c for c in plain if plain[c] != changed[c]} == {1}
+
+
+def test_examples_written_in_small_batches(spark, monkeypatch):
+    found = chat.examples(frame(spark))
+    plain = sorted(map(str, chat.expanded(found).collect()))
+    monkeypatch.setattr(chat, "HELD_CHARS", 40)
+    assert sorted(map(str, chat.expanded(found).collect())) == plain
