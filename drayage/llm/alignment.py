@@ -22,6 +22,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,13 +57,13 @@ SPACE = "▁"
 
 @dataclass(frozen=True, slots=True)
 class Chunk:
-    """A chunk's alignment: its groups as text and numbers, and the links as pair numbers."""
+    """A chunk's alignment: its groups as text and numbers, and the links as pair numbers of eight bytes."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    links: np.ndarray
+    links: bytes
 
 
 class Aligner:
@@ -97,16 +98,66 @@ class Aligner:
         # A unit is encoded behind a line feed, which no piece holds, so that its first blank stays as it is.
         self.ahead = len(sp.encode("\n"))
         self.length_a, self.length_b = ([len(t) for t in tokens] for tokens in (self.bytes_a, self.bytes_b))
+        self.sizes_a, self.sizes_b = (np.array(lengths, np.int64) for lengths in (self.length_a, self.length_b))
 
     def parts(self, texts: list[str]) -> list[list[str]]:
         return [self.unit.findall(" " + t) if t else [] for t in texts]
 
     def align(self, units: list[str], said: bool = True) -> list[Chunk | None]:
         """The alignment of each unit; None where the tokens do not give its bytes."""
+        if not units:
+            return []
         firsts = self.first(units)
-        seconds = self.second.encode(["\n" + u for u in units], num_threads=1)
-        ahead, n = self.ahead, len(units)
-        return [self._aligned(units[k].encode(), np.frombuffer(firsts[k], "<u4").tolist(), seconds[k][ahead:], said) for k in range(n)]
+        ahead = self.ahead
+        seconds = [ids[ahead:] for ids in self.second.encode(["\n" + u for u in units], num_threads=1)]
+        data = [u.encode() for u in units]
+        return self._together(data, firsts, seconds, said) or [
+            self._aligned(d, np.frombuffer(a, "<u4").tolist(), b, said) for d, a, b in zip(data, firsts, seconds)
+        ]
+
+    def _together(self, data: list[bytes], firsts: list[bytes], seconds: list[list[int]], said: bool) -> list[Chunk] | None:
+        """The alignments of all units at once, by where their tokens end in the units' bytes one behind the
+        other; None if any unit's tokens do not give its bytes."""
+        a = np.frombuffer(b"".join(firsts), "<u4").astype(np.int64)
+        list_b = [*chain.from_iterable(seconds)]
+        b = np.array(list_b, np.int64)
+        whole = b"".join(data)
+        bytes_a, bytes_b = self.bytes_a, self.bytes_b
+        if b"".join([bytes_a[i] for i in a.tolist()]) != whole or b"".join([bytes_b[i] for i in list_b]) != whole:
+            return None
+        size_a, size_b = self.sizes_a[a], self.sizes_b[b]
+        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+        upto = np.cumsum([len(d) for d in data])
+        upto_a, upto_b = np.cumsum([len(f) // 4 for f in firsts]), np.cumsum([len(x) for x in seconds])
+        n_a, n_b = (np.diff(x, prepend=0) for x in (upto_a, upto_b))
+        if min(n_a.min(), n_b.min(), size_a.min(), size_b.min()) < 1:
+            return None
+        if (ends_a[upto_a - 1] != upto).any() or (ends_b[upto_b - 1] != upto).any():
+            return None
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        # Of each group the tokens of both, and of each token of A its links.
+        last_a, last_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
+        in_a, in_b = np.diff(last_a, prepend=0), np.diff(last_b, prepend=0)
+        first_a, first_b = last_a - in_a, last_b - in_b
+        each = np.repeat(in_b, in_a)
+        at = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        links = (np.repeat(a, each) * SECOND + b[np.repeat(np.repeat(first_b, in_a), each) + at]).tobytes()
+        upto_groups = np.searchsorted(ends, upto) + 1
+        cuts = [0, *(8 * np.cumsum(in_a * in_b)[upto_groups - 1]).tolist()]
+        groups = [""] * len(data)
+        if said:
+            texts_a, texts_b = [*map(str, a.tolist())], [*map(str, list_b)]
+            texts = [
+                (texts_a[i] if m == 1 else ",".join(texts_a[i : i + m])) + "|" + (texts_b[j] if n == 1 else ",".join(texts_b[j : j + n]))
+                for i, m, j, n in zip(first_a.tolist(), in_a.tolist(), first_b.tolist(), in_b.tolist())
+            ]
+            edges = [0, *upto_groups.tolist()]
+            groups = [";".join(texts[i:j]) for i, j in zip(edges, edges[1:])]
+        n_groups = np.diff(upto_groups, prepend=0)
+        return [
+            Chunk(*numbers, text, links[i:j])
+            for *numbers, text, i, j in zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), groups, cuts, cuts[1:])
+        ]
 
     def _aligned(self, data: bytes, a: list[int], b: list[int], said: bool) -> Chunk | None:
         if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
@@ -131,7 +182,7 @@ class Aligner:
                     if said:
                         groups.append(f"{','.join(map(str, group_a))}|{','.join(map(str, group_b))}")
                 at_a, at_b = i, j
-        return Chunk(len(a), len(b), n, ";".join(groups), np.array(links, np.int64))
+        return Chunk(len(a), len(b), n, ";".join(groups), np.array(links, np.int64).tobytes())
 
 
 def _bucket(pairs: np.ndarray) -> np.ndarray:
@@ -195,7 +246,7 @@ def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str =
             for chunks in parts:
                 aligned = [found[c] for c in set(chunks)]
                 if aligned and all(a is not None for a in aligned):
-                    fresh.append(np.unique(np.concatenate([a.links for a in aligned])))
+                    fresh.append(np.unique(_read(b"".join([a.links for a in aligned]))))
                     waiting += len(fresh[-1])
             if waiting > HELD_PAIRS:
                 count()
@@ -376,19 +427,17 @@ def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema:
             good = [a for a in aligned if a is not None]
             if not good:
                 return aligned
-            edges = np.cumsum([0, *[len(a.links) for a in good]])[:-1]
-            held, best = counts.of(np.concatenate([a.links for a in good]))
+            edges = np.cumsum([0, *[len(a.links) // 8 for a in good]])[:-1]
+            held, best = counts.of(_read(b"".join([a.links for a in good])))
             sums = zip(np.add.reduceat(best, edges).tolist(), np.add.reduceat(held, edges).tolist())
-            return [a and (_lanes(a.n_a, a.n_b, a.n_groups, len(a.links), *next(sums)), a.groups) for a in aligned]
+            return [a and (_lanes(a.n_a, a.n_b, a.n_groups, len(a.links) // 8, *next(sums)), a.groups) for a in aligned]
 
         known = Remembered(make, 2 * REMEMBERED_BYTES, 500)
         for batch in slices(batches, 128):
             plain = batch.column(1).to_pylist()
             parts = aligner.parts(plain)
-            found = known.of(parts)
             numbers, groups = [], []
-            for chunks in parts:
-                of = [found[c] for c in chunks]
+            for of in known.values(parts):
                 if not of or None in of:
                     numbers.append((0,) * 6)
                     groups.append(None)

@@ -99,6 +99,24 @@ def test_query(spark):
         assert (*(r[n] for n in NAMES), r.groups_sha256) == (*found[:6], digest)
 
 
+def test_units_aligned_together_as_alone(monkeypatch):
+    aligner = alignment.Aligner(FIRST, SECOND)
+    texts = [" ".join((t or "").split()) for _, t in TEXTS] + ["a word, another word 12,345 'S déjà vu 日本 \U0001f600"]
+    units = sorted(set().union(*aligner.parts([t for t in texts if t])))
+    alone = [aligner.align([u])[0] for u in units]
+    good = [u for u, found in zip(units, alone) if found is not None]
+    slow, calls = aligner._aligned, []
+    monkeypatch.setattr(aligner, "_aligned", lambda *a: calls.append(a) or slow(*a))
+    for said in (True, False):
+        together = aligner.align(good, said)
+        assert not calls, "no unit is aligned by itself where all tokens give their bytes"
+        firsts = aligner.first(good)
+        for unit, first, found in zip(good, firsts, together):
+            second = aligner.second.encode("\n" + unit)[aligner.ahead :]
+            assert found == slow(unit.encode(), np.frombuffer(first, "<u4").tolist(), second, said)
+    assert aligner.align(units) == alone and aligner.align([]) == []
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 63, 64, 5000, 200_000):
