@@ -42,9 +42,11 @@ from pyspark.sql import types as T
 from drayage.llm.frames import numbered, pieces
 
 #: The words that a task remembers in each of two generations, of which the older one goes
-#: when the younger one is full, and its transitions, after which it starts anew.
-REMEMBERED_WORDS = 450_000
+#: when the younger one is full, its transitions, after which it starts anew, and what it
+#: needs to make more transitions: moves of configurations, and pairs of tokens.
+REMEMBERED_WORDS = 120_000
 REMEMBERED_STEPS = 400_000
+REMEMBERED_MOVES = 40_000
 #: The tokens below a node of the trie, at most, that are tried at once with the token before.
 FEW_TOKENS = 16
 
@@ -103,7 +105,7 @@ class Vocabulary:
         """Whether the encoding of the two tokens' bytes is just these two."""
         known = self._goes.get((left, right))
         if known is None:
-            if len(self._goes) > REMEMBERED_STEPS:
+            if len(self._goes) >= REMEMBERED_MOVES:
                 self._goes.clear()
             known = self._goes[left, right] = self._no_merge_across(left, right)
         return known
@@ -162,7 +164,7 @@ class Transducer:
         self.configurations: list[tuple[int, int | tuple[int, ...] | None]] = [(0, None)]
         self.configuration_of: dict[tuple[int, int | tuple[int, ...] | None], int] = {(0, None): 0}
         self.starts: dict[int, int] = {}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, tuple[int, int]] = {}  # these can go while the states stay
         inside = ((0,), ((),))
         self.first = {_INSIDE: inside}
         self.states = {inside: self.first}
@@ -170,7 +172,7 @@ class Transducer:
 
     def encode(self, word: bytes) -> list[int]:
         """The ids of one match of the pattern."""
-        if self.steps > self.most or len(self.moves) > self.most:
+        if self.steps > self.most or len(self.configurations) > self.most:
             self._forget()
         state, out = self.first, []
         for byte in word:
@@ -188,6 +190,8 @@ class Transducer:
         for configuration, rest in zip(*inside):
             move = moves.get(configuration << 8 | byte)
             if move is None:
+                if len(moves) >= REMEMBERED_MOVES:
+                    moves.clear()
                 move = moves[configuration << 8 | byte] = self._move(configuration, byte)
             goes_on, ends = move
             if ends >= 0 and token < 0:

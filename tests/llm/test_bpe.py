@@ -62,6 +62,25 @@ def test_starts_that_go_on_alike_share_transitions(monkeypatch):
     assert len(met) < 100_000
 
 
+def test_what_is_remembered_stays_small():
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    transducer = encoder.transducer
+    for text in [*texts, " ".join(map(str, range(500_000)))]:
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == LIBRARY.encode_ordinary(text)
+        # Each task of an executor holds as much; up to 900,000 words and 400,000 moves and pairs were too much.
+        assert len(encoder.spaced) + len(encoder.older) <= 250_000
+        assert len(transducer.moves) <= 50_000 and len(transducer.vocabulary._goes) <= 50_000
+
+
+def test_moves_go_while_states_stay(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_MOVES", 5)
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()[:100]:
+        assert np.frombuffer(encoder.ids(text or ""), "<u4").tolist() == LIBRARY.encode_ordinary(text or "")
+    assert len(encoder.transducer.moves) <= 5 and encoder.transducer.steps > 5_000
+
+
 def test_marks_behind_known_words_are_looked_up(monkeypatch):
     encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
     text = "a word, word. word, Word! word: word; word?"
