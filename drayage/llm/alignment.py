@@ -19,6 +19,7 @@ is carried. An empty table gives no rows.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
@@ -115,6 +116,10 @@ class Aligner:
             self._aligned(d, np.frombuffer(a, "<u4").tolist(), b, said) for d, a, b in zip(data, firsts, seconds)
         ]
 
+    def links(self, units: list[str]) -> list[bytes | None]:
+        """The links of each unit alone."""
+        return [a and a.links for a in self.align(units, said=False)]
+
     def _together(self, data: list[bytes], firsts: list[bytes], seconds: list[list[int]], said: bool) -> list[Chunk] | None:
         """The alignments of all units at once, by where their tokens end in the units' bytes one behind the
         other; None if any unit's tokens do not give its bytes."""
@@ -214,7 +219,7 @@ def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str =
 
     def run(batches):
         aligner = kept("aligner", (byte_file, piece_file), lambda: Aligner(byte_file, piece_file))
-        known = kept("aligned", (byte_file, piece_file), lambda: Remembered(partial(aligner.align, said=False), 2 * REMEMBERED_BYTES, 350))
+        known = kept("aligned", (byte_file, piece_file), lambda: Remembered(aligner.links, 2 * REMEMBERED_BYTES, 240))
         node = TaskContext.get().partitionId()
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         fresh: list[np.ndarray] = []
@@ -242,11 +247,10 @@ def linked_pairs(docs: DataFrame, byte_file: str, piece_file: str, id_col: str =
         waiting = 0
         for batch in slices(batches, 128):
             parts = aligner.parts(batch.column(0).to_pylist())
-            found = known.of(parts)
-            for chunks in parts:
-                aligned = [found[c] for c in set(chunks)]
-                if aligned and all(a is not None for a in aligned):
-                    fresh.append(np.unique(_read(b"".join([a.links for a in aligned]))))
+            for of in known.values(parts):
+                links = set(of)
+                if links and None not in links:
+                    fresh.append(np.unique(_read(b"".join(links))))
                     waiting += len(fresh[-1])
             if waiting > HELD_PAIRS:
                 count()
@@ -415,24 +419,27 @@ def _numbers(lanes: int) -> tuple[int, ...]:
     return (*(lanes >> LANE * k & (1 << LANE) - 1 for k in range(5)), lanes >> LANE * 5)
 
 
+def _summed(aligner: Aligner, counts: Counts, units: list[str]) -> list[tuple[int, str] | None]:
+    """The numbers of each unit, side by side, and its groups; None where the tokens do not give its bytes."""
+    aligned = aligner.align(units)
+    good = [a for a in aligned if a is not None]
+    if not good:
+        return aligned
+    edges = np.cumsum([0, *[len(a.links) // 8 for a in good]])[:-1]
+    held, best = counts.of(_read(b"".join([a.links for a in good])))
+    sums = zip(np.add.reduceat(best, edges).tolist(), np.add.reduceat(held, edges).tolist())
+    return [a and (_lanes(a.n_a, a.n_b, a.n_groups, len(a.links) // 8, *next(sums)), a.groups) for a in aligned]
+
+
 def _looked_up(texts: DataFrame, rows, byte_file: str, piece_file: str, schema: T.StructType, first: bool, last: bool) -> DataFrame:
     """Aligns once more; adds the counts of this round to those of the rounds before."""
 
+    # A worker keeps what it looked up in this round for its next tasks; it gives way to other rounds and passes.
+    this = uuid.uuid4().hex
+
     def run(batches):
         aligner = kept("aligner", (byte_file, piece_file), lambda: Aligner(byte_file, piece_file))
-        counts = Counts(rows.value)
-
-        def make(chunks):
-            aligned = aligner.align(chunks)
-            good = [a for a in aligned if a is not None]
-            if not good:
-                return aligned
-            edges = np.cumsum([0, *[len(a.links) // 8 for a in good]])[:-1]
-            held, best = counts.of(_read(b"".join([a.links for a in good])))
-            sums = zip(np.add.reduceat(best, edges).tolist(), np.add.reduceat(held, edges).tolist())
-            return [a and (_lanes(a.n_a, a.n_b, a.n_groups, len(a.links) // 8, *next(sums)), a.groups) for a in aligned]
-
-        known = Remembered(make, 2 * REMEMBERED_BYTES, 500)
+        known = kept("aligned", (byte_file, piece_file, this), lambda: Remembered(partial(_summed, aligner, Counts(rows.value)), 2 * REMEMBERED_BYTES, 400))
         for batch in slices(batches, 128):
             plain = batch.column(1).to_pylist()
             parts = aligner.parts(plain)

@@ -94,6 +94,8 @@ def kept(name: str, key: tuple, make: Callable[[], object]):
     """
     held = sys.modules.setdefault("drayage_llm_kept", types.ModuleType("drayage_llm_kept"))
     if getattr(held, name, (None,))[0] != key:
+        # What was held goes first, or both would take their memory at once.
+        setattr(held, name, (None,))
         setattr(held, name, (key, make()))
         # The small objects that are remembered are no garbage, and a collection looks at all of them.
         gc.set_threshold(100_000, 50, 50)

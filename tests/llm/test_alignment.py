@@ -1,11 +1,14 @@
 import hashlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from fixtures import SCHEMA, TEXTS, awkward
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from drayage.llm import alignment
@@ -117,6 +120,38 @@ def test_units_aligned_together_as_alone(monkeypatch):
     assert aligner.align(units) == alone and aligner.align([]) == []
 
 
+def test_tasks_of_a_worker_share_what_a_round_looked_up(monkeypatch):
+    class Texts:
+        schema = {"doc_id": StructField("doc_id", LongType())}
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    schema = StructType([Texts.schema["doc_id"], *[StructField(name, LongType()) for name in NAMES]])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one text, and another", "and one more text"])], ["doc_id", "text"])
+    aligner = alignment.Aligner(FIRST, SECOND)
+    units = [unit for of in aligner.parts(batch.column(1).to_pylist()) for unit in of]
+    pairs = np.unique(np.frombuffer(b"".join([found.links for found in aligner.align(units)]), np.int64))
+    met, align = [], alignment.Aligner.align
+    monkeypatch.setattr(alignment.Aligner, "align", lambda self, units, said=True: met.extend(units) or align(self, units, said))
+    for count in (3, 5):
+        rows = []
+        for bucket in range(alignment.BUCKETS):
+            keys = pairs[alignment._bucket(pairs) == bucket]
+            if len(keys):
+                hash_ = PerfectHash.of(keys)
+                placed = np.empty_like(keys)
+                placed[hash_.index(keys)] = keys
+                rows.append((bucket, len(keys), hash_.sizes.tobytes(), hash_.words.tobytes(), alignment._packed(placed).tobytes(),
+                             np.full(len(keys), count, "<u4").tobytes(), np.packbits(np.ones(len(keys), bool)).tobytes()))
+        task = alignment._looked_up(Texts(), SimpleNamespace(value=rows), FIRST, SECOND, schema, True, True)
+        met.clear()
+        first, again = (pa.Table.from_batches(task(iter([batch]))) for _ in range(2))
+        assert first == again and len(met) == len(set(met)) > 0
+        # Another round has its own counts.
+        assert first["count_sum"].to_pylist() == [count * n for n in first["n_links"].to_pylist()]
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(0)
     for n in (0, 1, 2, 63, 64, 5000, 200_000):
