@@ -3,9 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from fixtures import SCHEMA, TEXTS, awkward
 
-from drayage.llm import toxicity
+from drayage.llm import regression, toxicity
 from drayage.llm.queries import QUERIES
 from drayage.llm.regression import fit, lengthened, shortened
 
@@ -143,3 +144,63 @@ def test_counts_and_ratios_of_all_rows():
         ratio = math.log((toxic[k] + 1) / 32) - math.log((other[k] + 1) / 92)
         surely = ratio**2 / (1 / (toxic[k] + 1) + 1 / (other[k] + 1)) / toxicity.APART**2
         assert math.isclose(scales[k], ratio * surely if k else 0.0)
+
+
+def counted(times):
+    """Rows whose features lean to either class, and their scales if each row occurred ``times``."""
+    draw, width = np.random.default_rng(5), 3000
+    marks = (np.arange(400) % 4 == 0).astype(int)
+    shares = np.arange(1, width + 1) ** -0.7 * np.exp(np.outer(2 * marks - 1, 0.4 * draw.normal(size=width)))
+    rows = [np.flatnonzero(draw.random(width) < p).astype(np.int32) for p in np.clip(shares, 0, 0.95)]
+    rows[7] = rows[7][:0]
+    sums = [times * sum(np.bincount(r, minlength=width) for r, m in zip(rows, marks) if m == k) for k in (0, 1)]
+    return rows, marks, toxicity._scales(*sums, {0: 300 * times, 1: 100 * times})
+
+
+def judged(rows, marks, scales, weights, intercept, penalty):
+    """The loss of a fit, and how much above the least one it is at most by its slope."""
+    used = np.flatnonzero(scales)
+    dense = np.array([np.isin(used, r) for r in rows]) * scales[used]
+    dense, at = np.column_stack([dense, np.full(len(rows), 10.0)]), np.append(weights[used] / scales[used], intercept / 10.0)
+    margins = (2.0 * marks - 1) * (dense @ at)
+    slope = penalty * at - dense.T @ ((2.0 * marks - 1) * np.exp(-np.logaddexp(0, margins))) / len(rows)
+    return np.logaddexp(0, -margins).mean() + penalty / 2 * at @ at, slope @ slope / (2 * penalty)
+
+
+def test_fit_of_few_passes_whatever_the_counts(monkeypatch):
+    passes, joined = [], regression._joined
+    monkeypatch.setattr(regression, "_joined", lambda rows: passes.append(len(rows)) or joined(rows))
+    for times in (1, 30, 1000):
+        rows, marks, scales = counted(times)
+        passes.clear()
+        weights, intercept = fit([shortened(r) for r in rows], marks, scales, 1e-4, 10.0, 5e-4)
+        assert len(passes) <= 10
+        assert judged(rows, marks, scales, weights, intercept, 1e-4)[1] <= 5e-4
+
+
+def test_fit_by_chosen_rows_and_by_all():
+    for times, noise in ((1, 0.0), (1, 0.1), (30, 0.0), (30, 0.1)):
+        rows, marks, scales = counted(times)
+        marks = np.where(np.random.default_rng(2).random(len(marks)) < noise, 1 - marks, marks)
+        losses = {}
+        # All rows at once; more and more of them; too many for their products.
+        for first, most, gap in ((400, 400, 1e-9), (16, 400, 5e-4), (16, 399, 5e-4), (16, 40, 5e-4), (16, 15, 5e-4)):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(regression, "FIRST_ROWS", first)
+                patch.setattr(regression, "CHOSEN_ROWS", most)
+                found = fit([shortened(r) for r in rows], marks, scales, 1e-4, 10.0, gap)
+            losses[first, most] = judged(rows, marks, scales, *found, 1e-4)[0]
+        least = losses.pop((400, 400))
+        assert all(least - 1e-9 <= loss <= least + 5e-4 for loss in losses.values()), losses
+
+
+def test_products_are_those_of_whole_rows():
+    draw = np.random.default_rng(4)
+    dense = draw.random((60, 500)) < draw.random(500) ** 4
+    dense[9] = False
+    scales, signs = draw.normal(size=500), np.where(draw.random(60) < 0.5, 1.0, -1.0)
+    rows = [np.flatnonzero(r) for r in dense]
+    wanted = ((dense * scales) @ (dense * scales).T + 4.0) * signs[:, None] * signs
+    for old in (0, 1, 25):
+        found = regression._products(wanted[:old, :old], np.concatenate(rows), np.array([len(r) for r in rows]), signs, scales, 2.0)
+        assert np.allclose(found, wanted, 1e-12)
