@@ -7,7 +7,8 @@ occurs. From these counts comes the log-count ratio of every feature that occurs
 of the standard errors by which it differs from none, so that the penalty of the regression weighs
 more on what the counts tell less surely; no feature is left out. A logistic
 regression on the features so scaled is fitted on ``FIT_ROWS`` training rows at most, drawn by a
-hash of the id, in one task, which keeps two bytes for each feature of these rows. The scores read whole texts and nothing else; the model is a table of fixed size.
+hash of the id, in one task, which keeps two bytes for each feature of these rows and the products
+of the few that tell the least loss. The scores read whole texts and nothing else; the model is a table of fixed size.
 
 A null text counts as empty; texts without features of the training texts get the score of the
 intercept.
